@@ -40,7 +40,7 @@ def _on(side: str) -> Column:
     return F.col("is_buyer_maker") if side == "bid" else ~F.col("is_buyer_maker")
 
 
-def _side_sums(extra: Column | None = None) -> list[Column]:
+def side_sums(extra: Column | None = None) -> list[Column]:
     sums = []
     for side in SIDES:
         counted = _on(side) if extra is None else _on(side) & extra
@@ -62,7 +62,7 @@ def footprint_levels(
     zero. ``trades_aggr`` adds the per-side count of aggregated trades.
     """
     known = trades.where(_complete() & F.col("is_buyer_maker").isNotNull())
-    sums = _side_sums()
+    sums = side_sums()
     if trades_aggr:
         sums += [F.sum(F.when(_on(side), 1).otherwise(0)).alias(f"total_{side}_trades_aggr") for side in SIDES]
     levels = (
@@ -166,7 +166,7 @@ def bars_with_footprint(
         with_price_level(trades, ticks, decimals)
         .groupBy("symbol", floor_ms("transact_time", timeframe).alias("bar_ms"), "price_level")
         .agg(
-            *_side_sums(_complete()),
+            *side_sums(_complete()),
             F.count_if(usable).alias("usable"),
             F.min_by("price", priced).alias("first_price"),
             F.min(priced).alias("first_key"),

@@ -136,7 +136,8 @@ def add_indicators(
                     {n: c for p in phases if layer < len(p.layers) for n, c in p.layers[layer](blocks).items()}
                 )
             blocks = blocks.scan({n: r for p in phases if p.running for n, r in p.running().items()})
-        indexed = blocks.rows()
+        done = [name for x in plain for name in x.outputs]
+        indexed = blocks.rows().select(*[ref(c) for c in (*indexed.columns, *done)])
     table = add_stateful(indexed, [x for x in indicators if isinstance(x, Stateful)], keys)
     return table.select(*[ref(c) for c in bars.columns if c != "n_bars"], *[ref(c) for c in outputs])
 

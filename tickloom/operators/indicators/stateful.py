@@ -182,9 +182,11 @@ def add_stateful(df: DataFrame, indicators: Sequence[Stateful], keys: Sequence[s
     """Add the outputs of stateful indicators to an indexed frame."""
     if not indicators:
         return df
-    keys = list(keys)
-    inputs = {f"_x{k}": source(s.column) for k, s in enumerate(indicators)}
+    keys, names = list(keys), df.columns
+    plain = [c.replace(".", "_dot_") for c in names]  # mapInPandas wants names without dots
+    inputs = [f"_x{k}" for k in range(len(indicators))]
     outputs = [name for s in indicators for name in s.outputs]
+    df = df.toDF(*plain)
     fields = [*df.schema.fields, *[T.StructField(name, T.DoubleType()) for name in outputs]]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -198,8 +200,9 @@ def add_stateful(df: DataFrame, indicators: Sequence[Stateful], keys: Sequence[s
                 row = [v for fold, x in zip(folds, xs, strict=True) for v in fold(high, low, x)]
                 for cells, value in zip(values, row, strict=True):
                     cells.append(value)
-            out = batch.drop(columns=list(inputs))
+            out = batch.drop(columns=inputs)
             yield out.assign(**{n: pd.Series(v, index=out.index, dtype="float64") for n, v in zip(outputs, values, strict=True)})
 
-    ordered = df.withColumns(inputs).repartition(*keys).sortWithinPartitions(*keys, F.col("i"))
-    return ordered.mapInPandas(run, T.StructType(fields))
+    prices = {name: source(s.column) for name, s in zip(inputs, indicators, strict=True)}
+    ordered = df.withColumns(prices).repartition(*keys).sortWithinPartitions(*keys, F.col("i"))
+    return ordered.mapInPandas(run, T.StructType(fields)).toDF(*names, *outputs)

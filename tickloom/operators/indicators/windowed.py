@@ -137,15 +137,19 @@ def willr(length: int = 14) -> Indicator:
 
 def cci(length: int = 20, c: float = 0.015) -> Indicator:
     n, name, tp = at_least(length, 1), f"CCI_{int(length)}_{c}", source("hlc3")
+    mean, rows = f"_CCI_{n}_mean", f"_CCI_{n}_rows"
 
-    def layer(b: Blocks) -> dict[str, Column]:
-        mean, rows = b.full(F.avg(tp), tp, n), F.collect_list(tp).over(b.last(n))
-        spread = F.aggregate(
-            F.transform(rows, lambda v: F.abs(v - F.avg(tp).over(b.last(n)))), F.lit(0.0), lambda a, v: a + v
-        ) / F.lit(n)
-        return {name: F.try_divide(tp - mean, F.lit(c) * spread)}
+    def deviation(b: Blocks) -> dict[str, Column]:
+        apart = F.transform(rows, lambda v: F.abs(v - F.col(mean)))
+        spread = F.aggregate(apart, F.lit(0.0), lambda total, v: total + v) / n
+        return {name: F.try_divide(tp - F.col(mean), c * spread)}
 
-    return windowed((name,), n, layer)
+    return windowed(
+        (name,),
+        n,
+        lambda b: {mean: b.full(F.avg(tp), tp, n), rows: F.collect_list(tp).over(b.last(n))},
+        deviation,
+    )
 
 
 def roc(length: int = 12, column: str = "close") -> Indicator:

@@ -21,9 +21,13 @@ TIMEFRAMES = {
 TICK_DECIMALS = {"BTCUSDT": 0, "ETHUSDT": 0, "SOLUSDT": 1}
 
 
+_TYPES = {"string": T.StringType, "bigint": T.LongType, "double": T.DoubleType, "boolean": T.BooleanType}
+
+
 def _schema(text: str) -> T.StructType:
-    """Build a StructType from ``name type, name type``."""
-    return T.StructType.fromDDL(text)
+    """Build a StructType from ``name type, name type`` (no session needed)."""
+    fields = (part.split() for part in text.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]()) for name, kind in fields])
 
 
 AGG_TRADES = _schema(
@@ -64,10 +68,18 @@ DATASETS = {
     ),
 }
 
-# JSON trade message: event type, event ms, trade ms, symbol, id, price, quantity, maker flag.
-MESSAGE = _schema(
-    "e string, E bigint, T bigint, s string, a bigint, p string, q string, f bigint, l bigint, m boolean"
-)
+# Keys of the JSON trade message (case matters: E is the event time, e the type).
+MESSAGE_TYPE = "aggTrade"
+MESSAGE_KEYS = {
+    "type": "e",
+    "event_time": "E",
+    "transact_time": "T",
+    "symbol": "s",
+    "agg_trade_id": "a",
+    "price": "p",
+    "quantity": "q",
+    "is_buyer_maker": "m",
+}
 
 # Spellings found in landed files, mapped to the canonical trade columns.
 ALIASES = {
