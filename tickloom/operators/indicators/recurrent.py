@@ -2,60 +2,74 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, functions as F
 
-from tickloom.operators.indicators.spec import Indicator, Phase, at_least, source
+from tickloom.operators.indicators.spec import Indicator, Phase, at_least, source, source_sql
 from tickloom.operators.series import Blocks, Recurrence
 
 
-def smooth(x: Column, n: int, alpha: float, rank: Column) -> Recurrence:
-    """Exponential smoothing seeded with the mean of the first n inputs.
+def smooth(x: str, n: int, alpha: float, rank: str) -> Recurrence:
+    """Exponential smoothing of the SQL expression ``x``, seeded with the mean of the first n inputs.
 
     ``rank`` counts the inputs from 1 (0 or less before the first). While the seed builds up each
     input adds x/n, so the value at rank n is their mean. A null input leaves the value as it is.
     """
-    ahead = x.isNotNull() & (rank > 0)
     return Recurrence(
-        a=F.when(ahead & (rank > n), 1.0 - alpha).otherwise(1.0),
-        b=F.when(ahead & (rank > n), alpha * x).when(ahead, x / n).otherwise(0.0),
+        a=F.expr(f"CASE WHEN {rank} > {n} AND {x} IS NOT NULL THEN {1.0 - alpha!r}D ELSE 1D END"),
+        b=F.expr(f"CASE WHEN {rank} > {n} THEN {alpha!r}D * {x} WHEN {rank} > 0 THEN {x} / {n} END"),
     )
 
 
-def row_rank(lead: int = 0) -> Column:
+def smooth_of(weights: Mapping[str, float], n: int, alpha: float, rank: str) -> Recurrence:
+    """As :func:`smooth`, of a weighted sum of running values of the same scan."""
+    share = f"CASE WHEN {rank} > {n} THEN {alpha!r}D WHEN {rank} > 0 THEN 1D / {n} ELSE 0D END"
+    return Recurrence(
+        a=F.expr(f"CASE WHEN {rank} > {n} THEN {1.0 - alpha!r}D ELSE 1D END"),
+        of={name: F.expr(f"({share}) * {w!r}D") for name, w in weights.items()},
+    )
+
+
+def row_rank(lead: int = 0) -> str:
     """Rank of a row's input when only the first ``lead`` rows have none."""
-    return F.col("i") + 1 - lead
+    return f"(i + 1 - {lead})"
+
+
+def from_rank(n: int, value: str, rank: str) -> Column:
+    return F.expr(f"CASE WHEN {rank} >= {n} THEN {value} END")
 
 
 def ema_alpha(n: int) -> float:
     return 2.0 / (n + 1)
 
 
-def _single(name: str, n: int, alpha: float, x: Column) -> Indicator:
+def _single(name: str, n: int, alpha: float, x: str) -> Indicator:
     y = f"_{name}_y"
     return Indicator(
         (name,),
         (
             Phase((), lambda: {y: smooth(x, n, alpha, row_rank())}),
-            Phase((lambda b: {name: F.when(x.isNotNull() & (row_rank() >= n), F.col(y))},)),
+            Phase((lambda b: {name: from_rank(n, f"CASE WHEN {x} IS NOT NULL THEN {y} END", row_rank())},)),
         ),
     )
 
 
 def ema(length: int = 20, column: str = "close") -> Indicator:
     n = at_least(length, 2)
-    return _single(f"EMA_{n}", n, ema_alpha(n), source(column))
+    return _single(f"EMA_{n}", n, ema_alpha(n), source_sql(column))
 
 
 def rma(length: int = 14, column: str = "close") -> Indicator:
     n = at_least(length, 2)
-    return _single(f"RMA_{n}", n, 1.0 / n, source(column))
+    return _single(f"RMA_{n}", n, 1.0 / n, source_sql(column))
 
 
 def macd(fast: int = 12, slow: int = 26, signal: int = 9, column: str = "close") -> Indicator:
     f, s, g = at_least(fast, 2), at_least(slow, 2), at_least(signal, 2)
     if f >= s:
         raise ValueError("fast must be below slow")
-    tag, x = f"{f}_{s}_{g}", source(column)
+    tag, x = f"{f}_{s}_{g}", source_sql(column)
     line, hist, sig = f"MACD_{tag}", f"MACDh_{tag}", f"MACDs_{tag}"
     ef, es, eg = f"_{line}_f", f"_{line}_s", f"_{line}_g"
     return Indicator(
@@ -66,15 +80,15 @@ def macd(fast: int = 12, slow: int = 26, signal: int = 9, column: str = "close")
                 lambda: {
                     ef: smooth(x, f, ema_alpha(f), row_rank()),
                     es: smooth(x, s, ema_alpha(s), row_rank()),
+                    eg: smooth_of({ef: 1.0, es: -1.0}, g, ema_alpha(g), row_rank(s - 1)),
                 },
             ),
-            Phase(
-                (lambda b: {line: F.when(row_rank() >= s, F.col(ef) - F.col(es))},),
-                lambda: {eg: smooth(F.col(line), g, ema_alpha(g), row_rank(s - 1))},
-            ),
             Phase(
                 (
-                    lambda b: {sig: F.when(row_rank(s - 1) >= g, F.col(eg))},
+                    lambda b: {
+                        line: from_rank(s, f"{ef} - {es}", row_rank()),
+                        sig: from_rank(g, eg, row_rank(s - 1)),
+                    },
                     lambda b: {hist: F.col(line) - F.col(sig)},
                 )
             ),
@@ -83,33 +97,19 @@ def macd(fast: int = 12, slow: int = 26, signal: int = 9, column: str = "close")
 
 
 def rsi(length: int = 14, column: str = "close") -> Indicator:
-    n, name, x = at_least(length, 2), f"RSI_{int(length)}", source(column)
-    gain, loss, qg, ql = (f"_{name}_{p}" for p in ("gain", "loss", "qg", "ql"))
-
-    def moves(b: Blocks) -> dict[str, Column]:
-        change = x - b.lag(x)
-        zero = F.when(change.isNotNull(), 0.0)
-        return {gain: F.when(change > 0, change).otherwise(zero), loss: F.when(change < 0, -change).otherwise(zero)}
-
+    n, name, x = at_least(length, 2), f"RSI_{int(length)}", source_sql(column)
+    change, qg, ql = (f"_{name}_{p}" for p in ("change", "qg", "ql"))
     return Indicator(
         (name,),
         (
             Phase(
-                (moves,),
+                (lambda b: {change: F.expr(x) - b.lag(F.expr(x))},),
                 lambda: {
-                    qg: smooth(F.col(gain), n, 1.0 / n, row_rank(1)),
-                    ql: smooth(F.col(loss), n, 1.0 / n, row_rank(1)),
+                    qg: smooth(f"greatest({change}, 0D * {change})", n, 1.0 / n, row_rank(1)),
+                    ql: smooth(f"greatest(-{change}, 0D * {change})", n, 1.0 / n, row_rank(1)),
                 },
             ),
-            Phase(
-                (
-                    lambda b: {
-                        name: F.when(
-                            row_rank(1) >= n, F.try_divide(100 * F.col(qg), F.col(qg) + F.col(ql))
-                        )
-                    },
-                )
-            ),
+            Phase((lambda b: {name: from_rank(n, f"try_divide(100 * {qg}, {qg} + {ql})", row_rank(1))},)),
         ),
         pre=1,
     )
@@ -127,8 +127,8 @@ def atr(length: int = 14) -> Indicator:
     return Indicator(
         (name,),
         (
-            Phase((lambda b: {tr: true_range(b)},), lambda: {y: smooth(F.col(tr), n, 1.0 / n, row_rank())}),
-            Phase((lambda b: {name: F.when(row_rank() >= n, F.col(y))},)),
+            Phase((lambda b: {tr: true_range(b)},), lambda: {y: smooth(tr, n, 1.0 / n, row_rank())}),
+            Phase((lambda b: {name: from_rank(n, y, row_rank())},)),
         ),
         pre=1,
     )
@@ -138,8 +138,8 @@ def adx(length: int = 14) -> Indicator:
     """Wilder's directional movement: ADX, DI+ and DI-."""
     n = at_least(length, 2)
     out, plus, minus = f"ADX_{n}", f"DMP_{n}", f"DMN_{n}"
-    tr, up, down, qt, qu, qd, dx, rank, y = (
-        f"_{out}_{p}" for p in ("tr", "up", "down", "qt", "qu", "qd", "dx", "rank", "y")
+    tr, up, down, first, qt, qu, qd, dx, y = (
+        f"_{out}_{p}" for p in ("tr", "up", "down", "first", "qt", "qu", "qd", "dx", "y")
     )
 
     def moves(b: Blocks) -> dict[str, Column]:
@@ -151,77 +151,77 @@ def adx(length: int = 14) -> Indicator:
             down: F.when((fall > rise) & (fall > 0), fall).otherwise(zero),
         }
 
-    def index(b: Blocks) -> dict[str, Column]:
-        apart, total = F.abs(F.col(plus) - F.col(minus)), F.col(plus) + F.col(minus)
-        return {dx: F.try_divide(100 * apart, total)}
-
-    ready = row_rank(1) >= n
+    # DX is null only until the first directional move, whose row is carried along.
+    rank = f"(i + 1 - greatest({n}, {first}))"
+    share = f"try_divide(100 * abs({plus} - {minus}), {plus} + {minus})"
     return Indicator(
         (out, plus, minus),
         (
             Phase(
                 (moves,),
                 lambda: {
-                    q: smooth(F.col(x), n, 1.0 / n, row_rank(1)) for q, x in ((qt, tr), (qu, up), (qd, down))
+                    first: Recurrence(F.expr(f"CASE WHEN {up} + {down} > 0 THEN i END"), keep="least"),
+                    **{q: smooth(x, n, 1.0 / n, row_rank(1)) for q, x in ((qt, tr), (qu, up), (qd, down))},
                 },
             ),
             Phase(
                 (
                     lambda b: {
-                        plus: F.when(ready, F.try_divide(100 * F.col(qu), F.col(qt))),
-                        minus: F.when(ready, F.try_divide(100 * F.col(qd), F.col(qt))),
+                        plus: from_rank(n, f"try_divide(100 * {qu}, {qt})", row_rank(1)),
+                        minus: from_rank(n, f"try_divide(100 * {qd}, {qt})", row_rank(1)),
                     },
-                    index,
+                    lambda b: {dx: F.expr(share)},
                 ),
-                # DX has gaps where nothing moved, so its inputs are counted rather than derived.
-                lambda: {rank: Recurrence(F.col(dx).isNotNull().cast("double"))},
+                lambda: {y: smooth(dx, n, 1.0 / n, rank)},
             ),
-            Phase((), lambda: {y: smooth(F.col(dx), n, 1.0 / n, F.col(rank))}),
-            Phase((lambda b: {out: F.when((F.col(rank) >= n) & F.col(dx).isNotNull(), F.col(y))},)),
+            Phase((lambda b: {out: from_rank(n, f"CASE WHEN {dx} IS NOT NULL THEN {y} END", rank)},)),
         ),
         pre=1,
     )
 
 
-def _chain(name: str, n: int, depth: int, x: Column) -> tuple[list[str], list[Phase]]:
-    """Phases computing EMA(n) of EMA(n) of ... x; level k is valid from row ``k*(n-1)`` on."""
+def _chain(name: str, n: int, depth: int, x: str) -> tuple[list[str], Phase]:
+    """EMA(n) of EMA(n) of ... x in one scan; level k is valid from row ``k*(n-1)`` on."""
     alpha, levels = ema_alpha(n), [f"_{name}_e{k}" for k in range(1, depth + 1)]
-    phases = []
-    for k, level in enumerate(levels):
-        value = x if k == 0 else F.col(levels[k - 1])
-        phases.append(
-            Phase((), lambda level=level, value=value, k=k: {level: smooth(value, n, alpha, row_rank(k * (n - 1)))})
-        )
-    return levels, phases
+
+    def running() -> dict[str, Recurrence]:
+        out = {levels[0]: smooth(x, n, alpha, row_rank())}
+        for k in range(1, depth):
+            out[levels[k]] = smooth_of({levels[k - 1]: 1.0}, n, alpha, row_rank(k * (n - 1)))
+        return out
+
+    return levels, Phase((), running)
 
 
-def _combined(name: str, n: int, depth: int, x: Column, combine) -> Indicator:
-    levels, phases = _chain(name, n, depth, x)
-    ready = row_rank(depth * (n - 1)) >= 1
-    last = Phase((lambda b: {name: F.when(ready, combine(*[F.col(e) for e in levels]))},))
-    return Indicator((name,), (*phases, last))
+def _combined(name: str, n: int, depth: int, column: str, formula: str) -> Indicator:
+    """Combine chained EMAs; ``formula`` names them e1, e2, ..."""
+    levels, chained = _chain(name, n, depth, source_sql(column))
+    for k, level in enumerate(levels, 1):
+        formula = formula.replace(f"e{k}", level)
+    last = Phase((lambda b: {name: from_rank(1, formula, row_rank(depth * (n - 1)))},))
+    return Indicator((name,), (chained, last))
 
 
 def dema(length: int = 10, column: str = "close") -> Indicator:
     n = at_least(length, 2)
-    return _combined(f"DEMA_{n}", n, 2, source(column), lambda e1, e2: 2 * e1 - e2)
+    return _combined(f"DEMA_{n}", n, 2, column, "2 * e1 - e2")
 
 
 def tema(length: int = 10, column: str = "close") -> Indicator:
     n = at_least(length, 2)
-    return _combined(f"TEMA_{n}", n, 3, source(column), lambda e1, e2, e3: 3 * e1 - 3 * e2 + e3)
+    return _combined(f"TEMA_{n}", n, 3, column, "3 * e1 - 3 * e2 + e3")
 
 
 def zema(length: int = 10, column: str = "close") -> Indicator:
     """Zero-lag EMA: the EMA plus its distance from its own EMA."""
     n = at_least(length, 2)
-    return _combined(f"ZEMA_{n}", n, 2, source(column), lambda e1, e2: e1 + (e1 - e2))
+    return _combined(f"ZEMA_{n}", n, 2, column, "e1 + (e1 - e2)")
 
 
 def trix(length: int = 15, signal: int = 9, column: str = "close") -> Indicator:
     n, g = at_least(length, 2), at_least(signal, 1)
     name, line_signal = f"TRIX_{n}_{g}", f"TRIXs_{n}_{g}"
-    levels, phases = _chain(name, n, 3, source(column))
+    levels, chained = _chain(name, n, 3, source_sql(column))
     smooth3 = f"_{name}_smooth"
 
     def line(b: Blocks) -> dict[str, Column]:
@@ -230,12 +230,12 @@ def trix(length: int = 15, signal: int = 9, column: str = "close") -> Indicator:
 
     last = Phase(
         (
-            lambda b: {smooth3: F.when(row_rank(3 * (n - 1)) >= 1, F.col(levels[2]))},
+            lambda b: {smooth3: from_rank(1, levels[2], row_rank(3 * (n - 1)))},
             line,
             lambda b: {line_signal: b.full(F.avg(name), name, g)},
         )
     )
-    return Indicator((name, line_signal), (*phases, last), post=g + 1)
+    return Indicator((name, line_signal), (chained, last), post=g + 1)
 
 
 def vidya(length: int = 14, column: str = "close") -> Indicator:
@@ -294,7 +294,7 @@ def kama(length: int = 10, fast: int = 2, slow: int = 30, column: str = "close")
                     )
                 },
             ),
-            Phase((lambda b: {name: F.when(row_rank() >= n, F.col(y))},)),
+            Phase((lambda b: {name: from_rank(n, y, row_rank())},)),
         ),
         pre=n + 1,
     )

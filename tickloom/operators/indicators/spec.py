@@ -30,15 +30,21 @@ class Indicator:
     post: int = 0
 
 
-def source(column: str) -> Column:
-    """Price source: close, hl2 or hlc3."""
-    if column == "hl2":
-        return (F.col("high") + F.col("low")) / 2
-    if column == "hlc3":
-        return (F.col("high") + F.col("low") + F.col("close")) / 3
+# Price sources.
+SOURCES = {"hl2": "((high + low) / 2)", "hlc3": "((high + low + close) / 3)"}
+
+
+def source_sql(column: str) -> str:
+    """Price source as SQL: close, open, high, low, hl2 or hlc3."""
     if column in ("close", "open", "high", "low"):
-        return F.col(column)
-    raise ValueError(f"unknown price source {column!r}")
+        return column
+    if column not in SOURCES:
+        raise ValueError(f"unknown price source {column!r}")
+    return SOURCES[column]
+
+
+def source(column: str) -> Column:
+    return F.expr(source_sql(column))
 
 
 def at_least(n: int, least: int, name: str = "length") -> int:

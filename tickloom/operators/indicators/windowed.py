@@ -207,7 +207,7 @@ def hilo(length: int = 13) -> Indicator:
         (
             Phase(
                 (lambda b: {high: b.full(F.avg("high"), "high", n), low: b.full(F.avg("low"), "low", m)}, choose),
-                lambda: {held: Recurrence(F.col(pick), fill=True)},
+                lambda: {held: Recurrence(F.col(pick), keep="last")},
             ),
             Phase((lambda b: {name: F.col(held)},)),
         ),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickloom.functions.expressions import col
 from tickloom.operators.footprint import BAR, SIDES
-from tickloom.operators.indicators.recurrent import ema_alpha, row_rank, smooth
+from tickloom.operators.indicators.recurrent import ema_alpha, from_rank, row_rank, smooth
 from tickloom.operators.series import BLOCK, SERIES, Recurrence, in_blocks, index_bars, running_total
 
 # Defaults of the analysis.
@@ -60,20 +60,20 @@ def delta_columns(totals: DataFrame, ema_length: int = 9, size: int = BLOCK) ->
     indexed = index_bars(totals)
     delta = F.col("ask") - F.col("bid")
     blocks = in_blocks(indexed, size=size)
-    alpha, ready = ema_alpha(ema_length), row_rank() >= ema_length
+    alpha = ema_alpha(ema_length)
     scanned = blocks.scan(
         {
             "_total": Recurrence(delta),
-            **{f"_{s}": smooth(F.col(s), ema_length, alpha, row_rank()) for s in SIDES},
+            **{f"_{s}": smooth(s, ema_length, alpha, row_rank()) for s in SIDES},
         }
     ).rows()
     return scanned.withColumns(
         {
             "delta": delta,
             "cumulative_delta": F.col("_total") / DELTA_SCALE,
-            "delta_bid": F.when(ready, F.col("_bid")),
-            "delta_ask": F.when(ready, F.col("_ask")),
-            "delta_ema": F.when(ready, F.col("_ask") - F.col("_bid")),
+            "delta_bid": from_rank(ema_length, "_bid", row_rank()),
+            "delta_ask": from_rank(ema_length, "_ask", row_rank()),
+            "delta_ema": from_rank(ema_length, "_ask - _bid", row_rank()),
         }
     ).drop("_total", "_bid", "_ask", "n_bars")
 

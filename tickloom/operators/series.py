@@ -9,8 +9,8 @@ rows and so at most 1 027 blocks of 512.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, replace
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
@@ -71,11 +71,17 @@ def index_bars(bars: DataFrame, keys: Sequence[str] = SERIES, time: str = "time_
 
 @dataclass(frozen=True)
 class Recurrence:
-    """One running value: ``y = a*y_prev + b``; ``a`` None means 1; ``fill`` carries the last non-null."""
+    """One running value ``y = a*y_prev + b + sum(w*other)``.
 
-    b: Column
+    ``a`` None means 1. ``of`` holds the weights of other running values of the same scan, so chained
+    smoothings need one scan. ``keep`` replaces the sum: ``"last"`` carries the last non-null ``b``
+    forward, ``"least"`` the smallest.
+    """
+
+    b: Column | None = None
     a: Column | None = None
-    fill: bool = False
+    of: Mapping[str, Column] = field(default_factory=dict)
+    keep: str | None = None
 
 
 @dataclass(frozen=True)
@@ -113,48 +119,85 @@ class Blocks:
     def scan(self, running: Mapping[str, Recurrence]) -> Blocks:
         """Add running values over the whole series.
 
-        Inside a block, with ``P`` the running product of ``a``, ``y = P * (carry + sum(b / P))``:
-        two window aggregates. The carry of each block is folded from the ``(P, y)`` pairs at the
-        block borders. ``a`` must stay at or above 1/3 so that ``P`` stays a normal double over a block.
+        Inside a block a value is affine in the values carried into the block. With ``P`` the running
+        product of ``a``, ``y = P*carry + P*sum(b/P)``: two window aggregates, and one more per value
+        it is chained to. The carry of each block is folded from the block borders. ``a`` must stay at
+        or above 1/3 so that ``P`` remains a normal double over a block.
         """
         if not running:
             return self
-        names = {name: f"_r{k}" for k, name in enumerate(running)}
-        start = F.col("_block") * self.size - self.post
-        started = F.col("i") >= start
-        ahead = self._ordered().rowsBetween(Window.unboundedPreceding, 0)
-        products, inputs, sums = {}, {}, {}
+        start = f"(_block * {self.size} - {self.post})"
+        order = f"PARTITION BY {', '.join(self.keys)}, _block ORDER BY i"
+        ahead = f"({order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+        tag = {name: f"_r{k}" for k, name in enumerate(running)}
+
+        # Inputs are neutral before the scan starts: a = 1, everything else 0 (or null where kept).
+        given, neutral = {}, {}
         for name, r in running.items():
-            t = names[name]
-            if r.fill:
-                inputs[f"{t}_b"] = F.when(started, r.b)
-                products[f"{t}_p"] = F.lit(1.0)
-                sums[f"{t}_s"] = F.last(f"{t}_b", ignorenulls=True).over(ahead)
-                continue
-            inputs[f"{t}_b"] = F.when(started, F.coalesce(r.b, F.lit(0.0))).otherwise(0.0)
-            if r.a is None:
-                products[f"{t}_p"] = F.lit(1.0)
-            else:
-                inputs[f"{t}_a"] = F.when(started, F.coalesce(r.a, F.lit(1.0))).otherwise(1.0)
-                products[f"{t}_p"] = F.product(f"{t}_a").over(ahead)
-            sums[f"{t}_s"] = F.sum(F.col(f"{t}_b") / F.col(f"{t}_p")).over(ahead)
-        df = self.df.withColumns(inputs).withColumns(products).withColumns(sums)
-
-        temps = list(names.values())
-        border = df.where(F.col("i") == start + self.size - 1).select(
-            *self.keys, "_block", *[F.col(f"{t}_{x}") for t in temps for x in "ps"]
+            t = tag[name]
+            if r.b is not None:
+                given[f"{t}_b"], neutral[f"{t}_b"] = r.b, None if r.keep else 0.0
+            if r.a is not None:
+                given[f"{t}_a"], neutral[f"{t}_a"] = r.a, 1.0
+            for other, weight in r.of.items():
+                given[f"{t}_w{tag[other]}"], neutral[f"{t}_w{tag[other]}"] = weight, 0.0
+        masked = [
+            f"CASE WHEN i >= {start} THEN double({c}) END AS {c}"
+            if n is None
+            else f"CASE WHEN i >= {start} THEN coalesce(double({c}), {n}D) ELSE {n}D END AS {c}"
+            for c, n in neutral.items()
+        ]
+        product = self._ordered().rowsBetween(Window.unboundedPreceding, 0)
+        products = {f"{t}_p": F.product(f"{t}_a").over(product) for t in tag.values() if f"{t}_a" in given}
+        df = self.df.withColumns(given).selectExpr(*[f"`{c}`" for c in self.df.columns], *masked).withColumns(products)
+
+        # parts[name] maps each carried value (or "0" for the constant part) to its expression.
+        parts: dict[str, dict[str, str]] = {}
+        while len(parts) < len(running):
+            level = [n for n, r in running.items() if n not in parts and all(o in parts for o in r.of)]
+            if not level:
+                raise ValueError("running values refer to each other in a circle or to an unknown one")
+            sums = []
+            for name in level:
+                r, t = running[name], tag[name]
+                if r.keep:
+                    kept = f"last({t}_b, true)" if r.keep == "last" else f"min({t}_b)"
+                    sums.append(f"{kept} OVER {ahead} AS {t}_0")
+                    parts[name] = {"0": f"{t}_0"}
+                    continue
+                p = f"{t}_p" if r.a is not None else "1D"
+                flows: dict[str, list[str]] = {"0": [f"{t}_b"] if r.b is not None else []}
+                for other in r.of:
+                    for carried, part in parts[other].items():
+                        flows.setdefault(carried, []).append(f"{t}_w{tag[other]} * ({part})")
+                parts[name] = {t: p}
+                for carried, terms in flows.items():
+                    column = f"{t}_of{carried}"
+                    sums.append(f"sum(({' + '.join(terms) or '0D'}) / {p}) OVER {ahead} AS {column}")
+                    parts[name][carried] = f"{p} * {column}"
+            df = df.selectExpr("*", *sums)
+
+        values = {(n, c): f"{tag[n]}_v{c}" for n, ps in parts.items() for c in ps}
+        border = df.where(f"i = {start} + {self.size - 1}").selectExpr(
+            *self.keys, "_block", *[f"{parts[n][c]} AS {v}" for (n, c), v in values.items()]
         )
-        fills = {names[name] for name, r in running.items() if r.fill}
-        carry = _fold_borders(border, self.keys, temps, fills)
-        df = df.join(carry, [*self.keys, "_block"], "left")
-        values = {}
-        for name, t in names.items():
-            if t in fills:
-                values[name] = F.coalesce(F.col(f"{t}_s"), F.col(f"{t}_c"))
-            else:
-                values[name] = F.col(f"{t}_p") * (F.coalesce(F.col(f"{t}_c"), F.lit(0.0)) + F.col(f"{t}_s"))
-        temporary = [*inputs, *products, *sums, *[f"{t}_c" for t in temps]]
-        return replace(self, df=df.withColumns(values).drop(*temporary))
+
+        def carried_on(name: str, part: Callable[[str], str], carry: Callable[[str], str]) -> str:
+            own, keep = tag[name], running[name].keep
+            if keep:
+                kept = (part("0"), carry(own))
+                return f"coalesce({', '.join(kept)})" if keep == "last" else f"least({', '.join(kept)})"
+            terms = [f"({part(c)}) * coalesce({carry(c)}, 0D)" for c in parts[name] if c != "0"]
+            return " + ".join([part("0"), *terms])
+
+        steps = {
+            tag[n]: carried_on(n, lambda c, n=n: f"x.{values[n, c]}", lambda t: f"get(done, size(done) - 1).{t}_c")
+            for n in running
+        }
+        df = df.join(_fold_borders(border, self.keys, list(values.values()), steps), [*self.keys, "_block"], "left")
+        kept = [f"`{c}`" for c in self.df.columns if c not in running]
+        out = [f"{carried_on(n, parts[n].__getitem__, lambda t: f'{t}_c')} AS `{n}`" for n in running]
+        return replace(self, df=df.selectExpr(*kept, *out))
 
     def rows(self) -> DataFrame:
         """The rows of the series, each once, without the halo."""
@@ -162,24 +205,15 @@ class Blocks:
         return self.df.where(own).drop("_block")
 
 
-def _fold_borders(border: DataFrame, keys: Sequence[str], temps: Sequence[str], fills: set[str]) -> DataFrame:
-    """Carry into each block, from the (product, sum) pairs of all earlier block borders."""
-    fields = ", ".join(["_block: bigint", *[f"{t}_c: double" for t in temps]])
-    none_yet = F.expr(f"cast(array() as array<struct<{fields}>>)")
-
-    def carry_of(t: str, before: Column, x: Column) -> Column:
-        if t in fills:
-            return F.coalesce(x[f"{t}_s"], before[f"{t}_c"])
-        return x[f"{t}_p"] * (F.coalesce(before[f"{t}_c"], F.lit(0.0)) + x[f"{t}_s"])
-
-    def step(done: Column, x: Column) -> Column:
-        before = F.get(done, F.size(done) - 1)
-        nxt = [(x["_block"] + 1).alias("_block"), *[carry_of(t, before, x).alias(f"{t}_c") for t in temps]]
-        return F.concat(done, F.array(F.struct(*nxt)))
-
-    borders = F.array_sort(F.collect_list(F.struct("_block", *[f"{t}_{x}" for t in temps for x in "ps"])))
-    folded = border.groupBy(*keys).agg(borders.alias("_borders"))
-    return folded.select(*keys, F.inline(F.aggregate("_borders", none_yet, step)))
+def _fold_borders(border: DataFrame, keys: Sequence[str], values: Sequence[str], steps: Mapping[str, str]) -> DataFrame:
+    """Carry into each block, folded over the border rows ``x`` of all earlier blocks of the series."""
+    fields = ", ".join(["_block: bigint", *[f"{t}_c: double" for t in steps]])
+    after = ", ".join(["x._block + 1 AS _block", *[f"{step} AS {t}_c" for t, step in steps.items()]])
+    fold = (
+        f"inline(aggregate(array_sort(collect_list(struct(_block, {', '.join(values)}))), "
+        f"cast(array() AS array<struct<{fields}>>), (done, x) -> concat(done, array(struct({after})))))"
+    )
+    return border.groupBy(*keys).agg(F.expr(fold))
 
 
 def in_blocks(
