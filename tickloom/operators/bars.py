@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.functions.expressions import floor_ms, trade_order
 from tickloom.schema import timeframe_ms
@@ -42,12 +44,14 @@ def check_multiple(source: str, target: str) -> None:
         raise ValueError(f"{target} is not a multiple of {source}")
 
 
-def rollup_bars(bars: DataFrame, source: str, target: str) -> DataFrame:
-    """Re-aggregate bars to a longer timeframe; equals building the bars from the trades."""
-    check_multiple(source, target)
-    start = F.unix_millis("time_rounded")
+def rollup_bars(bars: DataFrame, source: str, *targets: str) -> DataFrame:
+    """Re-aggregate bars to longer timeframes; equals building those bars from the trades.
+
+    Several targets share one pass: each bar is placed in its bar of every target.
+    """
     return (
-        bars.groupBy("symbol", floor_ms(start, target).alias("bar_ms"))
+        bars.select("*", F.inline(target_bars(source, targets)))
+        .groupBy("symbol", "target", "bar_ms")
         .agg(
             F.min_by("open", F.when(F.col("open").isNotNull(), F.col("time_rounded"))).alias("open"),
             F.max_by("close", F.when(F.col("close").isNotNull(), F.col("time_rounded"))).alias("close"),
@@ -57,7 +61,7 @@ def rollup_bars(bars: DataFrame, source: str, target: str) -> DataFrame:
         )
         .select(
             "symbol",
-            F.lit(target).alias("timeframe"),
+            F.col("target").alias("timeframe"),
             F.timestamp_millis("bar_ms").alias("time_rounded"),
             "open",
             "close",
@@ -68,16 +72,21 @@ def rollup_bars(bars: DataFrame, source: str, target: str) -> DataFrame:
     )
 
 
-def bars_for_timeframes(trades: DataFrame, timeframes: list[str], wide_ids: bool = False) -> DataFrame:
+def target_bars(source: str, targets: Sequence[str]) -> Column:
+    """Array of ``(target, bar_ms)``: the bars of longer timeframes a bar falls into."""
+    for target in targets:
+        check_multiple(source, target)
+    start = F.unix_millis("time_rounded")
+    return F.array(
+        *[F.struct(F.lit(t).alias("target"), floor_ms(start, t).alias("bar_ms")) for t in targets]
+    )
+
+
+def bars_for_timeframes(trades: DataFrame, timeframes: Sequence[str], wide_ids: bool = False) -> DataFrame:
     """Bars of several timeframes from one pass over the tape.
 
-    The tape is folded once at the finest timeframe; the others are rolled up from those bars, whose
-    number is bounded by the calendar.
+    The tape is folded once at the finest timeframe; the others come from those bars, whose number
+    is bounded by the calendar.
     """
     finest = min(timeframes, key=timeframe_ms)
-    base = ohlcv(trades, finest, wide_ids)
-    out = base
-    for timeframe in timeframes:
-        if timeframe != finest:
-            out = out.unionByName(rollup_bars(base, finest, timeframe))
-    return out
+    return rollup_bars(ohlcv(trades, finest, wide_ids), finest, *timeframes)

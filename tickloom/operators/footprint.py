@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tickloom.functions.expressions import concatenated_json_array, floor_ms, round_to, round_to_tick, trade_order
-from tickloom.operators.bars import check_multiple
+from tickloom.operators.bars import target_bars
 from tickloom.schema import TICK_DECIMALS
 
 BAR = ["symbol", "timeframe", "time_rounded"]
@@ -80,16 +80,16 @@ def footprint_levels(
     )
 
 
-def rollup_levels(levels: DataFrame, source: str, target: str) -> DataFrame:
-    """Re-aggregate a long footprint to a longer timeframe."""
-    check_multiple(source, target)
+def rollup_levels(levels: DataFrame, source: str, *targets: str) -> DataFrame:
+    """Re-aggregate a long footprint to longer timeframes in one pass."""
     measures = [c for c in levels.columns if c.startswith("total_")]
     return (
-        levels.groupBy("symbol", floor_ms(F.unix_millis("time_rounded"), target).alias("bar_ms"), "price_level")
+        levels.select("*", F.inline(target_bars(source, targets)))
+        .groupBy("symbol", "target", "bar_ms", "price_level")
         .agg(*[F.sum(m).alias(m) for m in measures])
         .select(
             "symbol",
-            F.lit(target).alias("timeframe"),
+            F.col("target").alias("timeframe"),
             F.timestamp_millis("bar_ms").alias("time_rounded"),
             "price_level",
             *measures,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickloom.functions.expressions import floor_ms
 from tickloom.operators.prepare import in_universe
@@ -40,7 +40,11 @@ def exact_median(df: DataFrame, value: str, bins: int = MEDIAN_BINS) -> DataFram
     counts = df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("n"))
     total = counts.agg(F.sum("n")).scalar()
     counts = counts.withColumns(
-        {"lo": F.floor((total + 1) / 2).cast("bigint"), "hi": (F.floor(total / 2) + 1).cast("bigint"), "before": F.lit(0).cast("bigint")}
+        {
+            "lo": F.floor((total + 1) / 2).cast("bigint"),
+            "hi": (F.floor(total / 2) + 1).cast("bigint"),
+            "before": F.lit(0).cast("bigint"),
+        }
     )
     middle = _keep_middle_bins(_keep_middle_bins(counts, bins), bins)
     upto = F.sum("n").over(Window.partitionBy("before").orderBy("v"))
@@ -52,12 +56,18 @@ def exact_median(df: DataFrame, value: str, bins: int = MEDIAN_BINS) -> DataFram
     )
 
 
+def _span(df: DataFrame, value: str) -> tuple[Column, Column]:
+    """Smallest and largest value, from one scalar subquery."""
+    span = df.agg(F.struct(F.min(value).cast("double").alias("low"), F.max(value).cast("double").alias("high"))).scalar()
+    return span.getField("low"), span.getField("high")
+
+
 def _keep_middle_bins(counts: DataFrame, bins: int) -> DataFrame:
     """Keep the value counts of the bins that hold a middle rank; ``before`` counts all below the bin.
 
     At most two bins are kept per call, and the bin totals are at most ``bins`` rows.
     """
-    low, high = counts.agg(F.min("v")).scalar(), counts.agg(F.max("v")).scalar()
+    low, high = _span(counts, "v")
     share = F.coalesce(F.try_divide(F.col("v") - low, high - low), F.lit(0.0))
     binned = counts.withColumn("bin", F.least(F.floor(share * bins), F.lit(bins - 1)).cast("int"))
     sums = binned.groupBy("before", "bin").agg(F.sum("n").alias("held"))
@@ -89,7 +99,7 @@ def histogram(df: DataFrame, value: str, bins: int = 20) -> DataFrame:
 
     Every bin is present, also the empty ones.
     """
-    low, high = df.agg(F.min(value).cast("double")).scalar(), df.agg(F.max(value).cast("double")).scalar()
+    low, high = _span(df, value)
     share = F.coalesce(F.try_divide(F.col(value) - low, high - low), F.lit(0.0))
     number = F.least(F.floor(share * bins), F.lit(bins - 1)).cast("bigint")
     counted = df.where(F.col(value).isNotNull()).groupBy(number.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
