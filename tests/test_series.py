@@ -46,11 +46,11 @@ def test_scan_matches_a_loop(spark, size):
     b = b.with_columns({"d": F.col("close") - b.lag("close")})
     b = b.scan(
         {
-            "total": Recurrence(F.col("close")),
-            "slow": Recurrence(F.col("close") * 0.5, F.lit(0.5)),
-            "slower": Recurrence(a=F.lit(0.75), of={"slow": F.lit(0.25)}),
-            "held": Recurrence(F.when(F.col("i") % 11 == 4, F.col("d")), keep="last"),
-            "low": Recurrence(F.when(F.col("i") > 6, F.col("close")), keep="least"),
+            "total": Recurrence("close"),
+            "slow": Recurrence("close * 0.5D", "0.5D"),
+            "slower": Recurrence(a="0.75D", of={"slow": "0.25D"}),
+            "held": Recurrence("CASE WHEN i % 11 = 4 THEN d END", keep="last"),
+            "low": Recurrence("CASE WHEN i > 6 THEN close END", keep="least"),
         }
     )
     out = b.with_columns({"after": b.full(F.avg("slower"), "slower", 3)}).rows().cache()
@@ -74,11 +74,11 @@ def test_scan_matches_a_loop(spark, size):
 def test_scan_rejects_circles(spark):
     b = in_blocks(index_bars(series(spark)), size=16)
     with pytest.raises(ValueError):
-        b.scan({"x": Recurrence(a=F.lit(0.5), of={"y": F.lit(1.0)}), "y": Recurrence(a=F.lit(0.5), of={"x": F.lit(1.0)})})
+        b.scan({"x": Recurrence(a="0.5D", of={"y": "1D"}), "y": Recurrence(a="0.5D", of={"x": "1D"})})
 
 
 def test_running_total(spark):
-    out = running_total(index_bars(series(spark)), {"t": F.col("volume")}, size=16)
+    out = running_total(index_bars(series(spark)), {"t": "volume"}, size=16)
     assert values(out, "t")[-1] == sum(1 + i % 7 for i in range(137))
 
 

@@ -6,19 +6,21 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, functions as F
 
-from tickloom.operators.indicators.spec import Indicator, Phase, at_least, source, source_sql
+from tickloom.operators.indicators.spec import Indicator, Phase, at_least, source_sql
 from tickloom.operators.series import Blocks, Recurrence
 
 
-def smooth(x: str, n: int, alpha: float, rank: str) -> Recurrence:
+def smooth(x: str, n: int, alpha: float, rank: str, gaps: bool = False) -> Recurrence:
     """Exponential smoothing of the SQL expression ``x``, seeded with the mean of the first n inputs.
 
     ``rank`` counts the inputs from 1 (0 or less before the first). While the seed builds up each
-    input adds x/n, so the value at rank n is their mean. A null input leaves the value as it is.
+    input adds x/n, so the value at rank n is their mean. With ``gaps``, a null input later on leaves
+    the value as it is; without, smoothings of equal length share their factor.
     """
+    known = f" AND {x} IS NOT NULL" if gaps else ""
     return Recurrence(
-        a=F.expr(f"CASE WHEN {rank} > {n} AND {x} IS NOT NULL THEN {1.0 - alpha!r}D ELSE 1D END"),
-        b=F.expr(f"CASE WHEN {rank} > {n} THEN {alpha!r}D * {x} WHEN {rank} > 0 THEN {x} / {n} END"),
+        a=f"CASE WHEN {rank} > {n}{known} THEN {1.0 - alpha!r}D ELSE 1D END",
+        b=f"CASE WHEN {rank} > {n} THEN {alpha!r}D * {x} WHEN {rank} > 0 THEN {x} / {n} END",
     )
 
 
@@ -26,8 +28,8 @@ def smooth_of(weights: Mapping[str, float], n: int, alpha: float, rank: str) ->
     """As :func:`smooth`, of a weighted sum of running values of the same scan."""
     share = f"CASE WHEN {rank} > {n} THEN {alpha!r}D WHEN {rank} > 0 THEN 1D / {n} ELSE 0D END"
     return Recurrence(
-        a=F.expr(f"CASE WHEN {rank} > {n} THEN {1.0 - alpha!r}D ELSE 1D END"),
-        of={name: F.expr(f"({share}) * {w!r}D") for name, w in weights.items()},
+        a=f"CASE WHEN {rank} > {n} THEN {1.0 - alpha!r}D ELSE 1D END",
+        of={name: share if w == 1.0 else f"({share}) * {w!r}D" for name, w in weights.items()},
     )
 
 
@@ -50,7 +52,7 @@ def _single(name: str, n: int, alpha: float, x: str) -> Indicator:
         (name,),
         (
             Phase((), lambda: {y: smooth(x, n, alpha, row_rank())}),
-            Phase((lambda b: {name: from_rank(n, f"CASE WHEN {x} IS NOT NULL THEN {y} END", row_rank())},)),
+            Phase((lambda b: {name: from_rank(n, y, row_rank())},)),
         ),
     )
 
@@ -160,7 +162,7 @@ def adx(length: int = 14) -> Indicator:
             Phase(
                 (moves,),
                 lambda: {
-                    first: Recurrence(F.expr(f"CASE WHEN {up} + {down} > 0 THEN i END"), keep="least"),
+                    first: Recurrence(f"CASE WHEN {up} + {down} > 0 THEN i END", keep="least"),
                     **{q: smooth(x, n, 1.0 / n, row_rank(1)) for q, x in ((qt, tr), (qu, up), (qd, down))},
                 },
             ),
@@ -172,7 +174,7 @@ def adx(length: int = 14) -> Indicator:
                     },
                     lambda b: {dx: F.expr(share)},
                 ),
-                lambda: {y: smooth(dx, n, 1.0 / n, rank)},
+                lambda: {y: smooth(dx, n, 1.0 / n, rank, gaps=True)},
             ),
             Phase((lambda b: {out: from_rank(n, f"CASE WHEN {dx} IS NOT NULL THEN {y} END", rank)},)),
         ),
@@ -243,7 +245,8 @@ def vidya(length: int = 14, column: str = "close") -> Indicator:
     n = at_least(length, 2)
     while n > 80:
         n = int(n * 0.33)
-    name, x, alpha = f"VIDYA_{n}", source(column), ema_alpha(n)
+    name, price, alpha = f"VIDYA_{n}", source_sql(column), ema_alpha(n)
+    x = F.expr(price)
     change, k, y = f"_{name}_change", f"_{name}_k", f"_{name}_y"
 
     def momentum(b: Blocks) -> dict[str, Column]:
@@ -251,7 +254,6 @@ def vidya(length: int = 14, column: str = "close") -> Indicator:
         # A window without moves has no momentum and leaves the value as it is.
         return {k: F.coalesce(F.abs(F.try_divide(net, way)), F.lit(0.0))}
 
-    running = F.col("i") > n
     return Indicator(
         (name,),
         (
@@ -259,12 +261,12 @@ def vidya(length: int = 14, column: str = "close") -> Indicator:
                 (lambda b: {change: x - b.lag(x)}, momentum),
                 lambda: {
                     y: Recurrence(
-                        a=F.when(running, 1 - alpha * F.col(k)).otherwise(1.0),
-                        b=F.when(running, alpha * F.col(k) * x).when(F.col("i") == n, x).otherwise(0.0),
+                        a=f"CASE WHEN i > {n} THEN 1 - {alpha!r}D * {k} END",
+                        b=f"CASE WHEN i > {n} THEN {alpha!r}D * {k} * {price} WHEN i = {n} THEN {price} END",
                     )
                 },
             ),
-            Phase((lambda b: {name: F.when(F.col("i") >= n, F.col(y))},)),
+            Phase((lambda b: {name: from_rank(n, y, "i")},)),
         ),
         pre=n + 1,
     )
@@ -273,7 +275,8 @@ def vidya(length: int = 14, column: str = "close") -> Indicator:
 def kama(length: int = 10, fast: int = 2, slow: int = 30, column: str = "close") -> Indicator:
     """Kaufman's adaptive average, seeded with the mean of the first n prices."""
     n = at_least(length, 2)
-    name, x, quick, lazy = f"KAMA_{n}_{fast}_{slow}", source(column), ema_alpha(fast), ema_alpha(slow)
+    name, price, quick, lazy = f"KAMA_{n}_{fast}_{slow}", source_sql(column), ema_alpha(fast), ema_alpha(slow)
+    x = F.expr(price)
     step, rate, y = f"_{name}_step", f"_{name}_rate", f"_{name}_y"
 
     def factor(b: Blocks) -> dict[str, Column]:
@@ -281,7 +284,6 @@ def kama(length: int = 10, fast: int = 2, slow: int = 30, column: str = "close")
         share = F.coalesce(F.try_divide(F.abs(x - b.lag(x, n)), way), F.lit(0.0))
         return {rate: F.pow(share * (quick - lazy) + lazy, F.lit(2.0))}
 
-    running = F.col("i") >= n
     return Indicator(
         (name,),
         (
@@ -289,8 +291,8 @@ def kama(length: int = 10, fast: int = 2, slow: int = 30, column: str = "close")
                 (lambda b: {step: F.abs(x - b.lag(x))}, factor),
                 lambda: {
                     y: Recurrence(
-                        a=F.when(running, 1 - F.col(rate)).otherwise(1.0),
-                        b=F.when(running, F.col(rate) * x).otherwise(x / n),
+                        a=f"CASE WHEN i >= {n} THEN 1 - {rate} END",
+                        b=f"CASE WHEN i >= {n} THEN {rate} * {price} ELSE {price} / {n} END",
                     )
                 },
             ),
@@ -314,7 +316,7 @@ def obv() -> Indicator:
                         )
                     },
                 ),
-                lambda: {y: Recurrence(F.col(flow))},
+                lambda: {y: Recurrence(flow)},
             ),
             Phase((lambda b: {"OBV": F.col(y)},)),
         ),

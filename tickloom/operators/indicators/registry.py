@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import replace
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from tickloom.operators.indicators import recurrent, stateful, windowed
 from tickloom.operators.indicators.spec import Indicator, Phase, ref
@@ -124,12 +124,14 @@ def add_indicators(
     Works on bars with ``open, high, low, close`` and ``volume`` (or ``qty``). The block-wise
     indicators share their passes: equal phases run in the same projection and the same scan. A scan
     reads its input twice, for the borders and for the rows; ``cut`` may write a frame out and return
-    it as a table, so that a second scan does not repeat the first.
+    it as a table, so that a second scan does not repeat the first. Bars without a price have no
+    indicators and do not count as rows of a look-back.
     """
     bars = bars.withColumnRenamed("qty", "volume") if "volume" not in bars.columns else bars
     outputs = [name for x in indicators for name in x.outputs]
     check_unique([*bars.columns, *outputs])
-    indexed = bars if "n_bars" in bars.columns else cut(index_bars(bars, keys))
+    priced = F.col("open").isNotNull() & F.col("close").isNotNull()
+    indexed = bars if "n_bars" in bars.columns else cut(index_bars(bars.where(priced), keys))
     plain = [x for x in indicators if isinstance(x, Indicator)]
     if plain:
         blocks = in_blocks(indexed, max(x.pre for x in plain), max(x.post for x in plain), keys, size)
@@ -146,7 +148,10 @@ def add_indicators(
         done = [name for x in plain for name in x.outputs]
         indexed = blocks.rows().select(*[ref(c) for c in (*indexed.columns, *done)])
     table = add_stateful(indexed, [x for x in indicators if isinstance(x, Stateful)], keys)
-    return table.select(*[ref(c) for c in bars.columns if c != "n_bars"], *[ref(c) for c in outputs])
+    out = table.select(*[ref(c) for c in bars.columns if c != "n_bars"], *[ref(c) for c in outputs])
+    if "n_bars" in bars.columns:
+        return out
+    return out.unionByName(bars.where(~priced), allowMissingColumns=True)
 
 
 def indicator_table(

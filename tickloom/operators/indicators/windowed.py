@@ -137,19 +137,14 @@ def willr(length: int = 14) -> Indicator:
 
 def cci(length: int = 20, c: float = 0.015) -> Indicator:
     n, name, tp = at_least(length, 1), f"CCI_{int(length)}_{c}", source("hlc3")
-    mean, rows = f"_CCI_{n}_mean", f"_CCI_{n}_rows"
+    mean = f"_CCI_{n}_mean"
 
     def deviation(b: Blocks) -> dict[str, Column]:
-        apart = F.transform(rows, lambda v: F.abs(v - F.col(mean)))
+        apart = F.transform(F.collect_list(tp).over(b.last(n)), lambda v: F.abs(v - F.col(mean)))
         spread = F.aggregate(apart, F.lit(0.0), lambda total, v: total + v) / n
         return {name: F.try_divide(tp - F.col(mean), c * spread)}
 
-    return windowed(
-        (name,),
-        n,
-        lambda b: {mean: b.full(F.avg(tp), tp, n), rows: F.collect_list(tp).over(b.last(n))},
-        deviation,
-    )
+    return windowed((name,), n, lambda b: {mean: b.full(F.avg(tp), tp, n)}, deviation)
 
 
 def roc(length: int = 12, column: str = "close") -> Indicator:
@@ -207,7 +202,7 @@ def hilo(length: int = 13) -> Indicator:
         (
             Phase(
                 (lambda b: {high: b.full(F.avg("high"), "high", n), low: b.full(F.avg("low"), "low", m)}, choose),
-                lambda: {held: Recurrence(F.col(pick), keep="last")},
+                lambda: {held: Recurrence(pick, keep="last")},
             ),
             Phase((lambda b: {name: F.col(held)},)),
         ),

@@ -63,7 +63,7 @@ def delta_columns(totals: DataFrame, ema_length: int = 9, size: int = BLOCK) ->
     alpha = ema_alpha(ema_length)
     scanned = blocks.scan(
         {
-            "_total": Recurrence(delta),
+            "_total": Recurrence("ask - bid"),
             **{f"_{s}": smooth(s, ema_length, alpha, row_rank()) for s in SIDES},
         }
     ).rows()
@@ -81,7 +81,7 @@ def delta_columns(totals: DataFrame, ema_length: int = 9, size: int = BLOCK) ->
 def cumulative_delta(totals: DataFrame, size: int = BLOCK) -> DataFrame:
     """Add ``delta`` and ``cumulative_delta`` only."""
     delta = F.col("ask") - F.col("bid")
-    summed = running_total(index_bars(totals), {"_total": delta}, size=size)
+    summed = running_total(index_bars(totals), {"_total": "ask - bid"}, size=size)
     return summed.withColumns({"delta": delta, "cumulative_delta": F.col("_total") / DELTA_SCALE}).drop(
         "_total", "n_bars"
     )

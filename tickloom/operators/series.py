@@ -71,16 +71,16 @@ def index_bars(bars: DataFrame, keys: Sequence[str] = SERIES, time: str = "time_
 
 @dataclass(frozen=True)
 class Recurrence:
-    """One running value ``y = a*y_prev + b + sum(w*other)``.
+    """One running value ``y = a*y_prev + b + sum(w*other)``, all SQL expressions over the row.
 
-    ``a`` None means 1. ``of`` holds the weights of other running values of the same scan, so chained
-    smoothings need one scan. ``keep`` replaces the sum: ``"last"`` carries the last non-null ``b``
-    forward, ``"least"`` the smallest.
+    ``a`` None means 1; a null ``a`` or ``b`` leaves the value as it is. ``of`` holds the weights of
+    other running values of the same scan, so chained smoothings need one scan. ``keep`` replaces the
+    sum: ``"last"`` carries the last non-null ``b`` forward, ``"least"`` the smallest.
     """
 
-    b: Column | None = None
-    a: Column | None = None
-    of: Mapping[str, Column] = field(default_factory=dict)
+    b: str | None = None
+    a: str | None = None
+    of: Mapping[str, str] = field(default_factory=dict)
     keep: str | None = None
 
 
@@ -131,25 +131,11 @@ class Blocks:
         ahead = f"({order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
         tag = {name: f"_r{k}" for k, name in enumerate(running)}
 
-        # Inputs are neutral before the scan starts: a = 1, everything else 0 (or null where kept).
-        given, neutral = {}, {}
-        for name, r in running.items():
-            t = tag[name]
-            if r.b is not None:
-                given[f"{t}_b"], neutral[f"{t}_b"] = r.b, None if r.keep else 0.0
-            if r.a is not None:
-                given[f"{t}_a"], neutral[f"{t}_a"] = r.a, 1.0
-            for other, weight in r.of.items():
-                given[f"{t}_w{tag[other]}"], neutral[f"{t}_w{tag[other]}"] = weight, 0.0
-        masked = [
-            f"CASE WHEN i >= {start} THEN double({c}) END AS {c}"
-            if n is None
-            else f"CASE WHEN i >= {start} THEN coalesce(double({c}), {n}D) ELSE {n}D END AS {c}"
-            for c, n in neutral.items()
-        ]
-        product = self._ordered().rowsBetween(Window.unboundedPreceding, 0)
-        products = {f"{t}_p": F.product(f"{t}_a").over(product) for t in tag.values() if f"{t}_a" in given}
-        df = self.df.withColumns(given).selectExpr(*[f"`{c}`" for c in self.df.columns], *masked).withColumns(products)
+        # The rows before the start have served the look-back windows. Equal factors share a product.
+        factors = {a: f"_p{k}" for k, a in enumerate(dict.fromkeys(r.a for r in running.values() if r.a))}
+        window = self._ordered().rowsBetween(Window.unboundedPreceding, 0)
+        products = {p: F.coalesce(F.product(F.expr(a)).over(window), F.lit(1.0)) for a, p in factors.items()}
+        df = self.df.where(f"i >= {start}").withColumns(products)
 
         # parts[name] maps each carried value (or "0" for the constant part) to its expression.
         parts: dict[str, dict[str, str]] = {}
@@ -161,20 +147,22 @@ class Blocks:
             for name in level:
                 r, t = running[name], tag[name]
                 if r.keep:
-                    kept = f"last({t}_b, true)" if r.keep == "last" else f"min({t}_b)"
-                    sums.append(f"{kept} OVER {ahead} AS {t}_0")
+                    kept = f"last({r.b}, true)" if r.keep == "last" else f"min({r.b})"
+                    sums.append(f"double({kept} OVER {ahead}) AS {t}_0")
                     parts[name] = {"0": f"{t}_0"}
                     continue
-                p = f"{t}_p" if r.a is not None else "1D"
-                flows: dict[str, list[str]] = {"0": [f"{t}_b"] if r.b is not None else []}
-                for other in r.of:
+                p = factors[r.a] if r.a else "1D"
+                flows: dict[str, list[str]] = {"0": [f"({r.b})"] if r.b else []}
+                for other, weight in r.of.items():
                     for carried, part in parts[other].items():
-                        flows.setdefault(carried, []).append(f"{t}_w{tag[other]} * ({part})")
+                        flows.setdefault(carried, []).append(f"({weight}) * ({part})")
                 parts[name] = {t: p}
                 for carried, terms in flows.items():
                     column = f"{t}_of{carried}"
-                    sums.append(f"sum(({' + '.join(terms) or '0D'}) / {p}) OVER {ahead} AS {column}")
-                    parts[name][carried] = f"{p} * {column}"
+                    term = " + ".join(terms) or "0D"
+                    term = f"({term}) / {p}" if r.a else term
+                    sums.append(f"coalesce(sum({term}) OVER {ahead}, 0D) AS {column}")
+                    parts[name][carried] = f"{p} * {column}" if r.a else column
             df = df.selectExpr("*", *sums)
 
         values = {(n, c): f"{tag[n]}_v{c}" for n, ps in parts.items() for c in ps}
@@ -228,6 +216,6 @@ def in_blocks(
     return Blocks(indexed.withColumn("_block", F.explode(homes)), tuple(keys), pre, post, size)
 
 
-def running_total(indexed: DataFrame, totals: Mapping[str, Column], keys: Sequence[str] = SERIES, size: int = BLOCK) -> DataFrame:
+def running_total(indexed: DataFrame, totals: Mapping[str, str], keys: Sequence[str] = SERIES, size: int = BLOCK) -> DataFrame:
     """Add cumulative sums along each series."""
-    return in_blocks(indexed, keys=keys, size=size).scan({k: Recurrence(b=c) for k, c in totals.items()}).rows()
+    return in_blocks(indexed, keys=keys, size=size).scan({k: Recurrence(c) for k, c in totals.items()}).rows()
