@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import replace
 from typing import Any
 
 from pyspark.sql import DataFrame, functions as F
@@ -117,21 +116,19 @@ def add_indicators(
     indicators: Sequence[Indicator | Stateful],
     keys: Sequence[str] = SERIES,
     size: int = BLOCK,
-    cut: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
     """Bars with the outputs of all indicators, for every series in the frame.
 
     Works on bars with ``open, high, low, close`` and ``volume`` (or ``qty``). The block-wise
-    indicators share their passes: equal phases run in the same projection and the same scan. A scan
-    reads its input twice, for the borders and for the rows; ``cut`` may write a frame out and return
-    it as a table, so that a second scan does not repeat the first. Bars without a price have no
-    indicators and do not count as rows of a look-back.
+    indicators share their passes: equal phases run in the same projection and the same scan. Bars
+    should be a table: a scan reads its input twice, for the borders and for the rows. Bars without a
+    price have no indicators and do not count as rows of a look-back.
     """
     bars = bars.withColumnRenamed("qty", "volume") if "volume" not in bars.columns else bars
     outputs = [name for x in indicators for name in x.outputs]
     check_unique([*bars.columns, *outputs])
     priced = F.col("open").isNotNull() & F.col("close").isNotNull()
-    indexed = bars if "n_bars" in bars.columns else cut(index_bars(bars.where(priced), keys))
+    indexed = bars if "n_bars" in bars.columns else index_bars(bars.where(priced), keys)
     plain = [x for x in indicators if isinstance(x, Indicator)]
     if plain:
         blocks = in_blocks(indexed, max(x.pre for x in plain), max(x.post for x in plain), keys, size)
@@ -142,8 +139,6 @@ def add_indicators(
                     {n: c for p in phases if layer < len(p.layers) for n, c in p.layers[layer](blocks).items()}
                 )
             running = {n: r for p in phases if p.running for n, r in p.running().items()}
-            if running and step:
-                blocks = replace(blocks, df=cut(blocks.df))
             blocks = blocks.scan(running)
         done = [name for x in plain for name in x.outputs]
         indexed = blocks.rows().select(*[ref(c) for c in (*indexed.columns, *done)])
@@ -159,10 +154,9 @@ def indicator_table(
     config: Sequence[Mapping[str, Any]] = CATALOGUE,
     keys: Sequence[str] = SERIES,
     size: int = BLOCK,
-    cut: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> tuple[DataFrame, dict[str, str]]:
     """Run a configured list over all series; returns the table and the failures by name."""
     built, failed = build_all(config)
-    return add_indicators(bars, built, keys, size, cut), failed
+    return add_indicators(bars, built, keys, size), failed
 
 

@@ -101,9 +101,9 @@ def with_minute_parts(df: DataFrame, ms: str = "transact_time") -> DataFrame:
     stamp = F.timestamp_millis(F.col(ms))
     return df.withColumns(
         {
-            "day": F.date_format(stamp, "yyyy-MM-dd"),
-            "hour": F.date_format(stamp, "HH"),
-            "minute": F.date_format(stamp, "mm"),
+            "day": stamp.cast("date").cast("string"),
+            "hour": F.lpad(F.hour(stamp).cast("string"), 2, "0"),
+            "minute": F.lpad(F.minute(stamp).cast("string"), 2, "0"),
         }
     )
 

@@ -36,14 +36,15 @@ def index_in_order(
     """Number rows 0.. per key in ``order`` without a window over the whole key.
 
     ``bucket`` must not decrease along ``order``. Rows are numbered per ``(key, bucket)`` and shifted
-    by the number of rows in earlier buckets, taken from one row per bucket. ``count`` also adds the
-    rows per key.
+    by the number of rows in earlier buckets. Those numbers come from a count of their own, combined
+    map-side over the key columns alone: one row per bucket. ``count`` also adds the rows per key. Rows
+    with a null key or bucket keep a null number.
     """
     keys = list(keys)
     cut = df.withColumn("_bucket", bucket)
     within = Window.partitionBy(*keys, "_bucket").orderBy(*order)
+    sizes = cut.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_size"))
     cut = cut.withColumn("_rank", F.row_number().over(within).cast("bigint"))
-    sizes = cut.groupBy(*keys, "_bucket").agg(F.max("_rank").alias("_size"))
     per_key = Window.partitionBy(*keys)
     offsets = sizes.select(
         *keys,
@@ -53,7 +54,7 @@ def index_in_order(
         ).alias("_before"),
         F.sum("_size").over(per_key).alias("_total"),
     )
-    out = cut.join(offsets, [*keys, "_bucket"]).withColumn(name, F.col("_before") + F.col("_rank") - 1)
+    out = cut.join(offsets, [*keys, "_bucket"], "left").withColumn(name, F.col("_before") + F.col("_rank") - 1)
     if count:
         out = out.withColumn(count, F.col("_total"))
     return out.drop("_bucket", "_rank", "_before", "_total")

@@ -29,11 +29,17 @@ def trade_row_keys(trades: DataFrame) -> DataFrame:
     Numbering runs per minute and is shifted by the trades of earlier minutes: a hot symbol's month
     is spread over its minutes, and the offsets are at most 44 640 rows per symbol and month.
     """
-    stamp = F.timestamp_millis("transact_time")
-    dated = trades.withColumn("month", F.date_format(stamp, "yyyy-MM"))
-    minute = F.floor(F.col("transact_time") / 60000)
-    numbered = index_in_order(dated, ["symbol", "month"], ["transact_time", "agg_trade_id"], minute, "seq")
-    return numbered.withColumn("row_key", F.concat_ws("#", "symbol", "month", F.col("seq").cast("string")))
+    time = F.col("transact_time")
+    dated = trades.withColumn("_month", F.trunc(F.timestamp_millis(time), "month"))
+    minute = time - F.pmod(time, F.lit(60_000))
+    numbered = index_in_order(dated, ["symbol", "_month"], ["transact_time", "agg_trade_id"], minute, "seq")
+    month = F.substring(F.col("_month").cast("string"), 1, 7)
+    return numbered.withColumns(
+        {
+            "month": month,
+            "row_key": F.concat("symbol", F.lit("#"), month, F.lit("#"), F.col("seq").cast("string")),
+        }
+    ).drop("_month")
 
 
 def trade_cells(

@@ -58,7 +58,7 @@ def append_minutes(trades: DataFrame, path: str) -> None:
 
 def merge_day(day: DataFrame, path: str, keys: Sequence[str] = TRADE_KEY) -> None:
     """Merge a day's trades into the month partition of a tape partitioned by ``symbol, month``."""
-    month = F.date_format(F.timestamp_millis("transact_time"), "yyyy-MM")
+    month = F.substring(F.timestamp_millis("transact_time").cast("date").cast("string"), 1, 7)
     upsert_partitions(day.withColumn("month", month), path, ["symbol", "month"], keys)
 
 
