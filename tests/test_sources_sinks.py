@@ -1,3 +1,4 @@
+import re
 from datetime import datetime, timezone
 
 import pytest
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 from tests.helpers import HOUR, random_rows, tape
 from tickloom.operators.bars import ohlcv
 from tickloom.operators.footprint import bars_with_footprint
+from tickloom.operators.prepare import with_minute_parts
 from tickloom.plans import batch
 from tickloom.schema import AGG_TRADES, KLINES
 from tickloom.sinks import files, writers
@@ -148,6 +150,16 @@ def test_minute_upsert(spark, tmp_path):
     assert spark.read.parquet(out).count() == 4
 
 
+def test_upsert_opens_only_touched_days(spark, tmp_path):
+    out = f"{tmp_path}/minutes"
+    writers.append_minutes(tape(spark, [("A", k, 1.0, 1.0, k * DAY, True) for k in range(5)]), out)
+    new = with_minute_parts(tape(spark, [("A", 9, 1.0, 1.0, 3 * DAY, True)]))
+    stored = writers.stored_partitions(new, out, writers.MINUTE_PARTS, "day")
+    assert ids(stored) == [3]
+    text = stored._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*array_contains", text)
+
+
 def test_day_is_merged_into_its_month(spark, tmp_path):
     out = f"{tmp_path}/tape"
     writers.merge_day(tape(spark, [("A", 1, 1.0, 1.0, 0, True), ("A", 2, 1.0, 1.0, 40 * DAY, True)]), out)

@@ -297,6 +297,18 @@ register(
     CASE WHEN maker THEN qty END AS bid_qty, CASE WHEN NOT maker THEN price END AS ask_price,
     CASE WHEN NOT maker THEN qty END AS ask_qty FROM tape""",
 )
+register(
+    "bars_in_time_order",
+    lambda spark, d: flat(bars.ohlcv(tape_events(spark, d), "12h").orderBy("symbol", "time_rounded")),
+    f"WITH {bars_sql('12h')} SELECT symbol, bar_ms, open, close, high, low, qty FROM bars ORDER BY symbol, bar_ms",
+)
+register(
+    "levels_in_price_order",
+    lambda spark, d: flat(
+        footprint.footprint_levels(tape_events(spark, d), "12h", EVENT_TICKS).orderBy("symbol", "time_rounded", "price_level")
+    ),
+    f"WITH {levels_sql('12h')} SELECT symbol, bar_ms, price_level, {LEVEL_NAMES} FROM levels ORDER BY 1, 2, 3",
+)
 register(
     "price_levels",
     lambda spark, d: footprint.with_price_level(tape_events(spark, d), EVENT_TICKS).select("agg_trade_id", "price_level"),

@@ -11,16 +11,18 @@ from tickloom.plans.stage import staged
 EVENT_TICKS = {"S0": 0, "S1": 0, "S2": 1}
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    # The tables carry UTC wall times without a zone; epoch times need the session to read them so.
+def utc(spark: SparkSession) -> None:
+    """The tables carry UTC wall times without a zone; epoch times need the session to read them so."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    utc(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tape_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trades from ``events``: unique ids, millisecond times, four symbols."""
-    e = _table(spark, sf_dir, "events")
-    return e.select(
+def as_tape(events: DataFrame) -> DataFrame:
+    return events.select(
         F.concat(F.lit("S"), (F.col("user_id") % 4).cast("string")).alias("symbol"),
         F.col("event_id").alias("agg_trade_id"),
         F.col("value").alias("price"),
@@ -32,6 +34,11 @@ def tape_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tape_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trades from ``events``: unique ids, millisecond times, four symbols."""
+    return as_tape(_table(spark, sf_dir, "events"))
+
+
 def tape_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Volume tape from ``lineitem``: day-resolution times and no unique id."""
     li = _table(spark, sf_dir, "lineitem")

@@ -32,24 +32,35 @@ def write_bars(bars: DataFrame, path: str) -> None:
     write_partitions(bars, path, ["symbol", "timeframe"], ["time_rounded"])
 
 
+def stored_partitions(new: DataFrame, path: str, parts: Sequence[str], dates: str) -> DataFrame:
+    """Stored rows of the partitions ``new`` has rows for.
+
+    The set of ``dates`` values of the new rows (calendar-bounded) prunes the partitions before any
+    file is opened; the semi join then keeps exactly the touched ones.
+    """
+    stored = new.sparkSession.read.schema(new.schema).parquet(path)
+    touched = new.agg(F.collect_set(dates)).scalar()
+    pruned = stored.where(F.array_contains(touched, F.col(dates)))
+    return pruned.join(new.select(*parts).distinct(), list(parts), "left_semi").select(*new.columns)
+
+
 def upsert_partitions(
-    new: DataFrame, path: str, parts: Sequence[str], keys: Sequence[str] = TRADE_KEY, order: Sequence[str] = ()
+    new: DataFrame,
+    path: str,
+    parts: Sequence[str],
+    dates: str,
+    keys: Sequence[str] = TRADE_KEY,
+    order: Sequence[str] = (),
 ) -> None:
     """Merge rows into their partitions: one row per key, the new row wins; other partitions stay."""
-    spark = new.sparkSession
-    merged = new
-    if files.exists(spark, path):
-        stored = spark.read.schema(new.schema).parquet(path)
-        touched = stored.join(new.select(*parts).distinct(), list(parts), "left_semi")
-        merged = append_and_dedupe(touched.select(*new.columns), new, keys, order)
-    else:
-        merged = append_and_dedupe(new.limit(0), new, keys, order)
+    stored = stored_partitions(new, path, parts, dates) if files.exists(new.sparkSession, path) else new.limit(0)
+    merged = append_and_dedupe(stored, new, keys, order)
     write_partitions(merged, path, parts, [c for c in ("transact_time",) if c in new.columns])
 
 
 def upsert_minutes(trades: DataFrame, path: str, keys: Sequence[str] = TRADE_KEY) -> None:
     """Merge landed trades into their minute partitions."""
-    upsert_partitions(with_minute_parts(trades), path, MINUTE_PARTS, keys)
+    upsert_partitions(with_minute_parts(trades), path, MINUTE_PARTS, "day", keys)
 
 
 def append_minutes(trades: DataFrame, path: str) -> None:
@@ -59,7 +70,7 @@ def append_minutes(trades: DataFrame, path: str) -> None:
 def merge_day(day: DataFrame, path: str, keys: Sequence[str] = TRADE_KEY) -> None:
     """Merge a day's trades into the month partition of a tape partitioned by ``symbol, month``."""
     month = F.substring(F.timestamp_millis("transact_time").cast("date").cast("string"), 1, 7)
-    upsert_partitions(day.withColumn("month", month), path, ["symbol", "month"], keys)
+    upsert_partitions(day.withColumn("month", month), path, ["symbol", "month"], "month", keys)
 
 
 def write_csv_archive(df: DataFrame, base: str, at: datetime) -> str:
