@@ -129,3 +129,10 @@ def test_concatenated_json(spark):
 def test_analysis_frame_names(spark):
     frame = prepare.analysis_frame(footprint.bars_with_footprint(tape(spark, random_rows(20)), "1h"))
     assert frame.columns == ["symbol", "timeframe", "date", "open", "close", "high", "low", "volume", "total_bid_qty", "total_ask_qty", "footprint"]
+
+
+def test_trades_without_a_time_have_no_bar(spark):
+    t = tape(spark, [("A", 1, 3.0, 1.0, None, True), ("A", 2, 4.0, 1.0, 0, True)])
+    assert bars.ohlcv(t, "1h").count() == 1
+    assert footprint.footprint_levels(t, "1h").count() == 1
+    assert footprint.bars_with_footprint(t, "1h").count() == 1

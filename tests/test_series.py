@@ -211,3 +211,18 @@ def test_trade_row_keys_count_months_from_zero(spark):
         month = "2024-01" if t < 1706745600000 else "2024-02" if t < 1709251200000 else "2024-03"
         seen[i] = f"{s}#{month}#{sum(1 for k in seen.values() if k.startswith(f'{s}#{month}#'))}"
     assert by_key(df, "agg_trade_id", "row_key") == seen
+
+
+def test_unpriced_bars_are_returned_without_indicators(spark):
+    bars = series(spark, n=30, gap=False)
+    hole = bars.withColumns({c: F.when(F.col("time_rounded") != F.timestamp_millis(F.lit(36_000_000)), F.col(c)) for c in ("open", "close", "high", "low")})
+    out = add_indicators(hole, [build("sma", {"length": 3})])
+    assert out.count() == 39
+    got = values(out, "SMA_3")
+    x = walk(30)
+    assert got[10] is None and got[11] == pytest.approx((x[8] + x[9] + x[11]) / 3)
+
+
+def test_unknown_timeframe_of_bars_fails(spark):
+    with pytest.raises(Exception, match="unsupported timeframe"):
+        index_bars(bars_of(spark, {"A": [1.0, 2.0]}, timeframe="2h")).collect()

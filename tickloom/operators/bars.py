@@ -14,12 +14,14 @@ def ohlcv(trades: DataFrame, timeframe: str, wide_ids: bool = False) -> DataFram
     """One row per ``(symbol, time_rounded)`` with open, close, high, low and quantity.
 
     Open and close are the first and last trade by (time, id), found without sorting. All five are
-    partial aggregates, so a symbol holding most of the tape is reduced before the shuffle.
+    partial aggregates, so a symbol holding most of the tape is reduced before the shuffle. Trades
+    without a time belong to no bar.
     """
     order = trade_order("transact_time", "agg_trade_id", timeframe, wide_ids)
     # The key of a row without a price is null, so min_by and max_by skip that row.
     priced = F.when(F.col("price").isNotNull(), order)
-    bars = trades.groupBy("symbol", floor_ms("transact_time", timeframe).alias("bar_ms")).agg(
+    timed = trades.where(F.col("transact_time").isNotNull())
+    bars = timed.groupBy("symbol", floor_ms("transact_time", timeframe).alias("bar_ms")).agg(
         F.min_by("price", priced).alias("open"),
         F.max_by("price", priced).alias("close"),
         F.max("price").alias("high"),

@@ -58,10 +58,10 @@ def footprint_levels(
 ) -> DataFrame:
     """Long footprint: one row per ``(symbol, time_rounded, price_level)`` with both sides.
 
-    Trades without price, quantity or side are left out. A side that did not trade at the level is
+    Trades without price, quantity, side or time are left out. A side that did not trade at the level is
     zero. ``trades_aggr`` adds the per-side count of aggregated trades.
     """
-    known = trades.where(_complete() & F.col("is_buyer_maker").isNotNull())
+    known = trades.where(_complete() & F.col("is_buyer_maker").isNotNull() & F.col("transact_time").isNotNull())
     sums = side_sums()
     if trades_aggr:
         sums += [F.sum(F.when(_on(side), 1).otherwise(0)).alias(f"total_{side}_trades_aggr") for side in SIDES]
@@ -163,7 +163,7 @@ def bars_with_footprint(
     priced = F.when(F.col("price").isNotNull(), order)
     usable = _complete() & F.col("is_buyer_maker").isNotNull()
     levels = (
-        with_price_level(trades, ticks, decimals)
+        with_price_level(trades.where(F.col("transact_time").isNotNull()), ticks, decimals)
         .groupBy("symbol", floor_ms("transact_time", timeframe).alias("bar_ms"), "price_level")
         .agg(
             *side_sums(_complete()),

@@ -22,9 +22,9 @@ INDEX_BUCKET = 4096
 
 
 def bar_width_ms(timeframe: str | Column = "timeframe") -> Column:
-    """Bar width in ms looked up from a timeframe column."""
+    """Bar width in ms looked up from a timeframe column; an unknown timeframe fails the job."""
     name = F.col(timeframe) if isinstance(timeframe, str) else timeframe
-    out = F.lit(None).cast("bigint")
+    out = F.raise_error(F.concat(F.lit("unsupported timeframe "), F.coalesce(name, F.lit("null")))).cast("bigint")
     for known, seconds in TIMEFRAMES.items():
         out = F.when(name == known, F.lit(seconds * 1000)).otherwise(out)
     return out

@@ -11,14 +11,18 @@ from tickloom.operators.prepare import in_universe
 
 
 def trade_summary(trades: DataFrame, keys: Sequence[str] = ("symbol",)) -> DataFrame:
-    """Counts, volume, notional, means and extremes of the trades per key."""
-    notional = F.col("price").cast("decimal(20,8)") * F.col("quantity").cast("decimal(20,8)")
+    """Counts, volume, notional, means and extremes of the trades per key.
+
+    Notional and means go through decimals (8 places), so they do not depend on the order of rows.
+    """
+    price, quantity = F.col("price").cast("decimal(20,8)"), F.col("quantity").cast("decimal(20,8)")
+    notional = price * quantity
     return trades.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("total_trades"),
         F.sum("quantity").alias("total_volume"),
         F.sum(notional).cast("double").alias("total_value"),
-        F.avg("price").alias("average_price"),
-        F.avg("quantity").alias("average_quantity"),
+        F.avg(price).cast("double").alias("average_price"),
+        F.avg(quantity).cast("double").alias("average_quantity"),
         F.max("price").alias("max_price"),
         F.min("price").alias("min_price"),
         F.count_if(F.col("is_buyer_maker")).alias("buyer_market_trades"),

@@ -66,7 +66,7 @@ _stream(
     BAR,
     f"""WITH {TAPE} SELECT symbol, t - t % 3600000 AS bar_ms, count(*) AS total_trades, sum(qty) AS total_volume,
     round(CAST(sum(CAST(price AS DECIMAL(18,4)) * CAST(qty AS DECIMAL(18,4))) AS DOUBLE), 6) AS total_value,
-    round(avg(price), 6) AS average_price, round(avg(qty), 6) AS average_quantity, max(price) AS max_price,
+    round(CAST(sum(CAST(price AS DECIMAL(18,4))) AS DOUBLE) / count(*), 6) AS average_price, round(avg(qty), 6) AS average_quantity, max(price) AS max_price,
     min(price) AS min_price, count(*) FILTER (WHERE maker) AS buyer_market_trades,
     count(*) FILTER (WHERE NOT maker) AS seller_market_trades FROM tape GROUP BY ALL""",
     "total_value", "average_price", "average_quantity",

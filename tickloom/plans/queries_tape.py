@@ -54,8 +54,7 @@ register(
 
 
 def _volume_bars(spark: SparkSession, d: str) -> DataFrame:
-    out = flat(bars.ohlcv(tape_lineitem(spark, d), "1w")).select("symbol", "bar_ms", "high", "low", "qty")
-    return rounded(out, "high", "low")
+    return flat(bars.ohlcv(tape_lineitem(spark, d), "1w")).select("symbol", "bar_ms", "high", "low", "qty")
 
 
 LINEITEM = """li AS (SELECT 'P' || CAST(l_partkey % 4 AS VARCHAR) AS symbol, l_extendedprice / l_quantity AS price,
@@ -63,8 +62,8 @@ LINEITEM = """li AS (SELECT 'P' || CAST(l_partkey % 4 AS VARCHAR) AS symbol, l_e
 register(
     "volume_bars_1w",
     _volume_bars,
-    f"""WITH {LINEITEM} SELECT symbol, t - t % 604800000 AS bar_ms, round(max(price), 6) AS high,
-    round(min(price), 6) AS low, sum(qty) AS qty FROM li GROUP BY ALL""",
+    f"""WITH {LINEITEM} SELECT symbol, t - t % 604800000 AS bar_ms, max(price) AS high, min(price) AS low,
+    sum(qty) AS qty FROM li GROUP BY ALL""",
 )
 register(
     "volume_levels_1d",
@@ -389,7 +388,7 @@ register(
     lambda spark, d: rounded(stats.trade_summary(tape_events(spark, d)), "total_value", "average_price", "average_quantity"),
     f"""WITH {TAPE} SELECT symbol, count(*) AS total_trades, sum(qty) AS total_volume,
     round(CAST(sum(CAST(price AS DECIMAL(18,4)) * CAST(qty AS DECIMAL(18,4))) AS DOUBLE), 6) AS total_value,
-    round(avg(price), 6) AS average_price, round(avg(qty), 6) AS average_quantity, max(price) AS max_price,
+    round(CAST(sum(CAST(price AS DECIMAL(18,4))) AS DOUBLE) / count(*), 6) AS average_price, round(avg(qty), 6) AS average_quantity, max(price) AS max_price,
     min(price) AS min_price, count(*) FILTER (WHERE maker) AS buyer_market_trades,
     count(*) FILTER (WHERE NOT maker) AS seller_market_trades FROM tape GROUP BY symbol""",
 )
