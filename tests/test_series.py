@@ -226,3 +226,9 @@ def test_unpriced_bars_are_returned_without_indicators(spark):
 def test_unknown_timeframe_of_bars_fails(spark):
     with pytest.raises(Exception, match="unsupported timeframe"):
         index_bars(bars_of(spark, {"A": [1.0, 2.0]}, timeframe="2h")).collect()
+
+
+def test_mcginley_restarts_where_its_denominator_vanishes():
+    fold = build("mcgd", {"length": 10}).start()
+    got = [fold(0.0, 0.0, x)[0] for x in (1e9, 1e-80, 5.0, 5.0)]
+    assert got == [1e9, None, 5.0, 5.0]

@@ -62,7 +62,7 @@ def psar(acceleration: float = 0.02, maximum: float = 0.2) -> Stateful:
 
 
 def mcgd(length: int = 10, c: float = 1.0, column: str = "close") -> Stateful:
-    """McGinley dynamic."""
+    """McGinley dynamic; where its denominator vanishes the value is null and starts anew."""
     n = at_least(length, 1)
 
     def start() -> Fold:
@@ -72,8 +72,10 @@ def mcgd(length: int = 10, c: float = 1.0, column: str = "close") -> Stateful:
             nonlocal y
             if not y:
                 y = x
-            elif x:
-                y += (x - y) / (c * n * (x / y) ** 4)
+            else:
+                ratio = (x / y) * (x / y)
+                bottom = c * n * ratio * ratio
+                y = y + (x - y) / bottom if bottom else None
             return (y,)
 
         return fold

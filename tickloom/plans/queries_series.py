@@ -443,14 +443,14 @@ _indicator("mama", {"MAMA_1.75": "mama", "FAMA_1.75": "fama"}, lambda: build("ma
 
 
 def _mean_price_bars(spark: SparkSession, d: str) -> DataFrame:
-    """Bars at 12h with the mean traded price as close.
+    """Bars at 1d with the mean traded price as close.
 
     The McGinley step divides by the fourth power of a price ratio; on single random prices it runs
     away from any average, so no two engines would agree on its rounding.
     """
     trades = tape_events(spark, d)
-    base = ohlcv(trades, "12h")
-    mean = trades.groupBy("symbol", F.timestamp_millis(F.expr("transact_time - transact_time % 43200000")).alias("time_rounded"))
+    base = ohlcv(trades, "1d")
+    mean = trades.groupBy("symbol", F.timestamp_millis(F.expr("transact_time - transact_time % 86400000")).alias("time_rounded"))
     mean = mean.agg(F.avg(F.col("price").cast("decimal(18,4)")).cast("double").alias("mean"))
     return staged(base.join(mean, ["symbol", "time_rounded"]).withColumn("close", F.col("mean")).drop("mean"))
 
@@ -463,9 +463,9 @@ def _mcgd(spark: SparkSession, d: str) -> DataFrame:
 register(
     "mcgd_10",
     _mcgd,
-    f"""WITH RECURSIVE {TAPE}, k AS (SELECT symbol, t - t % 43200000 AS bar_ms, CAST(round(avg(price), 8) AS DOUBLE) AS x,
-      row_number() OVER (PARTITION BY symbol ORDER BY t - t % 43200000) - 1 AS i FROM tape GROUP BY symbol, t - t % 43200000),
-    {_fold_sql('e', '0', 'x', 'r.y + (k.x - r.y) / (10 * pow(k.x / r.y, 4))')}
+    f"""WITH RECURSIVE {TAPE}, k AS (SELECT symbol, t - t % 86400000 AS bar_ms, CAST(round(avg(price), 8) AS DOUBLE) AS x,
+      row_number() OVER (PARTITION BY symbol ORDER BY t - t % 86400000) - 1 AS i FROM tape GROUP BY symbol, t - t % 86400000),
+    {_fold_sql('e', '0', 'x', 'CASE WHEN r.y IS NULL THEN k.x ELSE r.y + (k.x - r.y) / nullif(10 * pow(k.x / r.y, 4), 0) END')}
     SELECT symbol, bar_ms, round(y, 4) AS mcgd_10 FROM k JOIN e USING (symbol, i)""",
 )
 
