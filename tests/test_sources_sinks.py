@@ -98,11 +98,11 @@ def test_klines(spark, tmp_path):
 
 
 def test_symbol_csvs_skip_malformed_paths(spark, tmp_path):
-    for path in ("binance/1m/BTC__x.csv", "binance/1m/ETH__y.csv", "binance/1m/broken.csv"):
+    for path in ("xchg/1m/BTC__x.csv", "xchg/1m/ETH__y.csv", "xchg/1m/broken.csv"):
         (tmp_path / path).parent.mkdir(parents=True, exist_ok=True)
         (tmp_path / path).write_text("\n".join([HEAD, LINES[0]]) + "\n")
     got = readers.read_symbol_csvs(spark, str(tmp_path))
-    assert sorted((r.symbol, r.exchange, r.timeframe) for r in got.collect()) == [("BTC", "binance", "1m"), ("ETH", "binance", "1m")]
+    assert sorted((r.symbol, r.exchange, r.timeframe) for r in got.collect()) == [("BTC", "xchg", "1m"), ("ETH", "xchg", "1m")]
     writers.write_symbol_csv(got, f"{tmp_path}/out")
     assert sorted(c for c in files.children(spark, f"{tmp_path}/out") if c.startswith("symbol=")) == ["symbol=BTC", "symbol=ETH"]
 

@@ -22,10 +22,10 @@ def _trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_tape(spark.readStream.schema(schema).parquet(f"{sf_dir}/event[s].parquet"))
 
 
-def _result(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Run a stream in update mode and return the last state of every key.
+def _result(df: DataFrame, keys: Sequence[str] | None) -> DataFrame:
+    """Run a stream in update mode and return the last state of every key; without keys, all its rows.
 
-    Each batch is appended with its number, so a repeated batch changes nothing.
+    Each batch is appended with its number, so the newest state of a key is known.
     """
     folder = shared_folder(df.sparkSession)
     if folder is None:
@@ -37,10 +37,11 @@ def _result(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
     writer = df.writeStream.outputMode("update").foreachBatch(append).option("checkpointLocation", f"{base}/checkpoint")
     writer.trigger(availableNow=True).start().awaitTermination()
-    return newest_per_key(df.sparkSession.read.parquet(f"{base}/out"), keys, ["batch"]).drop("batch")
+    rows = df.sparkSession.read.parquet(f"{base}/out")
+    return (newest_per_key(rows, keys, ["batch"]) if keys else rows).drop("batch")
 
 
-def _stream(name: str, make: Callable[[DataFrame], DataFrame], keys: Sequence[str], sql: str, *places: str) -> None:
+def _stream(name: str, make: Callable[[DataFrame], DataFrame], keys: Sequence[str] | None, sql: str, *places: str) -> None:
     register(name, lambda spark, d: rounded(flat(_result(make(_trades(spark, d)), keys)), *places), sql)
 
 
@@ -48,9 +49,15 @@ BAR = ("symbol", "time_rounded")
 # The event table is one file, so its rows arrive out of order within a batch at most.
 DELAY = "1 hour"
 
+_stream(
+    "stream_dedupe",
+    lambda trades: live.dedupe_stream(trades.union(trades), DELAY).select("symbol", "agg_trade_id", "price", "transact_time"),
+    None,
+    f"WITH {TAPE} SELECT symbol, id AS agg_trade_id, price, t AS transact_time FROM tape",
+)
 _stream(
     "stream_bars_1h",
-    lambda trades: live.stream_bars(live.dedupe_stream(trades, DELAY), "1h"),
+    lambda trades: live.stream_bars(trades, "1h", DELAY),
     BAR,
     f"WITH {bars_sql('1h')} SELECT symbol, bar_ms, open, close, high, low, qty FROM bars",
 )

@@ -315,12 +315,12 @@ register(
 )
 register(
     "minute_parts",
-    lambda spark, d: prepare.with_tags(prepare.with_minute_parts(tape_events(spark, d)), exchange="binance", timeframe="1m").select(
+    lambda spark, d: prepare.with_tags(prepare.with_minute_parts(tape_events(spark, d)), exchange="xchg", timeframe="1m").select(
         "agg_trade_id", "day", "hour", "minute", "exchange", "timeframe"
     ),
     f"""WITH {TAPE} SELECT id AS agg_trade_id, strftime(make_timestamp_ms(t), '%Y-%m-%d') AS day,
     strftime(make_timestamp_ms(t), '%H') AS hour, strftime(make_timestamp_ms(t), '%M') AS minute,
-    'binance' AS exchange, '1m' AS timeframe FROM tape""",
+    'xchg' AS exchange, '1m' AS timeframe FROM tape""",
 )
 
 
@@ -464,11 +464,11 @@ register(
 
 # --- wide-column form -------------------------------------------------------------------------
 
-WIDE_KEYS = "'binance#' || symbol || '#4h#' || CAST(bar_ms AS VARCHAR)"
+WIDE_KEYS = "'xchg#' || symbol || '#4h#' || CAST(bar_ms AS VARCHAR)"
 
 
 def _bar_cells(spark: SparkSession, d: str) -> DataFrame:
-    cells = wide.bar_cells(bars.ohlcv(tape_events(spark, d), "4h"), "binance")
+    cells = wide.bar_cells(bars.ohlcv(tape_events(spark, d), "4h"), "xchg")
     return cells.select("row_key", "qualifier", F.col("value").cast("double").alias("number"))
 
 
@@ -481,9 +481,9 @@ register(
 
 
 def _pivoted(spark: SparkSession, d: str) -> DataFrame:
-    cells = wide.bar_cells(bars.ohlcv(tape_events(spark, d), "4h"), "binance", ("open", "close", "high", "low"))
+    cells = wide.bar_cells(bars.ohlcv(tape_events(spark, d), "4h"), "xchg", ("open", "close", "high", "low"))
     kinds = {"open": "double", "close": "double", "high": "double", "low": "double", "volume": "double"}
-    return wide.scan_prefix(cells, "binance#S1", kinds)
+    return wide.scan_prefix(cells, "xchg#S1", kinds)
 
 
 register(
