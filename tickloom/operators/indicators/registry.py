@@ -111,6 +111,22 @@ def check_unique(columns: Sequence[str]) -> None:
         raise ValueError(f"duplicate column names: {twice}")
 
 
+def _in_passes(indexed: DataFrame, indicators: Sequence[Indicator], keys: Sequence[str], size: int) -> DataFrame:
+    """Add block-wise indicators: equal phases run in the same projections and the same scan."""
+    if not indicators:
+        return indexed
+    blocks = in_blocks(indexed, max(x.pre for x in indicators), max(x.post for x in indicators), keys, size)
+    for step in range(max(len(x.phases) for x in indicators)):
+        phases = [x.phases[step] if step < len(x.phases) else Phase() for x in indicators]
+        for layer in range(max(len(p.layers) for p in phases)):
+            blocks = blocks.with_columns(
+                {n: c for p in phases if layer < len(p.layers) for n, c in p.layers[layer](blocks).items()}
+            )
+        blocks = blocks.scan({n: r for p in phases if p.running for n, r in p.running().items()})
+    done = [name for x in indicators for name in x.outputs]
+    return blocks.rows().select(*[ref(c) for c in (*indexed.columns, *done)])
+
+
 def add_indicators(
     bars: DataFrame,
     indicators: Sequence[Indicator | Stateful],
@@ -120,9 +136,9 @@ def add_indicators(
     """Bars with the outputs of all indicators, for every series in the frame.
 
     Works on bars with ``open, high, low, close`` and ``volume`` (or ``qty``). The block-wise
-    indicators share their passes: equal phases run in the same projection and the same scan. Bars
-    should be a table: a scan reads its input twice, for the borders and for the rows. Bars without a
-    price have no indicators and do not count as rows of a look-back.
+    indicators share their passes. Bars should be a table: a scan reads its input twice, for the
+    borders and for the rows. Bars without a price have no indicators and do not count as rows of a
+    look-back.
     """
     bars = bars.withColumnRenamed("qty", "volume") if "volume" not in bars.columns else bars
     outputs = [name for x in indicators for name in x.outputs]
@@ -130,19 +146,14 @@ def add_indicators(
     priced = F.col("open").isNotNull() & F.col("close").isNotNull()
     indexed = bars if "n_bars" in bars.columns else index_bars(bars.where(priced), keys)
     plain = [x for x in indicators if isinstance(x, Indicator)]
-    if plain:
-        blocks = in_blocks(indexed, max(x.pre for x in plain), max(x.post for x in plain), keys, size)
-        for step in range(max(len(x.phases) for x in plain)):
-            phases = [x.phases[step] if step < len(x.phases) else Phase() for x in plain]
-            for layer in range(max(len(p.layers) for p in phases)):
-                blocks = blocks.with_columns(
-                    {n: c for p in phases if layer < len(p.layers) for n, c in p.layers[layer](blocks).items()}
-                )
-            running = {n: r for p in phases if p.running for n, r in p.running().items()}
-            blocks = blocks.scan(running)
-        done = [name for x in plain for name in x.outputs]
-        indexed = blocks.rows().select(*[ref(c) for c in (*indexed.columns, *done)])
-    table = add_stateful(indexed, [x for x in indicators if isinstance(x, Stateful)], keys)
+    chained = [x for x in plain if sum(p.running is not None for p in x.phases) > 1]
+    single = [x for x in plain if x not in chained]
+    result = _in_passes(indexed, single or chained, keys, size)
+    if single and chained:
+        # A second scan repeats the look-back windows of the first, so it gets a frame without the others'.
+        narrow = _in_passes(indexed, chained, keys, size).select(*keys, "i", *[ref(n) for x in chained for n in x.outputs])
+        result = result.join(narrow, [*keys, "i"])
+    table = add_stateful(result, [x for x in indicators if isinstance(x, Stateful)], keys)
     out = table.select(*[ref(c) for c in bars.columns if c != "n_bars"], *[ref(c) for c in outputs])
     if "n_bars" in bars.columns:
         return out
