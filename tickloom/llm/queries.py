@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import packing, token_files
+from tickloom.llm import exact, mixing, packing, token_files
 from tickloom.llm.common import documents, shared_folder
 from tickloom.llm.tokens import public_vocabulary
 
@@ -31,3 +31,16 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack_documents(documents(spark, sf_dir), public_vocabulary("word_bpe_49k.json"))
     return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+@query
+def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir))
+
+
+@query
+def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.exact_groups(documents(spark, sf_dir)).drop("n_points")
+
+
+ORACLES["op9_exact_dedup"] = exact.ORACLE
