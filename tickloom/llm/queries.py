@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import exact, mixing, packing, token_files
+from tickloom.llm import exact, mixing, packing, token_files, toxicity
 from tickloom.llm.common import documents, shared_folder
 from tickloom.llm.tokens import public_vocabulary
 
@@ -44,3 +44,8 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op9_exact_dedup"] = exact.ORACLE
+
+
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
