@@ -9,13 +9,12 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: White space that separates words, as a regular expression class without brackets.
 BLANKS = r"\x20\x09-\x0D"
 #: Bytes of text that a task turns into arrays at a time (one longer text is a slice of its own).
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 _own_root: str | None = None
 
@@ -65,22 +64,6 @@ def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBat
         yield batch.slice(a, b - a)
 
 
-class WordHash(dict):
-    """64-bit hash of a word, kept for words seen before; emptied when it holds ``most`` words."""
-
-    def __init__(self, seed: int = 0, most: int = 500_000):
-        self.seed, self.most = seed, most
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.most:
-            self.clear()
-        self[word] = value = xxhash.xxh3_64_intdigest(word, self.seed)
-        return value
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
 def bounds(lengths: np.ndarray) -> np.ndarray:
     """0 and the running sums."""
     return np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
@@ -142,20 +125,6 @@ def groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(rest)
 
 
-_BLANK = np.zeros(256, bool)
-_BLANK[[0x20, *range(0x09, 0x0E)]] = True
-
-
-def word_counts(texts: list[bytes]) -> np.ndarray:
-    """Number of words of each text, without making the words."""
-    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-    ends = np.cumsum(sizes + 1)  # a blank behind each text
-    dark = ~_BLANK[np.frombuffer(b" ".join(texts) + b" ", np.uint8)]
-    first = dark & np.concatenate([[True], ~dark[:-1]])
-    total = np.concatenate([[0], np.cumsum(first)])
-    return total[ends] - total[ends - sizes - 1]
-
-
 def fresh(name: str, *frames: DataFrame) -> str:
     """``name``, or with underscores behind it a name that no column of the frames has (names differ by more than case)."""
     taken = {c.lower() for df in frames for c in df.columns}

@@ -6,7 +6,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from tickloom.llm.common import binary, fresh, numbered, slices, staged, word_counts
+from tickloom.llm.common import binary, fresh, numbered, slices, staged
+from tickloom.llm.words import Words
 
 #: Bits of the hash that one level of histograms resolves; together 63.
 LEVELS = (13, 13, 13, 12, 12)
@@ -25,7 +26,7 @@ def _sizes(docs: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             for part in slices(batch):
-                counts = word_counts(binary(part.column("text")))
+                counts = Words(binary(part.column("text"))).counts
                 yield pa.RecordBatch.from_arrays([*part.select(["doc_id", "source", "h"]).columns, pa.array(counts)], names=["doc_id", "source", "h", "size"])
 
     return docs.select("doc_id", "source", "text", _hash().alias("h")).mapInArrow(run, "doc_id bigint, source string, h bigint, size bigint")

@@ -65,7 +65,7 @@ def write_token_files(
     path: str,
     units: Callable = space_units,
     end_id: int | None = 0,
-    width: str = "<u4",
+    width: str = "<u2",
     block_bytes: int = 1 << 20,
     docs_per_shard: int = 4000,
     sample: int = 1000,

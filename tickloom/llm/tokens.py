@@ -4,133 +4,122 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Callable
 
 import numpy as np
 
-from tickloom.llm.common import ragged
+from tickloom.llm.common import bounds, ragged
+from tickloom.llm.words import BLANK, LOWER, HashIndex, span_hashes
 
-#: Blanks beside the ASCII ones (a superset of what the vocabularies' patterns take as such).
-_WIDE_BLANKS = re.compile("[" + "".join(map(chr, [*range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])) + "]")
-_CUT = re.compile(r"(?<=\S) (?=\S)")
-#: Marks a unit without a leading space; no UTF-8 text holds this byte.
-_FIRST = b"\xff"
-_PUNCTUATION = b".,;:!?"
-_LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
+#: Blanks beside the ASCII ones (a superset of what the vocabularies' patterns take as such), in UTF-8.
+_WIDE = re.compile(b"|".join(chr(x).encode() for x in [0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+_ODD = BLANK.copy()
+_ODD[0x1C:0x20] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_PUNCTUATION = np.zeros(256, bool)
+_PUNCTUATION[list(b".,;:!?")] = True
 
 
-def _single_spaces(text: bytes) -> bool:
-    """Whether every space stands alone between two characters that are no white space."""
-    if text[:1] == b" " or text[-1:] == b" " or b"  " in text:
-        return False
-    for blank in (b"\n", b"\t", b"\r", b"\x0b", b"\x0c", b"\x1c", b"\x1d", b"\x1e", b"\x1f"):
-        if blank in text and (b" " + blank in text or blank + b" " in text):
-            return False
-    return text.isascii() or _WIDE_BLANKS.search(text.decode()) is None
+def space_units(texts: list[bytes]) -> tuple[np.ndarray, ...]:
+    """Cut texts into units whose ids, one after the other, are the ids of the text, for byte-level vocabularies.
 
-
-def space_units(text: bytes) -> list[bytes]:
-    """Parts of a text whose ids, one after the other, are the ids of the text, for byte-level vocabularies.
-
-    Their pre-tokenizer always starts a piece at a single space between other characters, so a text
-    may be cut at each such space. A unit stands for itself behind a space; the first is marked.
+    Their pre-tokenizer always starts a piece at a single space between other characters, and at
+    punctuation behind a letter, so a text may be cut there. Returns the buffer of all texts, starts and
+    ends of the units, whether a unit has the space in front of it, and the units before each text.
     """
-    if _single_spaces(text):
-        parts = text.split(b" ")
-    else:
-        parts = [x.encode() for x in _CUT.split(text.decode())]
-    parts[0] = _FIRST + parts[0]
-    return parts
-
-
-def space_unit_text(unit: bytes) -> str:
-    return unit[1:].decode() if unit[:1] == _FIRST else " " + unit.decode()
-
-
-def word_units(text: bytes) -> list[bytes]:
+    joined = b"\n".join(texts) + b"\n"
+    buffer = np.frombuffer(joined, np.uint8)
+    odd = _ODD[buffer]
+    if _WIDE.search(joined):
+        odd |= buffer >= 0x80
+    cut = np.zeros(len(buffer), bool)
+    cut[1:-1] = (buffer[1:-1] == 0x20) & ~odd[:-2] & ~odd[2:]
+    glued = np.zeros(len(buffer), bool)
+    glued[1:] = _LETTER[buffer[:-1]] & _PUNCTUATION[buffer[1:]]
+    firsts = bounds(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+    begin = glued
+    begin[1:] |= cut[:-1]
+    begin[firsts[:-1]] = True
+    starts = np.flatnonzero(begin)
+    spaced = np.concatenate([[False], cut])[starts]
+    ends = np.append(starts[1:], len(buffer))
+    ends = ends - np.append(spaced[1:], False)  # the space belongs to the next unit
+    at = np.searchsorted(starts, firsts)
+    ends[at[1:] - 1] = firsts[1:] - 1  # the line end between two texts belongs to none
+    return buffer, starts, ends, spaced, at
+
+
+def word_units(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     """The same for vocabularies that drop white space and case: words between ASCII white space."""
-    return text.lower().split()
+    buffer = LOWER[np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)]
+    dark = np.concatenate([[False], ~BLANK[buffer]])
+    glued = np.zeros(len(buffer), bool)
+    glued[1:] = _LETTER[buffer[:-1]] & _PUNCTUATION[buffer[1:]]
+    starts = np.flatnonzero((dark[1:] & ~dark[:-1]) | glued)
+    ends = np.flatnonzero((dark[:-1] & ~dark[1:]) | glued)
+    firsts = bounds(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+    return buffer, starts, ends, np.zeros(len(starts), bool), np.searchsorted(starts, firsts)
 
 
-class Encoder(dict):
-    """Ids of texts by way of their units: a unit is encoded once and then looked up.
+class Encoder:
+    """Ids of texts by way of their units: a unit is encoded once and then looked up by its hash.
 
-    The dict numbers the units; their ids lie one after the other in an array. Punctuation behind a
-    letter is always a piece of its own, so such units are put together from their two parts. Beyond
-    ``most`` units all are forgotten, which costs time only.
+    Beyond ``most`` units all are forgotten, which costs time only.
     """
 
-    def __init__(self, path: str, units: Callable[[bytes], list[bytes]], most: int = 1_200_000):
+    def __init__(self, path: str, units, most: int = 1_500_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.units, self.most = Tokenizer.from_file(path), units, most
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.mark, self.text = (_FIRST, space_unit_text) if units is space_units else (b"", bytes.decode)
         self.forget()
 
     def forget(self) -> None:
-        self.clear()
-        self.new: list[bytes] = []
+        self.index = HashIndex()
         self.ids, self.used = np.zeros(1 << 16, "<u4"), 0
-        self.at, self.count = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
-
-    def __missing__(self, unit: bytes) -> int:
-        self[unit] = place = len(self)
-        self.new.append(unit)
-        return place
-
-    def store(self, places: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
-        need = self.used + len(ids)
-        while need > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        self.ids[self.used : need] = ids
-        self.count[places], self.at[places] = counts, self.used + np.cumsum(counts) - counts
-        self.used = need
-
-    def learn(self) -> None:
-        whole, joined = [], []
-        for unit in self.new[:]:
-            core = unit.rstrip(_PUNCTUATION)
-            if core and len(core) < len(unit) and core[-1] in _LETTERS:
-                joined.append((self[unit], self[core], self[self.mark + unit[len(core) :]]))
-            else:
-                whole.append(unit)
-        whole += self.new[len(whole) + len(joined) :]  # cores and tails that were unknown
-        self.new = []
-        while len(self) > len(self.at):
-            self.at, self.count = (np.concatenate([x, np.zeros_like(x)]) for x in (self.at, self.count))
-        for a in range(0, len(whole), 20_000):
-            part = whole[a : a + 20_000]
-            found = [x.ids for x in self.tokenizer.encode_batch_fast([self.text(x) for x in part], add_special_tokens=False)]
+        self.ends, self.count = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int32)
+
+    def learn(self, hashes: np.ndarray, texts: list[str]) -> None:
+        first = self.index.size
+        self.index.add(hashes)
+        while self.index.size > len(self.ends):
+            self.ends, self.count = (np.concatenate([x, np.zeros_like(x)]) for x in (self.ends, self.count))
+        for a in range(0, len(texts), 10_000):
+            found = [x.ids for x in self.tokenizer.encode_batch_fast(texts[a : a + 10_000], add_special_tokens=False)]
             counts = np.fromiter(map(len, found), np.int64, len(found))
-            ids = np.fromiter((i for x in found for i in x), "<u4", int(counts.sum()))
-            self.store(np.fromiter(map(self.__getitem__, part), np.int64, len(part)), ids, counts)
-        if joined:
-            place, *parts = np.array(joined, np.int64).T
-            parts = np.stack(parts, 1).ravel()
-            counts = self.count[parts]
-            self.store(place, self.ids[ragged(self.at[parts], counts)], counts.reshape(-1, 2).sum(1))
+            need = self.used + int(counts.sum())
+            while need > len(self.ids):
+                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+            self.ids[self.used : need] = np.fromiter((i for x in found for i in x), "<u4", need - self.used)
+            here = slice(first + a, first + a + len(found))
+            self.count[here], self.ends[here] = counts, self.used + np.cumsum(counts)
+            self.used = need
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and how many each text has."""
-        if len(self) > self.most:
+        if self.index.size > self.most:
             self.forget()
-        units = [self.units(x) for x in texts]
-        sizes = np.fromiter(map(len, units), np.int64, len(units))
-        places = np.fromiter((p for x in units for p in map(self.__getitem__, x)), np.int64, int(sizes.sum()))
-        if self.new:
-            self.learn()
+        buffer, starts, ends, spaced, at = self.units(texts)
+        hashes = span_hashes(buffer, starts, ends) ^ spaced
+        places = self.index.find(hashes)
+        unknown = np.flatnonzero(places < 0)
+        if len(unknown):
+            new, where = np.unique(hashes[unknown], return_index=True)
+            where = unknown[where]
+            raw = buffer.tobytes()
+            spans = zip(starts[where].tolist(), ends[where].tolist(), spaced[where].tolist())
+            self.learn(new, [(b" " + raw[a:b] if s else raw[a:b]).decode() for a, b, s in spans])
+            places[unknown] = self.index.find(hashes[unknown])
         counts = self.count[places]
-        total = np.concatenate([[0], np.cumsum(counts)])
-        ends = np.cumsum(sizes)
-        return self.ids[ragged(self.at[places], counts)], total[ends] - total[ends - sizes]
+        total = bounds(counts)
+        return self.ids[ragged(self.ends[places] - counts, counts)], total[at[1:]] - total[at[:-1]]
 
 
 _ENCODERS: dict[tuple, Encoder] = {}
 
 
-def encoder(path: str, units: Callable[[bytes], list[bytes]]) -> Encoder:
+def encoder(path: str, units) -> Encoder:
     """One encoder for each vocabulary in a worker process, kept from task to task."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     if (path, units.__name__) not in _ENCODERS:
