@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import exact, mixing, packing, token_files, toxicity
+from tickloom.llm import exact, mixing, neighbours, packing, token_counts, token_files, toxicity
 from tickloom.llm.common import documents, shared_folder
 from tickloom.llm.tokens import public_vocabulary
 
@@ -49,3 +49,13 @@ ORACLES["op9_exact_dedup"] = exact.ORACLE
 @query
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@query
+def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 100 == 0)
+
+
+@query
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(documents(spark, sf_dir), public_vocabulary("piece_bpe_32k.model"))
