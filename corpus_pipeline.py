@@ -1,8 +1,57 @@
-"""The corpus pipeline: stages from raw documents to packed sequences."""
+"""The corpus pipeline: from raw documents to packed training sequences.
 
+Each stage takes (spark, docs, sf_dir) and works on all rows that the one before it kept.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tickloom.llm import exact, mixing, near, packing, toxicity
+from tickloom.llm.common import documents, staged
+from tickloom.llm.tokens import public_vocabulary
+
+#: The first stage trains a classifier, which SQL cannot express.
 ORACLE_SQL = None
-STAGES = []
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError("the pipeline has no stages yet")
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    return toxicity.clean_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that are equal without white space the longest stays."""
+    return exact.kept_documents(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that near-duplicate links connect the one with the smallest id stays."""
+    return near.one_of_each_class(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents are dropped, kept or repeated so that sources come to their target weights."""
+    return mixing.mixed_documents(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token sequences of at most 4096 ids: one row for each piece of a document."""
+    return packing.pack_documents(docs, public_vocabulary("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("exact dedup", drop_copies),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("mixing sources", mix_sources),
+    ("packing", pack),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Apply the stages to ``documents``; what a stage returns is written and read again by the next."""
+    docs = documents(spark, sf_dir)
+    for _, stage in STAGES[:-1]:
+        docs = staged(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import exact, mixing, neighbours, packing, substrings, token_counts, token_files, toxicity
+from tickloom.llm import exact, mixing, near, neighbours, packing, substrings, token_counts, token_files, toxicity
 from tickloom.llm.common import documents, shared_folder
 from tickloom.llm.tokens import public_vocabulary
 
@@ -65,3 +65,8 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substrings.without_repeats(documents(spark, sf_dir))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_classes(documents(spark, sf_dir)).select("doc_id", "class_id", "n_links", "n_shingles")
