@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
+from math import log2
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +38,13 @@ class Features(dict):
         self[word] = found = tuple(self.columns[x] for x in word_features(word) if x in self.columns)
         return found
 
-    def of(self, text: bytes) -> set[int]:
-        return {k for found in map(self.__getitem__, set(text.split())) if found for k in found}
+    def of(self, text: bytes) -> dict[int, float]:
+        """log2(1 + how often), up to seven times, of each column that the text switches on."""
+        often: dict[int, int] = {}
+        for word, times in Counter(text.split()).items():
+            for k in self[word]:
+                often[k] = often.get(k, 0) + times
+        return {k: log2(1 + min(n, 7)) for k, n in sorted(often.items())}
 
 
 def nn_pu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 400, rate: float = 0.05, decay: float = 1e-4) -> tuple[np.ndarray, float]:
@@ -79,12 +85,12 @@ class Model:
         self.columns, self.weights, self.bias = columns, weights, bias
 
     def scores(self, texts: list[bytes], features: Features) -> np.ndarray:
-        z = [self.bias + sum(self.weights[k] for k in sorted(features.of(x))) for x in texts]
+        z = [self.bias + sum(self.weights[k] * v for k, v in features.of(x).items()) for x in texts]
         return 1 / (1 + np.exp(-np.clip(np.array(z, float), -30, 30)))
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, positives: int = 4000, unlabelled: int = 12_000, strength: float = 6.0, most: int = 1500
+    docs: DataFrame, labels: DataFrame, positives: int = 4000, unlabelled: int = 12_000, strength: float = 6.0, least: int = 8, most: int = 1500
 ) -> Model:
     """Train on the rows whose crc32 of the id modulo 4 is not 2.
 
@@ -92,7 +98,7 @@ def fit(
     of about ``unlabelled`` texts of the corpus, whatever their label. Both are chosen by a hash of
     the id; these two bounds are the only ones. The class prior is the toxic share of the labelled
     training rows. Features are the ``most`` words and word beginnings whose shares in the two samples
-    lie ``strength`` standard errors apart. Without confirmed texts every score is 0. A null label or a
+    lie ``strength`` standard errors apart and that ``least`` confirmed texts hold. Without confirmed texts every score is 0. A null label or a
     label of a row that is not in ``docs`` says nothing; of repeated labels the larger counts.
     """
     spark = docs.sparkSession
@@ -140,7 +146,7 @@ def fit(
     counts = sampled.mapInArrow(counted, "f bigint, p bigint, u bigint").groupBy("f").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
     both = (F.col("p") + F.col("u") + 1) / (totals.p + totals.u + 2)
     z = (F.col("p") / totals.p - F.col("u") / totals.u) / F.sqrt(both * (1 - both) * (1 / totals.p + 1 / totals.u))
-    chosen = counts.where(F.col("p") + F.col("u") >= 5).withColumn("z", z).where(F.abs("z") >= strength)
+    chosen = counts.where(F.col("p") >= least).withColumn("z", z).where(F.abs("z") >= strength)
     columns = {r.f: k for k, r in enumerate(chosen.orderBy(F.desc(F.abs("z")), "f").limit(most).collect())}
     if not columns:
         return Model({}, np.zeros(0), float(np.log(prior / (1 - prior))))
@@ -149,17 +155,18 @@ def fit(
         features = Features(columns)
         for batch in batches:
             for part in slices(batch):
-                on = [sorted(features.of(x)) for x in binary(part.column("text"))]
-                yield pa.RecordBatch.from_arrays([pa.array(on, pa.list_(pa.int32())), *part.select(["p", "u"]).columns], names=["on", "p", "u"])
+                on = [features.of(x) for x in binary(part.column("text"))]
+                arrays = [pa.array([list(x) for x in on], pa.list_(pa.int32())), pa.array([list(x.values()) for x in on], pa.list_(pa.float64()))]
+                yield pa.RecordBatch.from_arrays([*arrays, *part.select(["p", "u"]).columns], names=["on", "often", "p", "u"])
 
-    table = sampled.mapInArrow(rows, "on array<int>, p boolean, u boolean").toArrow()
+    table = sampled.mapInArrow(rows, "on array<int>, often array<double>, p boolean, u boolean").toArrow()
 
     def matrix(flag: str) -> np.ndarray:
-        on = table.filter(table[flag]).column("on").to_pylist()
-        on.sort()  # the sums below do not depend on the order of partitions
+        chosen = table.filter(table[flag])
+        on = sorted(zip(chosen.column("on").to_pylist(), chosen.column("often").to_pylist()))  # whatever the order of partitions
         x = np.zeros((len(on), len(columns)), np.float32)
-        for k, here in enumerate(on):
-            x[k, here] = 1
+        for k, (here, often) in enumerate(on):
+            x[k, here] = often
         return x
 
     weights, bias = nn_pu(matrix("p"), matrix("u"), prior)
