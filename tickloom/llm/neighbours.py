@@ -35,7 +35,7 @@ class CrossPolytope:
         self.axes: list[int] = []
         left = rows / per_bucket
         while left >= 2:
-            self.axes.append(int(min(self.width, max(1, 2 ** int(np.log2(left / 2))))))
+            self.axes.append(int(min(self.width, max(1, round(left / 2)))))
             left /= 2 * self.axes[-1]
         self.signs = np.random.default_rng(seed).choice(np.array([-1, 1], np.float32), (tables, max(1, len(self.axes)), 3, self.width))
 
@@ -113,7 +113,8 @@ def nearest(
     queries: Column,
     k: int = 10,
     tables: int = 16,
-    probe_rate: float = 0.33,
+    probe_rate: float = 0.6,
+    probe_power: float = 0.45,
     exact_rows: int = 5000,
     reranked: int = 100,
     id_column: str = "vec_id",
@@ -122,8 +123,9 @@ def nearest(
     """query_id, rank, vec_id and score (Euclidean distance in double precision) of the ``k`` nearest found.
 
     ``queries`` marks the query rows; candidates are all other rows. Every row is indexed in ``tables``
-    tables, of which a query probes ``probe_rate`` times the root of the rows each; up to ``exact_rows``
-    rows share one bucket, which makes the search exact. Index and probes carry a byte for each
+    tables of some five rows a bucket, of which a query probes ``probe_rate`` * rows ** ``probe_power`` each, so
+    its candidates grow more slowly than the rows; up to ``exact_rows`` rows share one bucket, which
+    makes the search exact. Index and probes carry a byte for each
     component; the ``reranked`` nearest by these codes are compared on the original vectors. Of equal
     vectors only the k + 1 smallest ids can be among the nearest, so the others are left out before
     hashing: a vector may be as frequent as it likes. Ties go to the smaller id. Vectors that are null,
@@ -138,7 +140,7 @@ def nearest(
     rows = staged(rows.withColumn("n", F.row_number().over(Window.partitionBy("vec_id").orderBy("v"))).where("n = 1").drop("n"))
     exact = lengths.n <= exact_rows
     index = CrossPolytope(lengths.d, 1 if exact else lengths.n, 1 if exact else tables)
-    probes = max(1, round(probe_rate * lengths.n**0.5))
+    probes = max(1, round(probe_rate * lengths.n**probe_power))
 
     def hashed(name: str, keys_of) -> object:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
