@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import exact, mixing, near, neighbours, packing, substrings, token_counts, token_files, toxicity
+from tickloom.llm import exact, mixing, near, neighbours, packing, scoring, substrings, token_counts, token_files, toxicity
 from tickloom.llm.common import documents, shared_folder
 from tickloom.llm.tokens import public_vocabulary
 
@@ -70,3 +70,8 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_classes(documents(spark, sf_dir)).select("doc_id", "class_id", "n_links", "n_shingles")
+
+
+@query
+def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.score(documents(spark, sf_dir))
