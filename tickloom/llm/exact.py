@@ -60,7 +60,7 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     """
     digest = recipes(docs)
     best = F.max(F.struct("n_points", (-F.col("doc_id")).alias("back"), (-F.col("row")).alias("row"))).alias("best")
-    sets = digest.groupBy("recipe").agg(F.count("*").alias("n"), best).where("n > 1")
+    sets = staged(digest.groupBy("recipe").agg(F.count("*").alias("n"), best).where("n > 1"))  # a side of its own, so that the join can split a hot recipe
     joined = digest.join(sets.withColumnRenamed("recipe", "set"), F.col("recipe") == F.col("set"), "left")
     alone = F.col("n").isNull()
     return joined.select(

@@ -146,7 +146,7 @@ def repeated_windows(docs: DataFrame, width: int) -> DataFrame:
 
     # Of the others the words are needed: the distinct contents of an anchor go to one shard.
     contents = shared.where("mixed").groupBy("key", "content").agg(F.count("*").alias("times"))
-    many = contents.groupBy("key").agg((F.count("*") > SHARD).alias("many"))
+    many = staged(contents.groupBy("key").agg((F.count("*") > SHARD).alias("many")))
     asked = shared.where("mixed").join(many, "key").groupBy("id", "tag").agg(F.collect_list(F.struct("start", "n", "key", "content", "many")).alias("asked"))
     texts = docs.join(asked, ["id", "tag"])
 
