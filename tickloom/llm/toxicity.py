@@ -47,7 +47,7 @@ class Features(dict):
         return {k: log2(1 + min(n, 7)) for k, n in sorted(often.items())}
 
 
-def nn_pu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 400, rate: float = 0.05, decay: float = 1e-4) -> tuple[np.ndarray, float]:
+def nn_pu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 400, rate: float = 0.05, decay: float = 0.01) -> tuple[np.ndarray, float]:
     """Weights and bias of a logistic model that minimise the non-negative positive-unlabelled risk.
 
     The risk is prior * E_P[l(+)] + max(0, E_U[l(-)] - prior * E_P[l(-)]). Where the second part, the
