@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -35,7 +36,7 @@ def targets_of(sizes, weights=(3, 1, 2), share=1.5, most=2.0):
 def mix_rows():
     random.seed(4)
     rows = [(k, "w " * random.randint(0, 30), random.choice([None, "a", "B", "é", "a", "a"])) for k in range(600)]
-    return rows + [(None, None, "a"), (1000, "", "none"), (7, "x y", "a"), (7, "x y", "a"), (2000, "big " * 5000, "B")]
+    return rows + [(None, None, "a"), (1000, "", "none"), (1500, "x y", "a"), (1500, "x y", "a"), (2000, "big " * 5000, "B")]
 
 
 def test_mix(spark):
@@ -111,13 +112,18 @@ def test_toxicity_without_examples(spark):
     assert toxicity.toxicity(documents(spark, []), none).count() == 0
 
 
-def test_risk_turns_back_below_zero():
-    """With a prior above the share of positives among the unlabelled the plain risk would run away."""
-    random_state = np.random.default_rng(0)
-    positive, unlabelled = random_state.normal(1, 1, (200, 30)), random_state.normal(0, 1, (300, 30))
-    weights, bias = toxicity.nn_pu(positive, unlabelled, 0.4, steps=2000)
-    assert np.isfinite(weights).all() and np.isfinite(bias)
-    assert (positive @ weights + bias > 0).mean() > 0.9 and (unlabelled @ weights + bias < 0).mean() > 0.5
+def test_risk_finds_the_hidden_positives():
+    """Unlabelled rows with their prior's share of positives; many more features than rows tell apart, so an unclipped risk would overfit."""
+    rng = np.random.default_rng(0)
+    shift = np.zeros(60)
+    shift[:20] = 0.9
+    positive, hidden = rng.normal(size=(200, 60)) + shift, np.arange(500) < 200
+    unlabelled = rng.normal(size=(500, 60)) + np.outer(hidden, shift)
+    weights, bias = toxicity.nn_pu(positive, unlabelled, 0.4)
+    fresh, truth = rng.normal(size=(2000, 60)), np.arange(2000) < 800
+    fresh += np.outer(truth, shift)
+    assert ((unlabelled @ weights + bias > 0) == hidden).mean() > 0.85
+    assert ((fresh @ weights + bias > 0) == truth).mean() > 0.85
 
 
 def brute_nearest(rows, k=10):
@@ -137,7 +143,7 @@ def test_nearest_small_is_exact(spark):
     random.seed(8)
     same = [1.0, 2.0, 0.0, 0.0, 1.0, 0.5]
     rows = [(k, [float(random.randint(-3, 3)) for _ in range(6)]) for k in range(300)] + [(1000 + k, same) for k in range(150)]
-    rows += [(2000, None), (2100, []), (2200, [0.0] * 6), (2300, [1.0, None, 0, 0, 0, 0]), (2400, [float("nan")] * 6), (2500, [float("inf")] + [1.0] * 5), (2600, [1.0]), (None, same), (5, same)]
+    rows += [(2000, None), (2100, []), (2200, [0.0] * 6), (2300, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (2400, [float("nan")] * 6), (2500, [float("inf")] + [1.0] * 5), (2600, [1.0]), (None, same), (5, same)]
     frame = spark.createDataFrame([(i, v, "x", 1, 2) for i, v in rows], "vec_id bigint, embedding array<float>, keys string, rank int, q int")
     found = neighbours.nearest(frame, F.col("vec_id") % 100 == 0).collect()
     assert sorted((r.query_id, r.rank, r.vec_id, round(r.score, 9)) for r in found) == brute_nearest(rows)
@@ -200,8 +206,7 @@ def test_scores_of_empty_tables(spark):
 
 def small_model():
     """A model over a few words, with tables filled from a few texts."""
-    words, counts = [b"a", b"b", b"cc"], np.array([50, 30, 20])
-    v = scoring.Vocabulary(words, counts, 3, 130, 20)
+    v = scoring.Vocabulary(pa.table({"word": pa.array([b"b", b"a", b"cc"], pa.binary()), "n": [30, 50, 20]}), 3, 130, 20)
     model = scoring.Model(v, 130, 4, 20)
     rng = np.random.default_rng(3)
     model.set_tables(rng.integers(0, 5, (scoring.WORD_ORDERS, 2 << scoring.WORD_BITS), dtype=np.uint32), rng.integers(0, 5, (scoring.SPELL_ORDERS, 2 << scoring.SPELL_BITS), dtype=np.uint32))
@@ -215,8 +220,8 @@ def test_next_token_probabilities_sum_to_one():
     symbols = np.arange(len(model.vocabulary.codes))
     tokens = scoring.Tokens(before, model.vocabulary)
     contexts = [np.full(len(symbols), c[-1]) for c in tokens.contexts]
-    of, bit, gate, x = model.word_inputs(symbols, contexts)
-    logs = np.bincount(of, scoring._log10_bits((x * model.words.weights[gate]).sum(1), bit))
+    sizes, bit, gate, x = model.word_inputs(symbols, contexts)
+    logs = np.bincount(np.repeat(symbols, sizes), scoring._bits(model.words.logits(x, gate), bit)[0])
     assert math.isclose(sum(10**logs), 1, rel_tol=1e-4)
 
 
@@ -233,7 +238,7 @@ def test_scores_refine_weights_as_a_plain_loop_does(monkeypatch):
             here = np.arange(a, min(a + 4, tokens.at[k + 1]))
             _, bit, gate, x = model.word_inputs(tokens.symbol[here], [c[here] for c in tokens.contexts])
             step = np.zeros_like(own)
-            for b, g, row in zip(bit, gate, x):
+            for b, g, row in zip(bit, gate, x.T):
                 p = 1 / (1 + math.exp(-float(((model.words.weights[g] + own) * row).sum())))
                 total += math.log10(p if b else 1 - p)
                 step += (b - p) * row
