@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -28,9 +29,15 @@ def newest_per_key(df: DataFrame, keys: Sequence[str], newest: Sequence[str | Co
 def append_and_dedupe(
     existing: DataFrame, new: DataFrame, keys: Sequence[str] = TRADE_KEY, order: Sequence[str] = ()
 ) -> DataFrame:
-    """Union of both sides with one row per key: the new side wins, then the largest of ``order``."""
+    """Union of both sides with one row per key: the new side wins, then the largest of ``order``.
+
+    A null in a key identifies nothing: such rows are merged only where they agree in every column, so
+    rows without an id stay apart and a repeated delivery still changes nothing.
+    """
     both = existing.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)), allowMissingColumns=True)
-    return newest_per_key(both, keys, ["_new", *order]).drop("_new")
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    merged = newest_per_key(both.where(known), keys, ["_new", *order]).drop("_new")
+    return merged.unionByName(both.where(~known).drop("_new").distinct())
 
 
 def merge_day_into_month(month: DataFrame, day: DataFrame, keys: Sequence[str] = TRADE_KEY) -> DataFrame:
@@ -38,10 +45,9 @@ def merge_day_into_month(month: DataFrame, day: DataFrame, keys: Sequence[str] =
 
 
 def canonical_json(doc: str | Column) -> Column:
-    """JSON text with sorted top-level keys and without blanks outside of values."""
+    """JSON text with sorted keys at every level and without blanks outside of values; other text as it is."""
     doc = F.col(doc) if isinstance(doc, str) else doc
-    entries = F.array_sort(F.map_entries(F.from_json(doc, "map<string,string>")))
-    return F.coalesce(F.to_json(F.map_from_entries(entries)), doc)
+    return F.coalesce(F.to_json(F.try_parse_json(doc)), doc)  # a variant keeps its fields in the order of their names
 
 
 def absent_documents(existing: DataFrame, new: DataFrame, keys: Sequence[str] = ("task", "day"), doc: str = "doc") -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Sequence
 from datetime import datetime
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tickloom.operators.lifecycle import TRADE_KEY, absent_documents, append_and_dedupe, split_archive
 from tickloom.operators.prepare import with_minute_parts
@@ -28,20 +30,46 @@ def write_partitions(df: DataFrame, path: str, parts: Sequence[str], order: Sequ
     placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
 
 
+BAR_PARTS = ("symbol", "timeframe", "date")
+
+
 def write_bars(bars: DataFrame, path: str) -> None:
-    write_partitions(bars, path, ["symbol", "timeframe"], ["time_rounded"])
+    """Overwrite the days that ``bars`` has bars of; other ranges of a series stay.
+
+    A bar belongs to the day it starts on, so the input must hold whole days of bars.
+    """
+    dated = bars.withColumn("date", F.col("time_rounded").cast("date"))
+    write_partitions(dated, path, BAR_PARTS, ["time_rounded"])
+
+
+def read_partitioned(spark: SparkSession, path: str, parts: Sequence[str], below: Sequence[str] | None = None) -> DataFrame:
+    """A partitioned table with the columns of all its files; partition values are text, as they were written.
+
+    ``below`` names the folders to read; the others are not listed.
+    """
+    reader = spark.read.option("basePath", path)
+    folders = [path] if below is None else list(below)
+    found = reader.option("mergeSchema", True).parquet(*folders)
+    columns = [f for f in found.schema.fields if f.name not in parts]
+    schema = T.StructType([*columns, *[T.StructField(p, T.StringType()) for p in parts]])
+    return reader.schema(schema).parquet(*folders)
 
 
-def stored_partitions(new: DataFrame, path: str, parts: Sequence[str], dates: str) -> DataFrame:
-    """Stored rows of the partitions ``new`` has rows for.
+def stored_partitions(new: DataFrame, path: str, parts: Sequence[str], dates: str) -> DataFrame | None:
+    """Stored rows of the partitions ``new`` has rows for, with all stored columns; None if there are none.
 
-    The set of ``dates`` values of the new rows (calendar-bounded) prunes the partitions before any
-    file is opened; the semi join then keeps exactly the touched ones.
+    Folders down to ``dates`` are named from the new rows (as many as they have symbols and dates), so
+    neither the rest of the tree nor its files are listed; the semi join then keeps the touched partitions.
     """
-    stored = new.sparkSession.read.schema(new.schema).parquet(path)
-    touched = new.agg(F.collect_set(dates)).scalar()
-    pruned = stored.where(F.array_contains(touched, F.col(dates)))
-    return pruned.join(new.select(*parts).distinct(), list(parts), "left_semi").select(*new.columns)
+    spark, upto = new.sparkSession, list(parts[: list(parts).index(dates) + 1])
+    wanted = [files.partition_folder(spark, path, row.asDict()) for row in new.select(*upto).distinct().collect()]
+    there = [folder for folder in wanted if files.exists(spark, folder)]
+    if not there:
+        return None
+    types = dict(new.dtypes)
+    stored = read_partitioned(spark, path, parts, there)
+    stored = stored.withColumns({p: F.col(p).cast(types[p]) for p in parts})
+    return stored.join(new.select(*parts).distinct(), list(parts), "left_semi")
 
 
 def upsert_partitions(
@@ -52,10 +80,18 @@ def upsert_partitions(
     keys: Sequence[str] = TRADE_KEY,
     order: Sequence[str] = (),
 ) -> None:
-    """Merge rows into their partitions: one row per key, the new row wins; other partitions stay."""
-    stored = stored_partitions(new, path, parts, dates) if files.exists(new.sparkSession, path) else new.limit(0)
-    merged = append_and_dedupe(stored, new, keys, order)
-    write_partitions(merged, path, parts, [c for c in ("transact_time",) if c in new.columns])
+    """Merge rows into their partitions: one row per key, the new row wins; other partitions stay.
+
+    Stored columns that the new rows lack are kept, and null in the new rows; rows with a null key are
+    never merged with different ones. The new rows are evaluated once.
+    """
+    new = new.persist()
+    try:
+        stored = stored_partitions(new, path, parts, dates)
+        merged = append_and_dedupe(new.limit(0) if stored is None else stored, new, keys, order)
+        write_partitions(merged, path, parts, [c for c in ("transact_time",) if c in new.columns])
+    finally:
+        new.unpersist()
 
 
 def upsert_minutes(trades: DataFrame, path: str, keys: Sequence[str] = TRADE_KEY) -> None:
@@ -97,9 +133,10 @@ def append_documents(docs: DataFrame, path: str) -> None:
 
 
 def write_range_named(table: DataFrame, base: str, name: str, time: str = "time_rounded") -> str:
-    """Write ``base/name_<first>_<last>`` and then drop the older ranges of that name.
+    """Write ``base/name_<first>_<last>`` and then drop the older ranges of exactly that name.
 
-    The new range is complete before an old one goes, so a reader always finds a whole table.
+    The new range is complete before an old one goes. Where the range is the same, the old table is set
+    aside before the new one takes its name, and dropped afterwards.
     """
     spark = table.sparkSession
     first, last = table.agg(F.date_format(F.min(time), "yyyyMMddHHmm"), F.date_format(F.max(time), "yyyyMMddHHmm")).first()
@@ -108,10 +145,12 @@ def write_range_named(table: DataFrame, base: str, name: str, time: str = "time_
     target = f"{name}_{first}_{last}"
     staging = f"{base}/_next_{target}"
     table.write.mode("overwrite").parquet(staging)
-    old = [c for c in files.children(spark, base) if c.startswith(f"{name}_")]
+    old = [c for c in files.children(spark, base) if re.fullmatch(rf"{re.escape(name)}_\d{{12}}_\d{{12}}", c)]
+    aside = f"{base}/_old_{target}"
     if target in old:
-        files.delete(spark, f"{base}/{target}")
+        files.rename(spark, f"{base}/{target}", aside)
     files.rename(spark, staging, f"{base}/{target}")
+    files.delete(spark, aside)
     for child in old:
         if child != target:
             files.delete(spark, f"{base}/{child}")
@@ -127,15 +166,21 @@ def write_data(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "over
 def archive_and_purge(spark: SparkSession, table: str, archive: str, as_of: datetime) -> tuple[int, int]:
     """Move rows older than midnight UTC of ``as_of`` to a CSV archive; returns (archived, kept).
 
-    The archive is read back and counted, and the kept rows are written next to the table, before
-    the table is swapped; when the counts do not add up the table is left as it was.
+    The archive is read back and counted before anything is removed. A partitioned table keeps its
+    layout: partitions without old rows are not touched, those without other rows are dropped, and
+    the few that hold both are rewritten. A table without partitions is written next to itself and swapped.
     """
-    rows = spark.read.parquet(table)
-    stamp = F.timestamp_seconds(F.lit(int(as_of.timestamp())))
-    old, keep = split_archive(rows, stamp)
-    total = rows.count()
+    parts = files.partition_names(spark, table)
+    rows = read_partitioned(spark, table, parts) if parts else spark.read.parquet(table)
+    old, keep = split_archive(rows, F.timestamp_seconds(F.lit(int(as_of.timestamp()))))
+    total, expected = rows.count(), old.count()
     stored = write_csv_archive(old, archive, as_of)
     archived = spark.read.schema(rows.schema).option("header", True).csv(stored).count()
+    if archived != expected:
+        raise RuntimeError(f"archived {archived} of {expected} old rows; table unchanged")
+    if parts:
+        _purge_partitions(spark, table, parts, old, keep)
+        return archived, total - archived
     following, previous = f"{table}_next", f"{table}_previous"
     keep.write.mode("overwrite").parquet(following)
     kept = spark.read.parquet(following).count()
@@ -145,3 +190,19 @@ def archive_and_purge(spark: SparkSession, table: str, archive: str, as_of: date
     files.rename(spark, following, table)
     files.delete(spark, previous)
     return archived, kept
+
+
+def _purge_partitions(spark: SparkSession, table: str, parts: Sequence[str], old: DataFrame, keep: DataFrame) -> None:
+    touched = old.select(*parts).distinct()
+    rest = keep.join(touched, list(parts), "left_semi")
+    staging = f"{table}_next_{uuid.uuid4().hex}"
+    rest.write.parquet(staging)
+    rest = spark.read.schema(rest.schema).parquet(staging)
+    gone = touched.join(rest.select(*parts).distinct(), list(parts), "left_anti").persist()
+    folders = [files.partition_folder(spark, table, row.asDict()) for row in gone.toLocalIterator()]
+    if not rest.isEmpty():
+        write_partitions(rest, table, parts)
+    for folder in folders:
+        files.delete(spark, folder)
+    gone.unpersist()
+    files.delete(spark, staging)

@@ -7,6 +7,7 @@ watermark; the raw landing merges every row into its minute, however late.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -39,9 +40,14 @@ def with_event_time(trades: DataFrame, delay: str) -> DataFrame:
 
 
 def dedupe_stream(trades: DataFrame, delay: str = "1 minute", keys: Sequence[str] = TRADE_KEY) -> DataFrame:
-    """Each trade once; ids are kept in state for the watermark delay."""
+    """Each trade once; ids are kept in state for the watermark delay.
+
+    A trade without an id is known by all its columns instead, so different ones stay apart.
+    """
     marked = trades if "event_time_ts" in trades.columns else with_event_time(trades, delay)
-    return marked.dropDuplicatesWithinWatermark(list(keys))
+    unknown = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    whole = F.when(unknown, F.to_json(F.struct(*trades.columns)))
+    return marked.withColumn("_whole", whole).dropDuplicatesWithinWatermark([*keys, "_whole"]).drop("_whole")
 
 
 def _windowed(trades: DataFrame, timeframe: str, delay: str) -> tuple[DataFrame, Column]:
