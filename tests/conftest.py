@@ -6,6 +6,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from tests.session import session  # noqa: E402
+from tickloom.plans.stage import clean  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -13,4 +14,5 @@ def spark():
     s = session()
     s.conf.set("spark.sql.shuffle.partitions", "4")
     yield s
+    clean(s)
     s.stop()

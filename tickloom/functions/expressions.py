@@ -51,13 +51,21 @@ def round_to_tick(price: str | Column, symbol: str | Column, decimals: Mapping[s
     return out
 
 
-def round_to(price: str | Column, decimals: str | Column, most: int = 10) -> Column:
-    """Round half up to a per-row number of decimals (Spark's round wants a literal scale)."""
+#: Decimals that a tick may have; a negative number rounds to tens, hundreds, ...
+DECIMALS = range(-12, 19)
+
+
+def round_to(price: str | Column, decimals: str | Column) -> Column:
+    """Round half up to a per-row number of decimals (Spark's round wants a literal scale).
+
+    Null decimals leave the price unrounded; a number outside ``DECIMALS`` fails the job.
+    """
     price, decimals = col(price), col(decimals)
-    out = price
-    for places in range(most + 1):
-        out = F.when(decimals == places, F.round(price, places)).otherwise(out)
-    return out
+    wrong = F.raise_error(F.concat(F.lit("tick decimals out of range: "), decimals.cast("string"))).cast("double")
+    out = F.when(decimals.isNull(), price)
+    for places in DECIMALS:
+        out = out.when(decimals == places, F.round(price, places))
+    return out.otherwise(wrong)
 
 
 def side_flag(c: str | Column) -> Column:
@@ -71,10 +79,24 @@ def weighted_sum(values: Column, weights: Sequence[float]) -> Column:
     return F.aggregate(F.zip_with(values, w, lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)
 
 
+def _object_pattern(depth: int) -> str:
+    """A JSON object with objects nested ``depth`` deep; possessive, so neither length nor failure costs stack or retries."""
+    text = r'"(?:[^"\\]++|\\.)*+"'
+    inner = ""
+    for _ in range(depth + 1):
+        inner = r'\{(?:[^{}"]++|' + text + (f"|{inner}" if inner else "") + r")*+\}"
+    return inner
+
+
+#: Levels of objects within objects that are split off whole.
+NESTING = 8
+
+
 def concatenated_json_array(text: str | Column, schema: T.StructType) -> Column:
-    """Parse ``{..}{..}`` or ``{..},{..}`` text of flat objects into an array of structs.
+    """Parse ``{..}{..}`` or ``{..},{..}`` text into an array of structs, one for each outermost object.
 
-    Braces inside quoted values are left alone; text without objects gives an empty array.
+    Objects may hold others, up to ``NESTING`` levels, and values of any length. Braces inside quoted
+    values are left alone; text without objects gives an empty array.
     """
-    objects = F.regexp_extract_all(col(text), F.lit(r'(\{(?:[^{}"]|"(?:[^"\\]|\\.)*")*\})'), F.lit(1))
+    objects = F.regexp_extract_all(col(text), F.lit(f"({_object_pattern(NESTING)})"), F.lit(1))
     return F.transform(F.coalesce(objects, F.array().cast("array<string>")), lambda o: F.from_json(o, schema))

@@ -273,8 +273,12 @@ def vidya(length: int = 14, column: str = "close") -> Indicator:
 
 
 def kama(length: int = 10, fast: int = 2, slow: int = 30, column: str = "close") -> Indicator:
-    """Kaufman's adaptive average, seeded with the mean of the first n prices."""
-    n = at_least(length, 2)
+    """Kaufman's adaptive average, seeded with the mean of the first n prices.
+
+    ``fast`` is 2 at least: with 1 the average could forget everything in one step, which a block's
+    running product cannot hold.
+    """
+    n, fast = at_least(length, 2), at_least(fast, 2)
     name, price, quick, lazy = f"KAMA_{n}_{fast}_{slow}", source_sql(column), ema_alpha(fast), ema_alpha(slow)
     x = F.expr(price)
     step, rate, y = f"_{name}_step", f"_{name}_rate", f"_{name}_y"

@@ -153,7 +153,13 @@ def add_indicators(
         # A second scan repeats the look-back windows of the first, so it gets a frame without the others'.
         narrow = _in_passes(indexed, chained, keys, size).select(*keys, "i", *[ref(n) for x in chained for n in x.outputs])
         result = result.join(narrow, [*keys, "i"])
-    table = add_stateful(result, [x for x in indicators if isinstance(x, Stateful)], keys)
+    sequential = [x for x in indicators if isinstance(x, Stateful)]
+    if sequential and plain:
+        # Only what they read and give goes through Python, not the outputs of the others.
+        folded = add_stateful(indexed, sequential, keys).select(*keys, "i", *[ref(n) for x in sequential for n in x.outputs])
+        table = result.join(folded, [*keys, "i"])
+    else:
+        table = add_stateful(result, sequential, keys)
     out = table.select(*[ref(c) for c in bars.columns if c != "n_bars"], *[ref(c) for c in outputs])
     if "n_bars" in bars.columns:
         return out

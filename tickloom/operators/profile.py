@@ -87,10 +87,17 @@ def cumulative_delta(totals: DataFrame, size: int = BLOCK) -> DataFrame:
     )
 
 
-def with_bar_index(levels: DataFrame) -> DataFrame:
+def bar_index(levels: DataFrame, bars: DataFrame | None = None) -> DataFrame:
+    """Bars with their index and the number of bars of their series.
+
+    The index counts ``bars``, also those without levels; without ``bars``, the bars that have levels.
+    """
+    return index_bars((levels if bars is None else bars).select(*BAR).distinct())
+
+
+def with_bar_index(levels: DataFrame, bars: DataFrame | None = None) -> DataFrame:
     """Give each level row the index of its bar and the number of bars of its series."""
-    index = index_bars(levels.select(*BAR).distinct())
-    return levels.join(index, BAR)
+    return levels.join(bar_index(levels, bars), BAR)
 
 
 def rolling_profile(indexed: DataFrame, bars: int = PROFILE_BARS) -> DataFrame:
@@ -149,9 +156,14 @@ def value_area(profile: DataFrame, share: float = VALUE_AREA_SHARE) -> DataFrame
     )
 
 
-def poc_value_area(levels: DataFrame, bars: int = PROFILE_BARS, share: float = VALUE_AREA_SHARE) -> DataFrame:
-    """POC, VAL and VAH of the rolling profile; one row per bar with a full history."""
-    return value_area(rolling_profile(with_bar_index(levels), bars), share)
+def poc_value_area(
+    levels: DataFrame, bars: int = PROFILE_BARS, share: float = VALUE_AREA_SHARE, of: DataFrame | None = None
+) -> DataFrame:
+    """POC, VAL and VAH of the rolling profile; one row per bar with a full history.
+
+    ``of`` holds all bars of the series; a bar without levels counts as one with an empty profile.
+    """
+    return value_area(rolling_profile(with_bar_index(levels, of), bars), share)
 
 
 def volume_clusters(
@@ -160,19 +172,23 @@ def volume_clusters(
     factor: float = CLUSTER_FACTOR,
     gate: str = "bar_index",
     size: int = BLOCK,
+    of: DataFrame | None = None,
 ) -> DataFrame:
     """Levels whose side quantity stands out against the recent bars, in long form.
 
+    ``of`` holds all bars of the series, also those without levels, which the index and the recent bars count.
+
     A level is a cluster when ``qty / sum(last bars' mean level quantity) / bars > factor``. The gate
     ``bar_index`` asks for bar index >= ``bars``; ``poc_rank`` for a POC rank >= ``bars`` instead,
     on bars that have a rolling profile.
     """
-    blocks = in_blocks(index_bars(level_means(levels)), pre=bars, size=size)
+    indexed = bar_index(levels, of).join(level_means(levels), BAR, "left")
+    blocks = in_blocks(indexed, pre=bars, size=size)
     sums = blocks.with_columns({f"{s}_sum": F.sum(f"{s}_average").over(blocks.last(bars)) for s in SIDES}).rows()
     if gate == "bar_index":
         gated = sums.where(F.col("i") >= bars)
     elif gate == "poc_rank":
-        ranks = poc_value_area(levels).where(F.col("poc_rank") >= bars).select(*SERIES, "i")
+        ranks = poc_value_area(levels, of=of).where(F.col("poc_rank") >= bars).select(*SERIES, "i")
         gated = sums.join(ranks, [*SERIES, "i"], "left_semi")
     else:
         raise ValueError(f"unknown gate {gate!r}")

@@ -208,12 +208,12 @@ def _fold_borders(border: DataFrame, keys: Sequence[str], values: Sequence[str],
 def in_blocks(
     indexed: DataFrame, pre: int = 0, post: int = 0, keys: Sequence[str] = SERIES, size: int = BLOCK, length: str = "n_bars"
 ) -> Blocks:
-    """Cut an indexed series into blocks; the halo rows are copied into the following block."""
+    """Cut an indexed series into blocks; the halo rows are copied into the blocks that look back on them."""
     halo = pre + post
-    size = max(size, halo)
     block = F.floor(F.col("i") / size)
-    feeds_next = (F.col("i") % size >= size - halo) & ((block + 1) * size < F.col(length))
-    homes = F.when(feeds_next, F.array(block, block + 1)).otherwise(F.array(block))
+    # A long look-back spans several blocks; their length stays, since running values divide by a product over a block.
+    last = F.least(F.floor((F.col("i") + halo) / size), F.floor((F.col(length) - 1) / size))
+    homes = F.sequence(block, F.greatest(block, last))
     return Blocks(indexed.withColumn("_block", F.explode(homes)), tuple(keys), pre, post, size)
 
 

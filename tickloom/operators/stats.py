@@ -13,16 +13,18 @@ from tickloom.operators.prepare import in_universe
 def trade_summary(trades: DataFrame, keys: Sequence[str] = ("symbol",)) -> DataFrame:
     """Counts, volume, notional, means and extremes of the trades per key.
 
-    Notional and means go through decimals (8 places), so they do not depend on the order of rows.
+    Notional and means go through wide decimals, so they do not depend on the order of rows: prices
+    below 1e20 with 18 places, quantities below 1e26 and notionals below 1e26 with 12 places. A single
+    notional under 1e-12 counts as zero.
     """
-    price, quantity = F.col("price").cast("decimal(20,8)"), F.col("quantity").cast("decimal(20,8)")
-    notional = price * quantity
+    price, quantity = F.col("price").cast("decimal(38,18)"), F.col("quantity").cast("decimal(38,12)")
+    notional = (F.col("price") * F.col("quantity")).cast("decimal(38,12)")
     return trades.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("total_trades"),
         F.sum("quantity").alias("total_volume"),
         F.sum(notional).cast("double").alias("total_value"),
-        F.avg(price).cast("double").alias("average_price"),
-        F.avg(quantity).cast("double").alias("average_quantity"),
+        (F.sum(price).cast("double") / F.count(price)).alias("average_price"),
+        (F.sum(quantity).cast("double") / F.count(quantity)).alias("average_quantity"),
         F.max("price").alias("max_price"),
         F.min("price").alias("min_price"),
         F.count_if(F.col("is_buyer_maker")).alias("buyer_market_trades"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,6 +12,16 @@ from tickloom.operators.series import SERIES, index_bars
 from tickloom.sinks.writers import write_bars
 from tickloom.sources.readers import read_daily_trades
 
+EPOCH = date(1970, 1, 1).toordinal()
+
+
+def whole_weeks(start: str, end: str) -> tuple[str, str]:
+    """A range of days widened to whole epoch weeks (Thursday to Wednesday)."""
+    first, last = date.fromisoformat(start), date.fromisoformat(end)
+    first -= timedelta((first.toordinal() - EPOCH) % 7)
+    last += timedelta((EPOCH - 1 - last.toordinal()) % 7)
+    return first.isoformat(), last.isoformat()
+
 
 def historical_bars(
     spark: SparkSession,
@@ -22,20 +33,26 @@ def historical_bars(
     timeframes: Sequence[str] = ("4h",),
     ticks: Mapping[str, int] | None = None,
 ) -> None:
-    """Read a range of the tape and write final bars per symbol and timeframe."""
-    trades = read_daily_trades(spark, base, symbols, start, end)
+    """Read a range of the tape and write final bars per symbol, timeframe and day; other days stay.
+
+    A weekly bar needs its whole week, so for that timeframe the range is widened to whole weeks.
+    """
     for timeframe in timeframes:
+        first, last = whole_weeks(start, end) if timeframe == "1w" else (start, end)
+        trades = read_daily_trades(spark, base, symbols, first, last)
         write_bars(footprint.bars_with_footprint(trades, timeframe, ticks), out)
 
 
 def analysis_table(bars: DataFrame, levels: DataFrame) -> DataFrame:
-    """One row per bar with delta, imbalance, level means, POC and value area.
+    """One row per bar with delta, imbalance, level means, POC, value area and the cluster labels of both sides.
 
-    ``bars`` and ``levels`` should be tables (or staged), since each is read by several measures.
+    ``bars`` and ``levels`` should be tables (or staged), since each is read by several measures. One
+    index over all bars, also those without levels, serves the bars, the profile and the clusters.
     """
     totals = profile.delta_columns(profile.bar_totals(levels)).drop("i")
-    measures = [totals, profile.top_level_imbalance(levels), profile.level_means(levels)]
+    clusters = profile.cluster_maps(levels, profile.volume_clusters(levels, of=bars))
+    measures = [totals, profile.top_level_imbalance(levels), profile.level_means(levels), clusters]
     out = index_bars(bars).drop("n_bars")
     for frame in measures:
         out = out.join(frame, footprint.BAR, "left")
-    return out.join(profile.poc_value_area(levels), [*SERIES, "i"], "left")
+    return out.join(profile.poc_value_area(levels, of=bars), [*SERIES, "i"], "left")

@@ -27,10 +27,7 @@ def _result(df: DataFrame, keys: Sequence[str] | None) -> DataFrame:
 
     Each batch is appended with its number, so the newest state of a key is known.
     """
-    folder = shared_folder(df.sparkSession)
-    if folder is None:
-        raise ValueError("set spark.checkpoint.dir to a shared folder")
-    base = f"{folder}/stream-{uuid.uuid4().hex}"
+    base = f"{shared_folder(df.sparkSession)}/stream-{uuid.uuid4().hex}"
 
     def append(batch: DataFrame, number: int) -> None:
         batch.withColumn("batch", F.lit(number)).write.mode("append").parquet(f"{base}/out")

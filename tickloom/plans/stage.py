@@ -1,24 +1,23 @@
-"""Cut a plan with a written table in the cluster's shared folder."""
+"""Cut a plan with a written table in a folder that all executors share."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tickloom.sinks import files
 
-_local_folder: str | None = None
+_OWN = f"tickloom-{uuid.uuid4().hex}"
 
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """Folder named by ``spark.checkpoint.dir``; only where unset in local mode, a temporary one."""
-    global _local_folder
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None and spark.sparkContext.master.startswith("local"):
-        _local_folder = _local_folder or tempfile.mkdtemp(prefix="tickloom-")
-        folder = _local_folder
-    return folder
+def shared_folder(spark: SparkSession) -> str:
+    """This process's folder below ``spark.checkpoint.dir``, or where that is unset below the warehouse.
+
+    Both are shared by the driver and the executors of a cluster, so the same code runs in every mode.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root}/{_OWN}"
 
 
 def staged(df: DataFrame) -> DataFrame:
@@ -26,12 +25,13 @@ def staged(df: DataFrame) -> DataFrame:
 
     Series operators read their input several times (bar index, block borders, main path). When the
     input is a fold of the tape, staging it keeps that to a single pass over the trades, survives the
-    loss of executors and leaves a columnar table to prune. Without a shared folder the plan is
-    returned as it is: same result, more passes.
+    loss of executors and leaves a columnar table to prune. ``clean`` drops the tables.
     """
-    folder = shared_folder(df.sparkSession)
-    if folder is None:
-        return df
-    path = f"{folder}/staged-{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/staged-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clean(spark: SparkSession) -> None:
+    """Drop everything that this process staged, once its results have been used."""
+    files.delete(spark, shared_folder(spark))

@@ -7,7 +7,7 @@ from functools import reduce
 from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F, types as T
 
 from tickloom.operators.lifecycle import check_dates
 from tickloom.operators.prepare import canonical_trades, canonical_types, drop_header_rows, in_calendar_range, rename_by_position
@@ -88,9 +88,25 @@ def read_headerless_trades(spark: SparkSession, paths: str | Sequence[str]) -> D
     return canonical_types(drop_header_rows(raw))
 
 
+def _named_csv(reader: DataFrameReader, path: str, schema: T.StructType) -> DataFrame:
+    """CSV files with a header, matched by name and typed as declared.
+
+    The header of the first file names the columns; a file with another header, or a column that no file has,
+    is an error.
+    """
+    reader = reader.option("header", True)
+    names = reader.csv(path).columns
+    missing = [f.name for f in schema.fields if f.name not in [c.strip() for c in names]]
+    if missing:
+        raise ValueError(f"{path}: columns missing: {missing}")
+    text = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    raw = reader.schema(text).option("enforceSchema", False).csv(path)
+    return raw.toDF(*[c.strip() for c in names])
+
+
 def read_trades_csv(spark: SparkSession, path: str, schema: T.StructType = AGG_TRADES) -> DataFrame:
-    """Trades of CSV files with a header and a declared schema."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+    """Trades of CSV files with a header and a declared schema, whatever the order of their columns."""
+    return align_columns(_named_csv(spark.read, path, schema), schema)
 
 
 def read_dataset(spark: SparkSession, name: str, path: str, fmt: str = "csv") -> DataFrame:
@@ -161,7 +177,7 @@ def read_symbol_csvs(spark: SparkSession, base: str, schema: T.StructType = AGG_
     Files whose path does not follow the layout are skipped.
     """
     layout = r"/([^/]+)/([^/]+)/([^/_]+)__[^/]*$"
-    raw = spark.read.schema(_strings(schema)).option("header", True).option("recursiveFileLookup", True).csv(base)
+    raw = _named_csv(spark.read.option("recursiveFileLookup", True), base, schema).select(*schema.fieldNames())
     path = F.input_file_name()
     tagged = raw.withColumns(
         {
