@@ -25,6 +25,14 @@ def test_ticks_of_any_size(spark):
         spark.createDataFrame([(1.0, 40)], "p double, d int").select(round_to("p", "d")).collect()
 
 
+def test_repeated_tick_sizes_are_refused(spark):
+    trades = tape(spark, [("A", 1, 1.26, 1.0, 0, True)])
+    ticks = spark.createDataFrame([("A", 1)], "symbol string, decimals int")
+    assert footprint.footprint_levels(trades, "1h", ticks).first().price_level == 1.3
+    with pytest.raises(PySparkException, match="several tick sizes"):
+        footprint.footprint_levels(trades, "1h", ticks.union(ticks)).collect()
+
+
 def test_summary_of_tiny_and_huge_trades(spark):
     (r,) = stats.trade_summary(tape(spark, [("A", 1, 4e-9, 1e9, 0, True), ("A", 2, 4e-9, 1e13, 0, False)])).collect()
     assert r.total_value == pytest.approx(4 + 4e4) and r.average_price == pytest.approx(4e-9) and r.average_quantity == pytest.approx((1e9 + 1e13) / 2)

@@ -270,3 +270,20 @@ def test_historical_flow(spark, tmp_path):
     key = ["time_rounded", "open", "close", "qty"]
     assert sorted(map(tuple, got.where("timeframe = '4h'").select(*key).collect())) == sorted(map(tuple, want.select(*key).collect()))
     assert {r.timeframe for r in got.select("timeframe").distinct().collect()} == {"1h", "4h"}
+
+
+def test_historical_flow_folds_once_and_resumes(spark, tmp_path, monkeypatch):
+    base, out = f"{tmp_path}/tape", f"{tmp_path}/bars"
+    rows = random_rows(300, symbols=("A", "B"))
+    dated(spark, rows).write.partitionBy("symbol", "date").parquet(base)
+    folds = []
+    real = batch.footprint.bars_with_footprint
+    monkeypatch.setattr(batch.footprint, "bars_with_footprint", lambda *a: folds.append(a[1]) or real(*a))
+    frames = ["1m", "5m", "15m", "30m", "1h", "4h", "12h", "1d", "1w"]
+    done = [batch.historical_bars(spark, base, out, symbols, "1970-01-01", "1970-01-31", frames).count() for symbols in (["A"], ["A"], ["A", "B"])]
+    assert done == [9, 0, 9] and folds == ["1m", "1m"]
+    got = spark.read.parquet(out)
+    for frame in ("5m", "4h", "1w"):
+        want = real(tape(spark, rows), frame)
+        columns = [F.to_json(F.struct(*[F.expr(c) for c in ("symbol", "time_rounded", "open", "close", "high", "low", "round(qty, 6) qty", "round(sum_total_bid_qty, 6) b", "map_entries(footprint) f")])).alias("x")]
+        assert sorted(r.x for r in got.where(F.col("timeframe") == frame).select(columns).collect()) == sorted(r.x for r in want.select(columns).collect())

@@ -26,7 +26,9 @@ def with_price_level(
     if decimals is not None:
         return trades.withColumn("price_level", F.round("price", decimals))
     if isinstance(ticks, DataFrame):
-        sized = trades.join(ticks.select("symbol", F.col("decimals").alias("_decimals")), "symbol", "left")
+        twice = F.raise_error(F.concat(F.lit("several tick sizes for symbol "), F.col("symbol"))).cast("int")
+        one = F.when(F.count("*") == 1, F.max("decimals")).otherwise(twice).alias("_decimals")
+        sized = trades.join(ticks.groupBy("symbol").agg(one), "symbol", "left")
         return sized.withColumn("price_level", round_to("price", "_decimals")).drop("_decimals")
     return trades.withColumn("price_level", round_to_tick("price", "symbol", TICK_DECIMALS if ticks is None else ticks))
 

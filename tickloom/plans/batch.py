@@ -5,10 +5,15 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom.operators import footprint, profile
+from tickloom.operators.bars import rollup_bars
+from tickloom.operators.lifecycle import pending
 from tickloom.operators.series import SERIES, index_bars
+from tickloom.plans.stage import staged
+from tickloom.schema import TIMEFRAMES, timeframe_ms
+from tickloom.sinks import files
 from tickloom.sinks.writers import write_bars
 from tickloom.sources.readers import read_daily_trades
 
@@ -23,6 +28,19 @@ def whole_weeks(start: str, end: str) -> tuple[str, str]:
     return first.isoformat(), last.isoformat()
 
 
+def final_bars(base: DataFrame, finest: str, timeframes: Sequence[str]) -> DataFrame:
+    """Final bars of several timeframes out of those of the finest; ``base`` should be a table, as it is read twice."""
+    levels = footprint.rollup_levels(footprint.explode_footprint(base), finest, *timeframes)
+    totals = [F.sum(f"total_{side}_qty").alias(f"sum_total_{side}_qty") for side in footprint.SIDES]
+    measured = levels.groupBy(*footprint.BAR).agg(*totals).join(footprint.footprint_map(levels), footprint.BAR)
+    joined = rollup_bars(base, finest, *timeframes).join(measured, footprint.BAR, "left")
+    none = F.create_map().cast(base.schema["footprint"].dataType)
+    return joined.fillna(0.0, [f"sum_total_{side}_qty" for side in footprint.SIDES]).withColumn("footprint", F.coalesce("footprint", none)).select(*base.columns)
+
+
+COMPLETED = "symbol string, timeframe string, first string, last string"
+
+
 def historical_bars(
     spark: SparkSession,
     base: str,
@@ -32,15 +50,31 @@ def historical_bars(
     end: str,
     timeframes: Sequence[str] = ("4h",),
     ticks: Mapping[str, int] | None = None,
-) -> None:
-    """Read a range of the tape and write final bars per symbol, timeframe and day; other days stay.
+) -> DataFrame:
+    """Write final bars per symbol, timeframe and day of a range of the tape; other days stay.
 
-    A weekly bar needs its whole week, so for that timeframe the range is widened to whole weeks.
+    What was completed for this range before (``<out>_completed``) is left out. The tape of the others is
+    folded once, at the finest timeframe; the rest is rolled up from that table. A weekly bar needs its
+    whole week, so if weeks are asked for, the fold covers whole weeks. Returns what was done.
     """
-    for timeframe in timeframes:
-        first, last = whole_weeks(start, end) if timeframe == "1w" else (start, end)
-        trades = read_daily_trades(spark, base, symbols, first, last)
-        write_bars(footprint.bars_with_footprint(trades, timeframe, ticks), out)
+    record = f"{out}_completed"
+    asked = spark.createDataFrame([(s, t, start, end) for s in symbols for t in timeframes], COMPLETED)
+    done = spark.read.schema(COMPLETED).parquet(record) if files.exists(spark, record) else asked.limit(0)
+    todo = pending(asked, done, ["symbol", "timeframe", "first", "last"]).collect()
+    now = spark.createDataFrame(todo, COMPLETED)
+    if not todo:
+        return now
+    wanted = sorted({r.timeframe for r in todo}, key=timeframe_ms)
+    first, last = whole_weeks(start, end) if "1w" in wanted else (start, end)
+    trades = read_daily_trades(spark, base, sorted({r.symbol for r in todo}), first, last)
+    finest = max((t for t in TIMEFRAMES if all(timeframe_ms(w) % timeframe_ms(t) == 0 for w in wanted)), key=timeframe_ms)
+    folded = staged(footprint.bars_with_footprint(trades, finest, ticks))
+    day = F.col("time_rounded").cast("date")
+    inside = (F.col("timeframe") == "1w") | day.between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+    bars = final_bars(folded, finest, wanted).where(inside).join(now.select("symbol", "timeframe"), ["symbol", "timeframe"], "left_semi")
+    write_bars(bars, out)
+    now.write.mode("append").parquet(record)
+    return now
 
 
 def analysis_table(bars: DataFrame, levels: DataFrame) -> DataFrame:
