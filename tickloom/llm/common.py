@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 #: White space that separates words, as a regular expression class without brackets.
 BLANKS = r"\x20\x09-\x0D"
 #: Bytes of text that a task turns into arrays at a time (one longer text is a slice of its own).
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _own_root: str | None = None
 

@@ -67,7 +67,7 @@ class Encoder:
     Beyond ``most`` units all are forgotten, which costs time only.
     """
 
-    def __init__(self, path: str, units, most: int = 1_500_000):
+    def __init__(self, path: str, units, most: int = 800_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.units, self.most = Tokenizer.from_file(path), units, most

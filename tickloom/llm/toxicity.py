@@ -54,6 +54,7 @@ def nn_pu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int
     estimate of the risk on negatives, falls below zero, its sign is turned: the step goes back from
     overfitting the unlabelled rows. Full-batch Adam from zero, so a run is repeatable.
     """
+    positive, unlabelled = (x.astype(np.float32, copy=False) for x in (positive, unlabelled))
     w, b = np.zeros(positive.shape[1]), float(np.log(prior / (1 - prior)))
     m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
 
@@ -61,7 +62,8 @@ def nn_pu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
     for k in range(1, steps + 1):
-        zp, zu = positive @ w + b, unlabelled @ w + b
+        small = w.astype(np.float32)  # as the matrices, which are not copied
+        zp, zu = (positive @ small + b).astype(float), (unlabelled @ small + b).astype(float)
         pp, pu = sigmoid(zp), sigmoid(zu)
         negative_risk = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
         gp, gu = prior * (pp - 1) / len(pp), pu / len(pu)
@@ -70,7 +72,7 @@ def nn_pu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int
             parts = ((positive, gp - back), (unlabelled, gu))
         else:
             parts = ((positive, back), (unlabelled, -gu))
-        g = sum(np.append(x.T @ e, e.sum()) for x, e in parts)
+        g = sum(np.append(x.T @ e.astype(np.float32), e.sum()) for x, e in parts)
         g[:-1] += decay * w
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         step = rate * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.999**k)) + 1e-8)
