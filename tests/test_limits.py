@@ -1,6 +1,7 @@
 """Inputs beyond the usual range: ticks, tiny and huge numbers, long look-backs, long and nested JSON, bars without levels."""
 
 import random
+import statistics
 from collections import defaultdict
 
 import pytest
@@ -38,6 +39,16 @@ def test_summary_of_tiny_and_huge_trades(spark):
     assert r.total_value == pytest.approx(4 + 4e4) and r.average_price == pytest.approx(4e-9) and r.average_quantity == pytest.approx((1e9 + 1e13) / 2)
 
 
+def test_median_of_values_on_two_scales(spark):
+    random.seed(2)
+    values = [random.random() for _ in range(5000)] + [1e6, 1e15, -1e300] + [0.5] * 100
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert stats.exact_median(df, "v").first()[0] == statistics.median(values)
+    assert stats.exact_median(df.limit(0), "v").first()[0] is None
+    kept = stats._keep_middle_bins(df.groupBy("v").agg(F.count("*").alias("n")).withColumns({c: F.lit(x).cast("bigint") for c, x in (("lo", 2552), ("hi", 2552), ("before", 0))}), 256)
+    assert kept.count() < 100
+
+
 def test_long_look_back_beside_a_short_average(spark):
     random.seed(1)
     rows = [("A", k, random.uniform(10, 20), 1.0, k * HOUR, True) for k in range(2300)]

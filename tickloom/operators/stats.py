@@ -32,7 +32,7 @@ def trade_summary(trades: DataFrame, keys: Sequence[str] = ("symbol",)) -> DataF
     )
 
 
-MEDIAN_BINS = 4096
+MEDIAN_BINS = 256
 
 
 def exact_median(df: DataFrame, value: str, bins: int = MEDIAN_BINS) -> DataFrame:
@@ -40,8 +40,9 @@ def exact_median(df: DataFrame, value: str, bins: int = MEDIAN_BINS) -> DataFram
 
     The builtin exact percentile keeps every distinct value of a group in one buffer. Here values
     are counted first (a value repeated a billion times becomes one row), counts are summed per
-    equal-width bin, and only the bin(s) holding the two middle ranks are ordered. A bin too full for
-    one task is cut again by the second pass, which repeats the step inside those bins.
+    bin, and only the bin(s) holding the two middle ranks are ordered. Bins are cut at approximate
+    quantiles of the distinct values, so each holds about the same number whatever their scale; the
+    second pass cuts the chosen ones again, which leaves some distinct / ``bins`` ** 2 values to order.
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("n"))
     total = counts.agg(F.sum("n")).scalar()
@@ -73,9 +74,10 @@ def _keep_middle_bins(counts: DataFrame, bins: int) -> DataFrame:
 
     At most two bins are kept per call, and the bin totals are at most ``bins`` rows.
     """
-    low, high = _span(counts, "v")
-    share = F.coalesce(F.try_divide(F.col("v") - low, high - low), F.lit(0.0))
-    binned = counts.withColumn("bin", F.least(F.floor(share * bins), F.lit(bins - 1)).cast("int"))
+    cuts = F.percentile_approx("v", [k / bins for k in range(1, bins)], 20 * bins)
+    edges = counts.agg(cuts.alias("edges")).scalar()
+    binned = counts.withColumn("_edges", edges)  # a subquery cannot stand inside the filter itself
+    binned = binned.withColumn("bin", F.size(F.filter("_edges", lambda edge: edge < F.col("v")))).drop("_edges")
     sums = binned.groupBy("before", "bin").agg(F.sum("n").alias("held"))
     upto = F.sum("held").over(Window.partitionBy("before").orderBy("bin"))
     edges = sums.withColumn("below", F.col("before") + upto - F.col("held"))
