@@ -2,6 +2,8 @@ import re
 from datetime import datetime, timezone
 
 import pytest
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tests.helpers import HOUR, random_rows, tape
@@ -57,6 +59,28 @@ def test_absent_files_are_skipped(spark, tmp_path):
         readers.read_existing_files(spark, [])
 
 
+def test_unreadable_files_are_named(spark, tmp_path):
+    good, bad = f"{tmp_path}/a/part", f"{tmp_path}/b.parquet"
+    tape(spark, [("A", 1, 1.0, 1.0, 0, True)]).write.parquet(good)
+    (tmp_path / "b.parquet").write_text("no parquet at all")
+    assert readers.unreadable_files(spark, [good, bad, f"{tmp_path}/c"]) == [bad]
+    with pytest.warns(UserWarning, match="b.parquet"):
+        assert ids(readers.read_existing_files(spark, [good, bad], skip_unreadable=True)) == [1]
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        readers.read_existing_files(spark, [good, bad], AGG_TRADES).collect()
+
+
+def test_latest_minutes_by_folder_names(spark, tmp_path):
+    out = f"{tmp_path}/minutes"
+    rows = [("A", k, 1.0, 1.0, k * 60_000 + (DAY if k > 5 else 0), True) for k in range(9)] + [("B", 20, 1.0, 1.0, DAY + 7 * 60_000, True)]
+    writers.append_minutes(tape(spark, rows), out)
+    got = readers.read_latest_minutes(spark, out, 2)
+    assert ids(got) == [7, 8, 20] and len(got.inputFiles()) == 3
+    assert len(ids(readers.read_latest_minutes(spark, out, 100))) == 10
+    with pytest.raises(FileNotFoundError):
+        readers.read_latest_minutes(spark, f"{tmp_path}/none", 1)
+
+
 def test_unequal_schema_is_null_filled(spark):
     a = tape(spark, [("A", 1, 1.0, 2.0, 0, True)])
     out = readers.union_aligned([a, a.drop("quantity").withColumn("extra", F.lit(1))], AGG_TRADES)

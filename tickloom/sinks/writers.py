@@ -8,14 +8,13 @@ from collections.abc import Sequence
 from datetime import datetime
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom.operators.lifecycle import TRADE_KEY, absent_documents, append_and_dedupe, split_archive
 from tickloom.operators.prepare import with_minute_parts
 from tickloom.sinks import files
-from tickloom.sources.readers import FORMATS
+from tickloom.sources.readers import FORMATS, MINUTE_PARTS, read_partitioned
 
-MINUTE_PARTS = ("symbol", "day", "hour", "minute")
 
 
 def write_partitions(df: DataFrame, path: str, parts: Sequence[str], order: Sequence[str] = ()) -> None:
@@ -42,19 +41,6 @@ def write_bars(bars: DataFrame, path: str) -> None:
     write_partitions(dated, path, BAR_PARTS, ["time_rounded"])
 
 
-def read_partitioned(spark: SparkSession, path: str, parts: Sequence[str], below: Sequence[str] | None = None) -> DataFrame:
-    """A partitioned table with the columns of all its files; partition values are text, as they were written.
-
-    ``below`` names the folders to read; the others are not listed.
-    """
-    reader = spark.read.option("basePath", path)
-    folders = [path] if below is None else list(below)
-    found = reader.option("mergeSchema", True).parquet(*folders)
-    columns = [f for f in found.schema.fields if f.name not in parts]
-    schema = T.StructType([*columns, *[T.StructField(p, T.StringType()) for p in parts]])
-    return reader.schema(schema).parquet(*folders)
-
-
 def stored_partitions(new: DataFrame, path: str, parts: Sequence[str], dates: str) -> DataFrame | None:
     """Stored rows of the partitions ``new`` has rows for, with all stored columns; None if there are none.
 

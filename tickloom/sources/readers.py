@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
+import re
+import warnings
 from collections.abc import Sequence
 from functools import reduce
 from typing import Any
+from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F, types as T
 
 from tickloom.operators.lifecycle import check_dates
 from tickloom.operators.prepare import canonical_trades, canonical_types, drop_header_rows, in_calendar_range, rename_by_position
 from tickloom.schema import AGG_TRADES, DATASETS, KLINES, TAPE
+from tickloom.sinks import files
 
 FORMATS = ("parquet", "csv", "json")
+MINUTE_PARTS = ("symbol", "day", "hour", "minute")
 
 
 def read_daily_trades(spark: SparkSession, base: str, symbols: Sequence[str], start: str, end: str) -> DataFrame:
@@ -34,20 +40,80 @@ def read_monthly_trades(
     return tape.where(F.col("symbol").isin(list(symbols)) & wanted)
 
 
+def read_partitioned(spark: SparkSession, path: str, parts: Sequence[str], below: Sequence[str] | None = None) -> DataFrame:
+    """A partitioned table with the columns of all its files; partition values are text, as they were written.
+
+    ``below`` names the folders to read; the others are not listed.
+    """
+    reader = spark.read.option("basePath", path)
+    folders = [path] if below is None else list(below)
+    found = reader.option("mergeSchema", True).parquet(*folders)
+    columns = [f for f in found.schema.fields if f.name not in parts]
+    schema = T.StructType([*columns, *[T.StructField(p, T.StringType()) for p in parts]])
+    return reader.schema(schema).parquet(*folders)
+
+
+def read_latest_minutes(spark: SparkSession, path: str, n: int) -> DataFrame:
+    """Landed trades of the ``n`` newest minutes that have any, over all symbols.
+
+    The minutes are found by the names of folders, newest day and hour first; only their files are read.
+    """
+
+    def values(folders: Sequence[str], name: str) -> dict[str, list[str]]:
+        out: dict[str, list[str]] = {}
+        for folder in folders:
+            for child in files.children(spark, folder):
+                if child.startswith(f"{name}="):
+                    out.setdefault(child.split("=", 1)[1], []).append(f"{folder}/{child}")
+        return dict(sorted(out.items(), reverse=True))
+
+    symbols = [f for found in values([path], "symbol").values() for f in found]
+    wanted: list[list[str]] = []
+    for days in values(symbols, "day").values():
+        for hours in values(days, "hour").values():
+            wanted += values(hours, "minute").values()
+            if len(wanted) >= n:
+                return read_partitioned(spark, path, MINUTE_PARTS, [f for found in wanted[:n] for f in found])
+    if not wanted:
+        raise FileNotFoundError(f"no minutes below {path}")
+    return read_partitioned(spark, path, MINUTE_PARTS, [f for found in wanted for f in found])
+
+
+def unreadable_files(spark: SparkSession, paths: Sequence[str], fmt: str = "parquet") -> list[str]:
+    """Those of the files that exist but whose schema cannot be read."""
+    bad = []
+    for path in paths:
+        try:
+            if files.exists(spark, path):
+                spark.read.format(fmt).load(path)
+        except (PySparkException, Py4JJavaError):
+            bad.append(path)
+    return bad
+
+
 def read_existing_files(
-    spark: SparkSession, paths: Sequence[str], schema: T.StructType | None = None, fmt: str = "parquet"
+    spark: SparkSession,
+    paths: Sequence[str],
+    schema: T.StructType | None = None,
+    fmt: str = "parquet",
+    skip_unreadable: bool = False,
 ) -> DataFrame:
-    """Read those of the files that exist and are readable; an error only if none exists.
+    """Read those of the files that exist; an error only if none does.
 
-    The list is handed over as one glob, whose absent members simply do not match.
+    A file that cannot be read fails the job. With ``skip_unreadable`` such files are left out and named in
+    a warning. The list is handed over as one glob, whose absent members simply do not match.
     """
+    bad = unreadable_files(spark, paths, fmt) if skip_unreadable else []
+    if bad:
+        warnings.warn(f"skipped unreadable files: {bad}", stacklevel=2)
+        paths = [p for p in paths if p not in bad]
     if not paths:
         raise FileNotFoundError("no input files")
     stem = paths[0].rsplit("/", 1)[0] + "/"
     while not all(p.startswith(stem) for p in paths):
         stem = stem.rstrip("/").rsplit("/", 1)[0] + "/"
     glob = stem + "{" + ",".join(p[len(stem) :] for p in paths) + "}"
-    reader = spark.read.options(ignoreMissingFiles=True, ignoreCorruptFiles=True)
+    reader = spark.read.option("ignoreMissingFiles", True)
     if schema is not None:
         reader = reader.schema(schema)
     try:
@@ -146,9 +212,9 @@ def klines_as_bars(klines: DataFrame, symbol: str, timeframe: str) -> DataFrame:
 
 
 def symbols_in_paths(df: DataFrame, key: str = "symbol") -> DataFrame:
-    """Distinct ``key=value`` folder names of the files behind a frame."""
-    value = F.regexp_extract(F.input_file_name(), rf"/{key}=([^/]+)/", 1)
-    return df.select(value.alias(key)).where(F.col(key) != "").distinct()
+    """Distinct ``key=value`` folder names of the files behind a frame; only names are listed, no rows are read."""
+    found = {m[1] for f in df.inputFiles() if (m := re.search(rf"/{re.escape(key)}=([^/]+)/", f))}
+    return df.sparkSession.createDataFrame([(unquote(x),) for x in sorted(found)], f"{key} string")
 
 
 def list_files(spark: SparkSession, base: str, suffix: str = "") -> DataFrame:
