@@ -64,6 +64,15 @@ class HashIndex:
         self.bits, self.size = bits, 0
         self.keys, self.places = np.zeros(1 << bits, np.uint64), np.full(1 << bits, -1, np.int32)
 
+    def __getstate__(self) -> np.ndarray:
+        """The hashes in the order of their places; the table is built again from them."""
+        used = self.places >= 0
+        return self.keys[used][np.argsort(self.places[used])]
+
+    def __setstate__(self, hashes: np.ndarray) -> None:
+        self.__init__()
+        self.add(hashes)
+
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Place of each hash, -1 where it is unknown."""
         out = np.full(len(hashes), -1, np.int32)
