@@ -141,7 +141,8 @@ def repeated_windows(docs: DataFrame, width: int) -> DataFrame:
     cut = staged(docs.mapInArrow(each_slice(segments), rows))
     # A key that one segment has can hold no repetition; a key of equal segments is a repetition throughout.
     keys = cut.groupBy("key").agg(F.count("*").alias("all"), F.min("content").alias("low"), F.max("content").alias("high")).where(F.col("all") > 1)
-    shared = staged(cut.join(keys.select("key", (F.col("low") != F.col("high")).alias("mixed")), "key"))
+    keys = staged(keys.select("key", (F.col("low") != F.col("high")).alias("mixed")))  # a side of its own, so that the join can split a hot key
+    shared = staged(cut.join(keys, "key"))
     whole = shared.where("not mixed").select("id", "tag", "start", F.expr("shiftleft(1L, n) - 1 AS bits"))
 
     # Of the others the words are needed: the distinct contents of an anchor go to one shard.
