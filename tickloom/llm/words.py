@@ -56,6 +56,11 @@ class Words:
     def word(self, k: int) -> bytes:
         return self.buffer[self.starts[k] : self.ends[k]].tobytes()
 
+    def some(self, places: np.ndarray) -> list[bytes]:
+        """The words at these places."""
+        raw = self.buffer.tobytes()
+        return [raw[a:b] for a, b in zip(self.starts[places].tolist(), self.ends[places].tolist())]
+
 
 class HashIndex:
     """Places of 64-bit hashes: an open-addressing table in arrays, looked up many at a time."""
