@@ -47,13 +47,15 @@ class Features(dict):
         return {k: log2(1 + min(n, 7)) for k, n in sorted(often.items())}
 
 
-def nn_pu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 400, rate: float = 0.05, decay: float = 0.01) -> tuple[np.ndarray, float]:
+def nn_pu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 400, rate: float = 0.05, decay: float | None = None) -> tuple[np.ndarray, float]:
     """Weights and bias of a logistic model that minimise the non-negative positive-unlabelled risk.
 
     The risk is prior * E_P[l(+)] + max(0, E_U[l(-)] - prior * E_P[l(-)]). Where the second part, the
     estimate of the risk on negatives, falls below zero, its sign is turned: the step goes back from
-    overfitting the unlabelled rows. Full-batch Adam from zero, so a run is repeatable.
+    overfitting the unlabelled rows. ``decay`` of the weights is one over the positives unless given, so a
+    prior of fixed strength gives way to evidence. Full-batch Adam from zero, so a run is repeatable.
     """
+    decay = 1 / len(positive) if decay is None else decay
     positive, unlabelled = (x.astype(np.float32, copy=False) for x in (positive, unlabelled))
     w, b = np.zeros(positive.shape[1]), float(np.log(prior / (1 - prior)))
     m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
