@@ -215,7 +215,7 @@ def repeated_windows(docs: DataFrame, width: int) -> DataFrame:
     single = found.where("many").select("key", "content", "times", "words").mapInArrow(windows, "key bigint, content bigint, times bigint, one bigint, two bigint, bit bigint")
     often = single.groupBy("one", "two").agg(F.sum("times").alias("all")).where(F.col("all") > 1)
     by_window = single.join(often, ["one", "two"]).groupBy("key", "content").agg(F.bit_or("bit").alias("bits"))
-    bits = by_automaton.unionByName(by_window).where("bits <> 0").groupBy("key", "content").agg(F.bit_or("bits").alias("bits"))
+    bits = staged(by_automaton.unionByName(by_window).where("bits <> 0").groupBy("key", "content").agg(F.bit_or("bits").alias("bits")))
     part = shared.where("mixed").join(bits, ["key", "content"]).select("id", "tag", "start", "bits")
     return whole.unionByName(part)
 
