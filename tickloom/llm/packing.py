@@ -93,7 +93,7 @@ def pack(pieces: DataFrame, tasks: int, capacity: int = 4096) -> DataFrame:
 
 
 def pack_documents(
-    docs: DataFrame, path: str, units: Callable = word_units, end_id: int = 1, capacity: int = 4096, docs_per_task: int = 40_000
+    docs: DataFrame, path: str, units: Callable = word_units, end_id: int = 1, capacity: int = 4096, docs_per_task: int = 10_000
 ) -> DataFrame:
     """Pack every document of ``docs`` (doc_id, text) into sequences of at most ``capacity`` tokens.
 
