@@ -246,6 +246,34 @@ def test_scores_refine_weights_as_a_plain_loop_does(monkeypatch):
         assert math.isclose(total, fast[k], rel_tol=1e-4)
 
 
+def test_contexts_are_counted_apart_whatever_the_corpus(spark):
+    """Every pair of a context and a symbol has the counts of a plain loop along its path: none shares a slot."""
+    random.seed(12)
+    lexicon = [f"w{k}" for k in range(40)]
+    texts = [" ".join(random.choice(lexicon) for _ in range(random.randint(0, 200))).encode() for _ in range(60)]
+    train = np.array([k % 3 > 0 for k in range(60)])
+    counts = Counter(w for text, on in zip(texts, train) if on for w in text.split())
+    table = pa.table({"word": pa.array([w for w in counts], pa.binary()), "n": list(counts.values())})
+    v = scoring.Vocabulary(table, 30, sum(counts.values()) + 40, 40)
+    tokens = scoring.Tokens(texts, v)
+    asked = scoring.slice_pairs(tokens, train)
+    frame = spark.createDataFrame(pa.table({"context": asked[0].view(np.int64), "symbol": asked[1], "n": asked[2]}))
+    paths = scoring.Paths(scoring.context_paths(frame, spark.sparkContext.broadcast(v)).toArrow())
+    along = [Counter(), Counter()]
+    on = np.repeat(train, tokens.counts)
+    for order, context in enumerate(tokens.contexts):
+        for c, s in zip(context[on].tolist(), tokens.symbol[on].tolist()):
+            bits = format(v.codes[s], f"0{v.lengths[s]}b")
+            along[order].update((c, bits[:d]) for d in range(len(bits) + 1))
+    sizes = v.lengths[tokens.symbol]
+    bit = v.bit[scoring.ragged(v.first[tokens.symbol], sizes)]
+    for order, context in enumerate(tokens.contexts):
+        zero, one = paths.counts(context, tokens.symbol, sizes, bit, False)
+        expected = [(along[order][c, b[:d] + "0"], along[order][c, b[:d] + "1"]) for c, s in zip(context.tolist(), tokens.symbol.tolist()) for b in [format(v.codes[s], f"0{v.lengths[s]}b")] for d in range(len(b))]
+        seen = list(zip(zero.tolist(), one.tolist()))
+        assert seen == expected
+
+
 def test_code_is_complete():
     lengths = scoring.code_lengths([5, 1, 1, 20, 7, 7, 3])
     assert sum(2.0**-lengths) == 1
