@@ -1,5 +1,6 @@
 """Mixing, toxicity, nearest neighbours, language-model scores and the pipeline."""
 
+import inspect
 import math
 import random
 import zlib
@@ -274,6 +275,15 @@ def test_contexts_are_counted_apart_whatever_the_corpus(spark):
         assert seen == expected
 
 
+def test_words_up_to_rank_65000_are_coded_and_five_letters_are_contexts():
+    coded = inspect.signature(scoring.score).parameters["coded"].default
+    words = [f"w{k}".encode() for k in range(70_000)]
+    v = scoring.Vocabulary(pa.table({"word": pa.array(words, pa.binary()), "n": [70_010 - k for k in range(70_000)]}), coded, 3_000_000_000, 100)
+    assert (scoring.Tokens([b"w0 w45000 w64999"], v).symbol[:3] > scoring.END).all()
+    _, _, contexts = scoring.spelling([b"abcdex", b"zbcdex", b"zzcdex", b"zzzdex", b"zzzzex"])
+    assert [len(set(c[5::7, 0].tolist())) for c in contexts] == [1, 2, 3, 4, 5]
+
+
 def test_code_is_complete():
     lengths = scoring.code_lengths([5, 1, 1, 20, 7, 7, 3])
     assert sum(2.0**-lengths) == 1
