@@ -275,6 +275,27 @@ def test_contexts_are_counted_apart_whatever_the_corpus(spark):
         assert seen == expected
 
 
+def test_short_texts_and_spelling_are_refined():
+    """With the repository's own stride: a text of a few words, and its spelled words, move their weights at once."""
+    model = small_model()
+    tokens = scoring.Tokens([b"a b a cc b a a b", b"zq zq zq a zq", b""], model.vocabulary)
+    assert scoring.STRIDE <= 4
+    fixed = [model.scores(tokens, 0, 3, 0.0), model.spell_scores(tokens, 0.0)]
+    moved = [model.scores(tokens, 0, 3), model.spell_scores(tokens)]
+    assert (fixed[0] != moved[0]).tolist() == [True, True, False]
+    assert (fixed[1] != moved[1]).tolist() == [False, True, False]
+    own, total = np.zeros(scoring.SPELL_ORDERS), 0.0
+    for _ in range(4):
+        _, bit, gate, inputs = model.spell_inputs([b"zq"])
+        step = np.zeros_like(own)
+        for b, g, row in zip(bit, gate, inputs.T):
+            p = 1 / (1 + math.exp(-float(((model.spell.weights[g] + own) * row).sum())))
+            total += math.log10(p if b else 1 - p)
+            step += (b - p) * row
+        own += scoring.SPELL_RATE * step / len(bit)
+    assert math.isclose(total, moved[1][1], rel_tol=1e-4)
+
+
 def test_words_up_to_rank_65000_are_coded_and_five_letters_are_contexts():
     coded = inspect.signature(scoring.score).parameters["coded"].default
     words = [f"w{k}".encode() for k in range(70_000)]
