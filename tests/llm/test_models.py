@@ -296,6 +296,27 @@ def test_short_texts_and_spelling_are_refined():
     assert math.isclose(total, moved[1][1], rel_tol=1e-4)
 
 
+def test_mixers_are_fitted_on_long_texts(spark):
+    """Runs of texts of any length, each bit with the contexts of the whole text."""
+    random.seed(3)
+    lexicon = [f"word{k}" for k in range(60)]
+    rows = [(k, " ".join(random.choice(lexicon) for _ in range(9_000))) for k in range(4)]
+    counts = Counter(w for _, t in rows for w in t.encode().split())
+    v = scoring.Vocabulary(pa.table({"word": pa.array(list(counts), pa.binary()), "n": list(counts.values())}), 50, 36_004, 4)
+    frame = spark.createDataFrame([(7 + 5 * k, t) for k, t in rows], "h bigint, text string")
+    shared = spark.sparkContext.broadcast(v)
+    runs = scoring.sampled_runs(frame, 4, 300, scoring.WORD_ORDERS, scoring.text_runs(shared))
+    assert [len(symbol) for symbol, _ in runs] == [scoring.RUN] * 4
+    for (k, text), (symbol, contexts) in zip(rows, runs):
+        tokens, first = scoring.Tokens([text.encode()], v), (7 + 5 * k) % (9_001 - scoring.RUN + 1)
+        assert (tokens.symbol[first : first + scoring.RUN] == symbol).all()
+        assert all((a[first : first + scoring.RUN] == b).all() for a, b in zip(tokens.contexts, contexts))
+    long = spark.createDataFrame([(3, bytearray(b"q" * 5_000))], "h bigint, text binary")
+    ((letters, _),) = scoring.sampled_runs(long, 1, 20, scoring.SPELL_ORDERS, scoring.letter_runs(shared))
+    assert len(letters) == scoring.LETTERS
+    assert scoring.Model(v, 1, 1, 1).words.weights[:, 1:3].all()
+
+
 def test_words_up_to_rank_65000_are_coded_and_five_letters_are_contexts():
     coded = inspect.signature(scoring.score).parameters["coded"].default
     words = [f"w{k}".encode() for k in range(70_000)]
