@@ -165,6 +165,22 @@ def test_nearest_recall(spark):
     assert hits / 800 >= 0.9
 
 
+@pytest.mark.parametrize("spread", [0.01, 0.001])
+def test_nearest_among_thousands_of_near_copies(spark, spread):
+    """The codes cannot tell these vectors apart; the original vectors can."""
+    rng = np.random.default_rng(4)
+    centre = rng.normal(size=64)
+    vectors = (centre / np.linalg.norm(centre) + rng.normal(size=(3000, 64)) * spread / 8).astype(np.float32)
+    frame = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(vectors)], "vec_id bigint, embedding array<float>")
+    found = defaultdict(list)
+    for r in neighbours.nearest(frame, F.col("vec_id") % 300 == 0).orderBy("query_id", "rank").collect():
+        found[r.query_id].append(r.vec_id)
+    for q in range(0, 3000, 300):
+        gaps = ((vectors.astype(float) - vectors[q]) ** 2).sum(1)
+        gaps[q] = np.inf
+        assert found[q] == np.argsort(gaps, kind="stable")[:10].tolist()
+
+
 def test_hadamard_is_orthogonal():
     x = np.random.default_rng(2).normal(size=(5, 16))
     assert np.allclose(neighbours.hadamard(neighbours.hadamard(x)), 16 * x)

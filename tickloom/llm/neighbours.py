@@ -97,15 +97,18 @@ def valid(column: str) -> Column:
 
 
 def coded(x: np.ndarray) -> list[bytes]:
-    """A byte for each component, behind the step that one unit stands for."""
+    """A byte for each component, behind the step that one unit stands for and the distance of the vector to its code."""
     step = (np.abs(x).max(1, initial=0) / 127).astype("<f8")
     units = np.rint(x / step[:, None]).astype(np.int8)
-    return [a.tobytes() + b.tobytes() for a, b in zip(step, units)]
+    off = np.sqrt(((x - units * step[:, None]) ** 2).sum(1)).astype("<f8")
+    return [a.tobytes() + b.tobytes() + c.tobytes() for a, b, c in zip(step, off, units)]
 
 
-def decoded(column: pa.Array) -> np.ndarray:
+def decoded(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The vectors that the codes stand for, and how far off these are."""
     raw = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
-    return raw[:, 8:].view(np.int8) * raw[:, :8].copy().view("<f8")
+    head = raw[:, :16].copy().view("<f8")
+    return raw[:, 16:].view(np.int8) * head[:, :1], head[:, 1]
 
 
 def nearest(
@@ -116,7 +119,6 @@ def nearest(
     probe_rate: float = 0.6,
     probe_power: float = 0.45,
     exact_rows: int = 5000,
-    reranked: int = 100,
     id_column: str = "vec_id",
     vector: str = "embedding",
 ) -> DataFrame:
@@ -126,7 +128,8 @@ def nearest(
     tables of some five rows a bucket, of which a query probes ``probe_rate`` * rows ** ``probe_power`` each, so
     its candidates grow more slowly than the rows; up to ``exact_rows`` rows share one bucket, which
     makes the search exact. Index and probes carry a byte for each
-    component; the ``reranked`` nearest by these codes are compared on the original vectors. Of equal
+    component and the distance between vector and code, which bounds the true distance of a pair from both
+    sides; all pairs that may be among the ``k`` nearest by these bounds are compared on the original vectors. Of equal
     vectors only the k + 1 smallest ids can be among the nearest, so the others are left out before
     hashing: a vector may be as frequent as it likes. Ties go to the smaller id. Vectors that are null,
     empty, zero, hold null or non-finite components, or have another length than most of the table take
@@ -162,12 +165,16 @@ def nearest(
     def roughly(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                gap = decoded(batch.column("query_id_code")) - decoded(batch.column("vec_id_code"))
-                yield pa.RecordBatch.from_arrays([batch.column("query_id"), batch.column("vec_id"), pa.array((gap * gap).sum(1))], names=["query_id", "vec_id", "rough"])
-
-    rough = met.select("query_id", "vec_id", "query_id_code", "vec_id_code").mapInArrow(roughly, "query_id bigint, vec_id bigint, rough double")
-    near = Window.partitionBy("query_id").orderBy("rough", "vec_id")
-    pairs = rough.groupBy("query_id", "vec_id").agg(F.min("rough").alias("rough")).withColumn("n", F.row_number().over(near)).where(F.col("n") <= reranked)
+                (a, off_a), (b, off_b) = decoded(batch.column("query_id_code")), decoded(batch.column("vec_id_code"))
+                gap = np.sqrt(((a - b) ** 2).sum(1))
+                off = (off_a + off_b) * (1 + 1e-9) + 1e-12 * (np.abs(a).sum(1) + np.abs(b).sum(1))  # rounding included
+                columns = [batch.column("query_id"), batch.column("vec_id"), pa.array(gap - off), pa.array(gap + off)]
+                yield pa.RecordBatch.from_arrays(columns, names=["query_id", "vec_id", "least", "most"])
+
+    rough = met.select("query_id", "vec_id", "query_id_code", "vec_id_code").mapInArrow(roughly, "query_id bigint, vec_id bigint, least double, most double")
+    near = Window.partitionBy("query_id").orderBy("most").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    limit = F.nth_value("most", k).over(near)  # null where fewer were found
+    pairs = rough.groupBy("query_id", "vec_id").agg(F.min("least").alias("least"), F.min("most").alias("most")).withColumn("limit", limit).where(F.col("limit").isNull() | (F.col("least") <= F.col("limit")))
     others = rows.select("vec_id", F.col("v").alias("b"))
     both = pairs.select("query_id", "vec_id").join(others, "vec_id").join(rows.where("q").select(F.col("vec_id").alias("query_id"), F.col("v").alias("a")), "query_id")
 
