@@ -126,6 +126,24 @@ def test_concatenated_json(spark):
     assert rows(out.fillna(0.0), "k", "agg_trade_id", "price") == [("a", 1, 2.5), ("a", 2, 0.0), ("a", 3, 0.0)]
 
 
+def nested(depth):
+    return '{"agg_trade_id":1,"price":2.5,"x":' + '{"agg_trade_id":7,"x":' * depth + '"{{}{\\"}"' + "}" * (depth + 1)
+
+
+def test_concatenated_json_is_split_at_the_outermost_objects_or_fails(spark):
+    fields = type(TAPE)([f for f in TAPE.fields if f.name in ("agg_trade_id", "price")])
+
+    def split(text):
+        df = spark.createDataFrame([("a", text)], "k string, doc string")
+        return rows(footprint.explode_concatenated_json(df, "doc", fields), "agg_trade_id", "price")
+
+    assert split(nested(8) * 2 + ',{"agg_trade_id":1,"price":2.5}') == [(1, 2.5)] * 3
+    assert split('{"agg_trade_id":1,"price":2.5}{"agg_trade_id":') == [(1, 2.5)]
+    for depth in (9, 30):
+        with pytest.raises(Exception, match="nested more than 8 levels"):
+            split('{"agg_trade_id":1,"price":2.5}' + nested(depth))
+
+
 def test_analysis_frame_names(spark):
     frame = prepare.analysis_frame(footprint.bars_with_footprint(tape(spark, random_rows(20)), "1h"))
     assert frame.columns == ["symbol", "timeframe", "date", "open", "close", "high", "low", "volume", "total_bid_qty", "total_ask_qty", "footprint"]

@@ -95,8 +95,12 @@ NESTING = 8
 def concatenated_json_array(text: str | Column, schema: T.StructType) -> Column:
     """Parse ``{..}{..}`` or ``{..},{..}`` text into an array of structs, one for each outermost object.
 
-    Objects may hold others, up to ``NESTING`` levels, and values of any length. Braces inside quoted
-    values are left alone; text without objects gives an empty array.
+    Objects may hold others, up to ``NESTING`` levels, and values of any length; a deeper one fails the job. Braces
+    inside quoted values are left alone; text without objects gives an empty array.
     """
-    objects = F.regexp_extract_all(col(text), F.lit(f"({_object_pattern(NESTING)})"), F.lit(1))
+    pattern = _object_pattern(NESTING)
+    objects = F.regexp_extract_all(col(text), F.lit(f"({pattern})"), F.lit(1))
+    # What is left holds an object only where one was taken out of it, as it was too deep to match itself.
+    deeper = F.regexp_replace(col(text), F.lit(pattern), F.lit(" ")).rlike(pattern)
+    objects = F.when(deeper, F.raise_error(F.lit(f"JSON objects nested more than {NESTING} levels deep")).cast("array<string>")).otherwise(objects)
     return F.transform(F.coalesce(objects, F.array().cast("array<string>")), lambda o: F.from_json(o, schema))
