@@ -113,6 +113,14 @@ def test_toxicity_without_examples(spark):
     assert toxicity.toxicity(documents(spark, []), none).count() == 0
 
 
+def test_toxicity_without_features_rejects_nothing(spark):
+    """Few labels, half of them toxic: nothing tells the texts apart, so the prior must not reject all."""
+    docs = documents(spark, [(k, f"text number {k}") for k in range(40)])
+    labels = spark.createDataFrame([(k, 1, k % 2) for k in range(20)], "doc_id bigint, quality int, toxic int")
+    assert {r.predicted for r in toxicity.toxicity(docs, labels).collect()} == {0}
+    assert toxicity.clean_documents(docs, labels).count() == 40
+
+
 def test_risk_finds_the_hidden_positives():
     """Unlabelled rows with their prior's share of positives; many more features than rows tell apart, so an unclipped risk would overfit."""
     rng = np.random.default_rng(0)

@@ -102,7 +102,8 @@ def fit(
     of about ``unlabelled`` texts of the corpus, whatever their label. Both are chosen by a hash of
     the id; these two bounds are the only ones. The class prior is the toxic share of the labelled
     training rows. Features are the ``most`` words and word beginnings whose shares in the two samples
-    lie ``strength`` standard errors apart and that ``least`` confirmed texts hold. Without confirmed texts every score is 0. A null label or a
+    lie ``strength`` standard errors apart and that ``least`` confirmed texts hold. Without confirmed
+    texts, or where no feature is found, every score is 0. A null label or a
     label of a row that is not in ``docs`` says nothing; of repeated labels the larger counts.
     """
     spark = docs.sparkSession
@@ -123,7 +124,7 @@ def fit(
     sampled = staged(sampled)
     totals = sampled.agg(F.sum(F.col("p").cast("long")).alias("p"), F.sum(F.col("u").cast("long")).alias("u")).first()
     if not totals.p or not totals.u:
-        return Model({}, np.zeros(0), float(np.log(prior / (1 - prior))))
+        return Model({}, np.zeros(0), -30.0)
 
     def counted(batches):
         p, u = Counter(), Counter()
@@ -153,7 +154,7 @@ def fit(
     chosen = counts.where(F.col("p") >= least).withColumn("z", z).where(F.abs("z") >= strength)
     columns = {r.f: k for k, r in enumerate(chosen.orderBy(F.desc(F.abs("z")), "f").limit(most).collect())}
     if not columns:
-        return Model({}, np.zeros(0), float(np.log(prior / (1 - prior))))
+        return Model({}, np.zeros(0), -30.0)
 
     def rows(batches):
         features = Features(columns)
