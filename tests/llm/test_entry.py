@@ -10,7 +10,7 @@ from tickloom.llm.queries import QUERIES
 
 def test_every_operator_has_a_query():
     names = entry.queries()
-    assert {int(m[1]) for n in names if (m := re.match(r"op(\d+)_", n))} == set(range(1, 11)) and "pipeline" in names
+    assert {int(m[1]) for n in names if (m := re.match(r"op(\d+)_", n))} == set(range(1, 14)) and "pipeline" in names
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

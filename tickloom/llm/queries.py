@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import exact, mixing, near, neighbours, packing, scoring, substrings, token_counts, token_files, toxicity
+from tickloom.llm import exact, filter_audit, mixing, near, neighbours, packing, scoring, substrings, token_counts, token_files, toxicity
 from tickloom.llm.common import documents, shared_folder
 from tickloom.llm.tokens import public_vocabulary
 
@@ -75,3 +75,11 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.score(documents(spark, sf_dir))
+
+
+@query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+ORACLES["op12_filter_audit"] = filter_audit.ORACLE
