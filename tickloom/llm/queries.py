@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import exact, filter_audit, least_squares_packing, mixing, near, neighbours, packing, scoring, substrings, token_counts, token_files, toxicity
+from tickloom.llm import ball_tree, exact, filter_audit, least_squares_packing, mixing, near, neighbours, packing, scoring, substrings, token_counts, token_files, toxicity
 from tickloom.llm.common import documents, shared_folder
 from tickloom.llm.tokens import public_vocabulary
 
@@ -89,3 +89,11 @@ ORACLES["op12_filter_audit"] = filter_audit.ORACLE
 def op11_least_squares_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = least_squares_packing.pack_by_least_squares(documents(spark, sf_dir), public_vocabulary("byte_bpe_50k.json"))
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op13_ball_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_tree.ranked(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+ORACLES["op13_ball_tree_search"] = ball_tree.ORACLE
