@@ -57,7 +57,7 @@ def test_scan_reads_only_needed_columns(spark):
 
 
 def test_no_python_in_any_query_but_the_stateful_indicators(plans):
-    stateful = {"psar", "mama", "mcgd_10", "hwma", "ssf_10", "indicator_catalogue"}
+    stateful = {"psar", "mama", "mcgd_10", "indicator_catalogue"}
     for name, text in plans.items():
         assert name in stateful or ("Python" not in text and "InPandas" not in text), name
 

@@ -192,7 +192,7 @@ def test_flat_window_gives_null(spark):
 
 
 def test_registry_reports_failures_and_rejects_duplicates():
-    built, failed = build_all([{"name": "ema", "params": {"length": 20}}, {"name": "nope"}, {"name": "sma", "params": {"bad": 1}}, {"name": "ema", "params": {"length": 1}}])
+    built, failed = build_all([{"name": "ema", "params": {"length": 20}}, {"name": "nope"}, {"name": "sma", "params": {"bad": 1}}, {"name": "ema", "params": {"length": 0}}])
     assert len(built) == 1 and set(failed) == {"nope", "sma", "ema"}
     with pytest.raises(ValueError, match="MACD_12_26_9"):
         check_unique([c for x in (build("macd"), build("macd")) for c in x.outputs])
@@ -229,6 +229,7 @@ def test_unknown_timeframe_of_bars_fails(spark):
 
 
 def test_mcginley_restarts_where_its_denominator_vanishes():
-    fold = build("mcgd", {"length": 10}).start()
-    got = [fold(0.0, 0.0, x)[0] for x in (1e9, 1e-80, 5.0, 5.0)]
+    mcgd = build("mcgd", {"length": 10})
+    state = mcgd.start()
+    got = [mcgd.step(state, 0.0, 0.0, x)[0] for x in (1e9, 1e-80, 5.0, 5.0)]
     assert got == [1e9, None, 5.0, 5.0]

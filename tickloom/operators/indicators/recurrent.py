@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 
 from pyspark.sql import Column, functions as F
@@ -21,6 +22,7 @@ def smooth(x: str, n: int, alpha: float, rank: str, gaps: bool = False) -> Recur
     return Recurrence(
         a=f"CASE WHEN {rank} > {n}{known} THEN {1.0 - alpha!r}D ELSE 1D END",
         b=f"CASE WHEN {rank} > {n} THEN {alpha!r}D * {x} WHEN {rank} > 0 THEN {x} / {n} END",
+        least=1.0 - alpha,
     )
 
 
@@ -30,6 +32,7 @@ def smooth_of(weights: Mapping[str, float], n: int, alpha: float, rank: str) ->
     return Recurrence(
         a=f"CASE WHEN {rank} > {n} THEN {1.0 - alpha!r}D ELSE 1D END",
         of={name: share if w == 1.0 else f"({share}) * {w!r}D" for name, w in weights.items()},
+        least=1.0 - alpha,
     )
 
 
@@ -58,17 +61,17 @@ def _single(name: str, n: int, alpha: float, x: str) -> Indicator:
 
 
 def ema(length: int = 20, column: str = "close") -> Indicator:
-    n = at_least(length, 2)
+    n = at_least(length, 1)
     return _single(f"EMA_{n}", n, ema_alpha(n), source_sql(column))
 
 
 def rma(length: int = 14, column: str = "close") -> Indicator:
-    n = at_least(length, 2)
+    n = at_least(length, 1)
     return _single(f"RMA_{n}", n, 1.0 / n, source_sql(column))
 
 
 def macd(fast: int = 12, slow: int = 26, signal: int = 9, column: str = "close") -> Indicator:
-    f, s, g = at_least(fast, 2), at_least(slow, 2), at_least(signal, 2)
+    f, s, g = at_least(fast, 1), at_least(slow, 1), at_least(signal, 1)
     if f >= s:
         raise ValueError("fast must be below slow")
     tag, x = f"{f}_{s}_{g}", source_sql(column)
@@ -99,7 +102,7 @@ def macd(fast: int = 12, slow: int = 26, signal: int = 9, column: str = "close")
 
 
 def rsi(length: int = 14, column: str = "close") -> Indicator:
-    n, name, x = at_least(length, 2), f"RSI_{int(length)}", source_sql(column)
+    n, name, x = at_least(length, 1), f"RSI_{int(length)}", source_sql(column)
     change, qg, ql = (f"_{name}_{p}" for p in ("change", "qg", "ql"))
     return Indicator(
         (name,),
@@ -124,7 +127,7 @@ def true_range(b: Blocks) -> Column:
 
 
 def atr(length: int = 14) -> Indicator:
-    n, name = at_least(length, 2), f"ATRr_{int(length)}"
+    n, name = at_least(length, 1), f"ATRr_{int(length)}"
     tr, y = f"_{name}_tr", f"_{name}_y"
     return Indicator(
         (name,),
@@ -138,7 +141,7 @@ def atr(length: int = 14) -> Indicator:
 
 def adx(length: int = 14) -> Indicator:
     """Wilder's directional movement: ADX, DI+ and DI-."""
-    n = at_least(length, 2)
+    n = at_least(length, 1)
     out, plus, minus = f"ADX_{n}", f"DMP_{n}", f"DMN_{n}"
     tr, up, down, first, qt, qu, qd, dx, y = (
         f"_{out}_{p}" for p in ("tr", "up", "down", "first", "qt", "qu", "qd", "dx", "y")
@@ -205,23 +208,23 @@ def _combined(name: str, n: int, depth: int, column: str, formula: str) -> Indic
 
 
 def dema(length: int = 10, column: str = "close") -> Indicator:
-    n = at_least(length, 2)
+    n = at_least(length, 1)
     return _combined(f"DEMA_{n}", n, 2, column, "2 * e1 - e2")
 
 
 def tema(length: int = 10, column: str = "close") -> Indicator:
-    n = at_least(length, 2)
+    n = at_least(length, 1)
     return _combined(f"TEMA_{n}", n, 3, column, "3 * e1 - 3 * e2 + e3")
 
 
 def zema(length: int = 10, column: str = "close") -> Indicator:
     """Zero-lag EMA: the EMA plus its distance from its own EMA."""
-    n = at_least(length, 2)
+    n = at_least(length, 1)
     return _combined(f"ZEMA_{n}", n, 2, column, "e1 + (e1 - e2)")
 
 
 def trix(length: int = 15, signal: int = 9, column: str = "close") -> Indicator:
-    n, g = at_least(length, 2), at_least(signal, 1)
+    n, g = at_least(length, 1), at_least(signal, 1)
     name, line_signal = f"TRIX_{n}_{g}", f"TRIXs_{n}_{g}"
     levels, chained = _chain(name, n, 3, source_sql(column))
     smooth3 = f"_{name}_smooth"
@@ -242,7 +245,7 @@ def trix(length: int = 15, signal: int = 9, column: str = "close") -> Indicator:
 
 def vidya(length: int = 14, column: str = "close") -> Indicator:
     """EMA whose factor is scaled by |CMO|; starts at the price of the first full CMO window."""
-    n = at_least(length, 2)
+    n = at_least(length, 1)
     while n > 80:
         n = int(n * 0.33)
     name, price, alpha = f"VIDYA_{n}", source_sql(column), ema_alpha(n)
@@ -263,6 +266,7 @@ def vidya(length: int = 14, column: str = "close") -> Indicator:
                     y: Recurrence(
                         a=f"CASE WHEN i > {n} THEN 1 - {alpha!r}D * {k} END",
                         b=f"CASE WHEN i > {n} THEN {alpha!r}D * {k} * {price} WHEN i = {n} THEN {price} END",
+                        least=1.0 - alpha,
                     )
                 },
             ),
@@ -273,12 +277,8 @@ def vidya(length: int = 14, column: str = "close") -> Indicator:
 
 
 def kama(length: int = 10, fast: int = 2, slow: int = 30, column: str = "close") -> Indicator:
-    """Kaufman's adaptive average, seeded with the mean of the first n prices.
-
-    ``fast`` is 2 at least: with 1 the average could forget everything in one step, which a block's
-    running product cannot hold.
-    """
-    n, fast = at_least(length, 2), at_least(fast, 2)
+    """Kaufman's adaptive average, seeded with the mean of the first n prices."""
+    n, fast, slow = at_least(length, 1), at_least(fast, 1, "fast"), at_least(slow, 1, "slow")
     name, price, quick, lazy = f"KAMA_{n}_{fast}_{slow}", source_sql(column), ema_alpha(fast), ema_alpha(slow)
     x = F.expr(price)
     step, rate, y = f"_{name}_step", f"_{name}_rate", f"_{name}_y"
@@ -297,6 +297,7 @@ def kama(length: int = 10, fast: int = 2, slow: int = 30, column: str = "close")
                     y: Recurrence(
                         a=f"CASE WHEN i >= {n} THEN 1 - {rate} END",
                         b=f"CASE WHEN i >= {n} THEN {rate} * {price} ELSE {price} / {n} END",
+                        least=1.0 - max(quick, lazy) ** 2,
                     )
                 },
             ),
@@ -306,6 +307,40 @@ def kama(length: int = 10, fast: int = 2, slow: int = 30, column: str = "close")
     )
 
 
+def hwma(na: float = 0.2, nb: float = 0.1, nc: float = 0.1, column: str = "close") -> Indicator:
+    """Holt-Winters average: level, trend and acceleration as one vector; starts at the first price, without trend."""
+    name, x = f"HWMA_{na}_{nb}_{nc}", source_sql(column)
+    level, trend, bend = (f"_{name}_{p}" for p in ("level", "trend", "bend"))
+    running = {
+        level: Recurrence(
+            f"CASE WHEN i > 0 THEN {na!r}D * {x} ELSE {x} END", a=f"{1 - na!r}D", prev={trend: f"{1 - na!r}D", bend: f"{(1 - na) / 2!r}D"}
+        ),
+        trend: Recurrence(
+            a=f"{1 - nb!r}D", of={level: f"CASE WHEN i > 0 THEN {nb!r}D ELSE 0D END"}, prev={level: f"{-nb!r}D", bend: f"{1 - nb!r}D"}
+        ),
+        bend: Recurrence(a=f"{1 - nc!r}D", of={trend: f"{nc!r}D"}, prev={trend: f"{-nc!r}D"}),
+    }
+    return Indicator((name,), (Phase((), lambda: running), Phase((lambda b: {name: F.expr(f"`{level}` + `{trend}` + `{bend}` / 2")},))))
+
+
+def ssf(length: int = 10, column: str = "close") -> Indicator:
+    """Two-pole super smoother, a vector of its last two values; the first two are the prices."""
+    n, x = at_least(length, 1), source_sql(column)
+    a = math.exp(-math.sqrt(2) * math.pi / n)
+    b = 2 * a * math.cos(math.sqrt(2) * math.pi / n)
+    name = f"SSF_{n}"
+    y, before = f"_{name}_y", f"_{name}_before"
+    running = {
+        y: Recurrence(
+            f"CASE WHEN i > 1 THEN {1 - b + a * a!r}D * {x} ELSE {x} END",
+            a=f"CASE WHEN i > 1 THEN {b!r}D ELSE 0D END",
+            prev={before: f"CASE WHEN i > 1 THEN {-a * a!r}D ELSE 0D END"},
+        ),
+        before: Recurrence(a="0D", prev={y: "1D"}),
+    }
+    return Indicator((name,), (Phase((), lambda: running), Phase((lambda b: {name: F.col(y)},))))
+
+
 def obv() -> Indicator:
     """Running volume, signed by the change of the close."""
     flow, y = "_OBV_flow", "_OBV_y"

@@ -21,6 +21,8 @@ def _bollinger(length: int = 20, nbdevup: float = 2, nbdevdn: float | None = Non
     return windowed.bbands(length, width)
 
 
+Cut = Callable[[DataFrame], DataFrame]
+
 BUILDERS: dict[str, Callable[..., Indicator | Stateful]] = {
     "sma": windowed.sma,
     "wma": windowed.wma,
@@ -56,8 +58,8 @@ BUILDERS: dict[str, Callable[..., Indicator | Stateful]] = {
     "vidya": recurrent.vidya,
     "kama": recurrent.kama,
     "obv": recurrent.obv,
-    "hwma": stateful.hwma,
-    "ssf": stateful.ssf,
+    "hwma": recurrent.hwma,
+    "ssf": recurrent.ssf,
     "sar": stateful.psar,
     "psar": stateful.psar,
     "mcgd": stateful.mcgd,
@@ -111,20 +113,78 @@ def check_unique(columns: Sequence[str]) -> None:
         raise ValueError(f"duplicate column names: {twice}")
 
 
-def _in_passes(indexed: DataFrame, indicators: Sequence[Indicator], keys: Sequence[str], size: int) -> DataFrame:
-    """Add block-wise indicators: equal phases run in the same projections and the same scan."""
-    if not indicators:
-        return indexed
-    blocks = in_blocks(indexed, max(x.pre for x in indicators), max(x.post for x in indicators), keys, size)
+def in_passes(indicators: Sequence[Indicator | Stateful]) -> tuple[list[list[Indicator]], list[Stateful]]:
+    """Block-wise indicators by the scans they share, and the sequential ones.
+
+    A second scan repeats the look-back windows of the first, so chained scans get a pass without the others.
+    """
+    plain = [x for x in indicators if isinstance(x, Indicator)]
+    chained = [x for x in plain if sum(p.running is not None for p in x.phases) > 1]
+    single = [x for x in plain if x not in chained]
+    return [x for x in (single, chained) if x], [x for x in indicators if isinstance(x, Stateful)]
+
+
+def _one_pass(
+    indexed: DataFrame, indicators: Sequence[Indicator], keys: Sequence[str], size: int, origin: str, carried: DataFrame | None, cut: Cut | None
+) -> tuple[DataFrame, DataFrame | None]:
+    """Add block-wise indicators: equal phases run in the same projections and the same scan.
+
+    With ``cut`` also (keys, carries): the running values that a later run of these indicators starts from.
+    """
+    pre, post = max(x.pre for x in indicators), max(x.post for x in indicators)
+    blocks = in_blocks(indexed, pre, post, keys, size, origin=origin, carried=carried)
+    names: list[str] = []
     for step in range(max(len(x.phases) for x in indicators)):
         phases = [x.phases[step] if step < len(x.phases) else Phase() for x in indicators]
         for layer in range(max(len(p.layers) for p in phases)):
             blocks = blocks.with_columns(
                 {n: c for p in phases if layer < len(p.layers) for n, c in p.layers[layer](blocks).items()}
             )
-        blocks = blocks.scan({n: r for p in phases if p.running for n, r in p.running().items()})
-    done = [name for x in indicators for name in x.outputs]
-    return blocks.rows().select(*[ref(c) for c in (*indexed.columns, *done)])
+        running = {n: r for p in phases if p.running for n, r in p.running().items()}
+        blocks, names = blocks.scan(running), [*names, *running]
+    done = [*indexed.columns, *[name for x in indicators for name in x.outputs]]
+    if cut is None:
+        return blocks.rows().select(*[ref(c) for c in done]), None
+    # The next run's first block starts ``post`` rows before its first new bar.
+    before_next = F.col("i") == F.col("n_bars") - (post + 1)
+    wide = cut(blocks.df.withColumn("_own", blocks.own()).where(F.col("_own") | before_next))
+    pairs = [F.struct(F.lit(n), ref(n).cast("double")) for n in names]
+    held = F.map_from_entries(F.array(*pairs)) if names else F.create_map().cast("map<string,double>")
+    carries = wide.where(before_next).groupBy(*keys).agg(F.first(held).alias("carries"))
+    return wide.where("_own").select(*[ref(c) for c in done]), carries
+
+
+def compute(
+    indexed: DataFrame,
+    indicators: Sequence[Indicator | Stateful],
+    keys: Sequence[str] = SERIES,
+    size: int = BLOCK,
+    origin: str = "0",
+    carried: DataFrame | None = None,
+    folds: tuple[str, str] | None = None,
+    cut: Cut | None = None,
+) -> tuple[DataFrame, list[DataFrame]]:
+    """Outputs of all indicators for the indexed bars from row ``origin`` on, and with ``cut`` the carries of each pass.
+
+    ``carried`` holds stored carries, ``folds`` the columns of stored and of new states of the sequential
+    indicators. ``cut`` is applied to what both results are made from (a staged table, say).
+    """
+    passes, sequential = in_passes(indicators)
+    result, carries = indexed.where(f"i >= {origin}") if origin != "0" else indexed, []
+    fresh = result
+    for k, some in enumerate(passes):
+        frame, held = _one_pass(indexed, some, keys, size, origin, carried, cut)
+        result = frame if k == 0 else result.join(frame.select(*keys, "i", *[ref(n) for x in some for n in x.outputs]), [*keys, "i"])
+        carries += [] if held is None else [held]
+    stored, left = folds or (None, None)
+    if sequential and passes:
+        # Only what they read and give goes through Python, not the outputs of the others.
+        folded = add_stateful(fresh, sequential, keys, stored, left)
+        given = [*[n for x in sequential for n in x.outputs], *([left] if left else [])]
+        result = result.join(folded.select(*keys, "i", *[ref(n) for n in given]), [*keys, "i"])
+    else:
+        result = add_stateful(result, sequential, keys, stored, left)
+    return result, carries
 
 
 def add_indicators(
@@ -140,30 +200,22 @@ def add_indicators(
     borders and for the rows. Bars without a price have no indicators and do not count as rows of a
     look-back.
     """
-    bars = bars.withColumnRenamed("qty", "volume") if "volume" not in bars.columns else bars
+    bars = with_volume(bars)
     outputs = [name for x in indicators for name in x.outputs]
     check_unique([*bars.columns, *outputs])
-    priced = F.col("open").isNotNull() & F.col("close").isNotNull()
-    indexed = bars if "n_bars" in bars.columns else index_bars(bars.where(priced), keys)
-    plain = [x for x in indicators if isinstance(x, Indicator)]
-    chained = [x for x in plain if sum(p.running is not None for p in x.phases) > 1]
-    single = [x for x in plain if x not in chained]
-    result = _in_passes(indexed, single or chained, keys, size)
-    if single and chained:
-        # A second scan repeats the look-back windows of the first, so it gets a frame without the others'.
-        narrow = _in_passes(indexed, chained, keys, size).select(*keys, "i", *[ref(n) for x in chained for n in x.outputs])
-        result = result.join(narrow, [*keys, "i"])
-    sequential = [x for x in indicators if isinstance(x, Stateful)]
-    if sequential and plain:
-        # Only what they read and give goes through Python, not the outputs of the others.
-        folded = add_stateful(indexed, sequential, keys).select(*keys, "i", *[ref(n) for x in sequential for n in x.outputs])
-        table = result.join(folded, [*keys, "i"])
-    else:
-        table = add_stateful(result, sequential, keys)
+    indexed = bars if "n_bars" in bars.columns else index_bars(bars.where(PRICED), keys)
+    table, _ = compute(indexed, indicators, keys, size)
     out = table.select(*[ref(c) for c in bars.columns if c != "n_bars"], *[ref(c) for c in outputs])
     if "n_bars" in bars.columns:
         return out
-    return out.unionByName(bars.where(~priced), allowMissingColumns=True)
+    return out.unionByName(bars.where(f"NOT ({PRICED})"), allowMissingColumns=True)
+
+
+PRICED = "open IS NOT NULL AND close IS NOT NULL"
+
+
+def with_volume(bars: DataFrame) -> DataFrame:
+    return bars.withColumnRenamed("qty", "volume") if "volume" not in bars.columns else bars
 
 
 def indicator_table(

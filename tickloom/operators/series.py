@@ -18,6 +18,8 @@ from tickloom.schema import TIMEFRAMES
 
 SERIES = ("symbol", "timeframe")
 BLOCK = 512
+#: From this factor on a running product over a block stays a normal double.
+LEAST_FACTOR = 1 / 3
 INDEX_BUCKET = 4096
 
 
@@ -72,17 +74,45 @@ def index_bars(bars: DataFrame, keys: Sequence[str] = SERIES, time: str = "time_
 
 @dataclass(frozen=True)
 class Recurrence:
-    """One running value ``y = a*y_prev + b + sum(w*other)``, all SQL expressions over the row.
+    """One running value ``y = a*y_prev + b + sum(w*other) + sum(u*other_prev)``, all SQL expressions over the row.
 
     ``a`` None means 1; a null ``a`` or ``b`` leaves the value as it is. ``of`` holds the weights of
-    other running values of the same scan, so chained smoothings need one scan. ``keep`` replaces the
-    sum: ``"last"`` carries the last non-null ``b`` forward, ``"least"`` the smallest.
+    other running values of the same scan, so chained smoothings need one scan; ``prev`` those of the
+    others' values on the row before, so that a value may be a vector. ``least`` is what ``a`` never falls
+    below. ``keep`` replaces the sum: ``"last"`` carries the last non-null ``b`` forward, ``"least"`` the smallest.
     """
 
     b: str | None = None
     a: str | None = None
     of: Mapping[str, str] = field(default_factory=dict)
     keep: str | None = None
+    prev: Mapping[str, str] = field(default_factory=dict)
+    least: float = 1.0
+
+    @property
+    def composed(self) -> bool:
+        """Whether a running product of ``a`` over a block cannot serve."""
+        return bool(self.prev) or self.least < LEAST_FACTOR
+
+
+def linked(running: Mapping[str, Recurrence]) -> list[list[str]]:
+    """Running values that refer to each other, directly or by way of others, in the order given."""
+    home = {n: n for n in running}
+
+    def root(n: str) -> str:
+        while home[n] != n:
+            n = home[n]
+        return n
+
+    for n, r in running.items():
+        for other in (*r.of, *r.prev):
+            if other not in running:
+                raise ValueError(f"running value {n!r} refers to an unknown one: {other!r}")
+            home[root(other)] = root(n)
+    sets: dict[str, list[str]] = {}
+    for n in running:
+        sets.setdefault(root(n), []).append(n)
+    return list(sets.values())
 
 
 @dataclass(frozen=True)
@@ -91,7 +121,8 @@ class Blocks:
 
     Values with a look-back of up to ``pre`` rows are right from ``post`` rows before the block on;
     running values start there, and a further look-back of ``post`` rows is right on the block's own
-    rows.
+    rows. Blocks are counted from row ``origin`` of each series, an SQL expression; running values that
+    were ``carried`` up to the start of block 0 come as rows of (keys, carries: map of name to value).
     """
 
     df: DataFrame
@@ -99,6 +130,13 @@ class Blocks:
     pre: int
     post: int
     size: int
+    origin: str = "0"
+    carried: DataFrame | None = None
+
+    @property
+    def start(self) -> str:
+        """First row of a block on which running values are right."""
+        return f"({self.origin} + _block * {self.size} - {self.post})"
 
     def _ordered(self) -> WindowSpec:
         return Window.partitionBy(*self.keys, "_block").orderBy("i")
@@ -122,28 +160,31 @@ class Blocks:
 
         Inside a block a value is affine in the values carried into the block. With ``P`` the running
         product of ``a``, ``y = P*carry + P*sum(b/P)``: two window aggregates, and one more per value
-        it is chained to. The carry of each block is folded from the block borders. ``a`` must stay at
-        or above 1/3 so that ``P`` remains a normal double over a block.
+        it is chained to. Where that product could leave the normal doubles, or values depend on each
+        other's last row, the affine steps of the rows are composed instead (:meth:`_composed`). The carry
+        of each block is folded from the block borders.
         """
         if not running:
             return self
-        start = f"(_block * {self.size} - {self.post})"
+        start = self.start
         order = f"PARTITION BY {', '.join(self.keys)}, _block ORDER BY i"
         ahead = f"({order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
         tag = {name: f"_r{k}" for k, name in enumerate(running)}
+        vectors = [names for names in linked(running) if any(running[n].composed for n in names)]
+        scalar = {n: r for n, r in running.items() if not any(n in names for names in vectors)}
 
         # The rows before the start have served the look-back windows. Equal factors share a product.
-        factors = {a: f"_p{k}" for k, a in enumerate(dict.fromkeys(r.a for r in running.values() if r.a))}
+        factors = {a: f"_p{k}" for k, a in enumerate(dict.fromkeys(r.a for r in scalar.values() if r.a))}
         window = self._ordered().rowsBetween(Window.unboundedPreceding, 0)
         products = {p: F.coalesce(F.product(F.expr(a)).over(window), F.lit(1.0)) for a, p in factors.items()}
         df = self.df.where(f"i >= {start}").withColumns(products)
 
         # parts[name] maps each carried value (or "0" for the constant part) to its expression.
         parts: dict[str, dict[str, str]] = {}
-        while len(parts) < len(running):
-            level = [n for n, r in running.items() if n not in parts and all(o in parts for o in r.of)]
+        while len(parts) < len(scalar):
+            level = [n for n, r in scalar.items() if n not in parts and all(o in parts for o in r.of)]
             if not level:
-                raise ValueError("running values refer to each other in a circle or to an unknown one")
+                raise ValueError("running values refer to each other in a circle")
             sums = []
             for name in level:
                 r, t = running[name], tag[name]
@@ -165,11 +206,18 @@ class Blocks:
                     sums.append(f"coalesce(sum({term}) OVER {ahead}, 0D) AS {column}")
                     parts[name][carried] = f"{p} * {column}" if r.a else column
             df = df.selectExpr("*", *sums)
+        if vectors:
+            df, composed = self._composed(df, running, vectors, tag)
+            parts |= composed
 
         values = {(n, c): f"{tag[n]}_v{c}" for n, ps in parts.items() for c in ps}
         border = df.where(f"i = {start} + {self.size - 1}").selectExpr(
             *self.keys, "_block", *[f"{parts[n][c]} AS {v}" for (n, c), v in values.items()]
         )
+        if self.carried is not None:
+            # A border before block 0 that hands on what was stored, whatever came before it.
+            stored = [f"carries['{n}'] AS {v}" if c == "0" else f"0D AS {v}" for (n, c), v in values.items()]
+            border = border.unionByName(self.carried.selectExpr(*self.keys, "-1L AS _block", *stored))
 
         def carried_on(name: str, part: Callable[[str], str], carry: Callable[[str], str]) -> str:
             own, keep = tag[name], running[name].keep
@@ -188,10 +236,78 @@ class Blocks:
         out = [f"{carried_on(n, parts[n].__getitem__, lambda t: f'{t}_c')} AS `{n}`" for n in running]
         return replace(self, df=df.selectExpr(*kept, *out))
 
+    def _composed(
+        self, df: DataFrame, running: Mapping[str, Recurrence], vectors: Sequence[Sequence[str]], tag: Mapping[str, str]
+    ) -> tuple[DataFrame, dict[str, dict[str, str]]]:
+        """Affine steps ``y = A*y_prev + v`` of whole vectors, composed over the rows of a block up to each row.
+
+        After the pass with shift s a row holds the composition of the 2s steps that end with it, so
+        the passes are as many as the doublings of a block. Nothing is divided: a factor of 0 simply
+        forgets, and no factor is too small. All passes share the one partitioning and order.
+        """
+        at = f"(PARTITION BY {', '.join(self.keys)}, _block ORDER BY i)"
+        parts: dict[str, dict[str, str]] = {}
+        entries: dict[tuple[str, str], str] = {}
+        for names in vectors:
+            ready: list[str] = []
+            while len(ready) < len(names):
+                level = [n for n in names if n not in ready and all(o in ready for o in running[n].of)]
+                if not level:
+                    raise ValueError("running values refer to each other in a circle")
+                made = []
+                for n in level:
+                    r, t = running[n], tag[n]
+                    flows: dict[str, list[str]] = {n: [f"coalesce({r.a}, 1D)" if r.a else "1D"]}
+                    for other, u in r.prev.items():
+                        flows.setdefault(other, []).append(f"({u})")
+                    constant = [f"coalesce({r.b}, 0D)"] if r.b else []
+                    for other, w in r.of.items():
+                        constant.append(f"({w}) * {parts[other]['0']}")
+                        for carried in names:
+                            if tag[carried] in parts[other]:
+                                flows.setdefault(carried, []).append(f"({w}) * {parts[other][tag[carried]]}")
+                    parts[n] = {"0": f"{t}_0"}
+                    made.append(f"double({' + '.join(constant) or '0D'}) AS {t}_0")
+                    for carried, terms in flows.items():
+                        column = entries[n, carried] = parts[n][tag[carried]] = f"{t}_of{tag[carried]}"
+                        made.append(f"double({' + '.join(terms)}) AS {column}")
+                df = df.selectExpr("*", *made)
+                ready += level
+            reach = True
+            while reach:  # entries that come to be by composing
+                reach = [(n, c) for n in names for k in names for c in names if (n, k) in entries and (k, c) in entries and (n, c) not in entries]
+                for n, c in dict.fromkeys(reach):
+                    entries[n, c] = parts[n][tag[c]] = f"{tag[n]}_of{tag[c]}"
+                    df = df.withColumn(entries[n, c], F.lit(0.0))
+        columns = [c for p in parts.values() for c in p.values()]
+        others = [f"`{c}`" for c in df.columns if c not in columns]
+        shift = 1
+        while shift < self.size + self.post:
+            df = df.selectExpr("*", *[f"lag({c}, {shift}) OVER {at} AS {c}_before" for c in columns])
+            step = []
+            for names in vectors:
+                for n in names:
+                    for c in ("0", *names):
+                        own = parts[n]["0"] if c == "0" else entries.get((n, c))
+                        if own is None:
+                            continue
+                        terms = [own] if c == "0" else []
+                        for k in names:
+                            before = parts[k]["0"] if c == "0" else entries.get((k, c))
+                            if (n, k) in entries and before:
+                                terms.append(f"{entries[n, k]} * {before}_before")
+                        step.append(f"CASE WHEN i >= {self.start} + {shift} AND i >= {shift} THEN {' + '.join(terms)} ELSE {own} END AS {own}")
+            df = df.selectExpr(*others, *step)
+            shift *= 2
+        return df, parts
+
+    def own(self) -> Column:
+        """Whether a row lies in the block itself, not in its halo."""
+        return F.expr(f"i >= {self.origin} + _block * {self.size}")
+
     def rows(self) -> DataFrame:
         """The rows of the series, each once, without the halo."""
-        own = F.col("i") >= F.col("_block") * self.size
-        return self.df.where(own).drop("_block")
+        return self.df.where(self.own()).drop("_block")
 
 
 def _fold_borders(border: DataFrame, keys: Sequence[str], values: Sequence[str], steps: Mapping[str, str]) -> DataFrame:
@@ -206,15 +322,28 @@ def _fold_borders(border: DataFrame, keys: Sequence[str], values: Sequence[str],
 
 
 def in_blocks(
-    indexed: DataFrame, pre: int = 0, post: int = 0, keys: Sequence[str] = SERIES, size: int = BLOCK, length: str = "n_bars"
+    indexed: DataFrame,
+    pre: int = 0,
+    post: int = 0,
+    keys: Sequence[str] = SERIES,
+    size: int = BLOCK,
+    length: str = "n_bars",
+    origin: str = "0",
+    carried: DataFrame | None = None,
 ) -> Blocks:
-    """Cut an indexed series into blocks; the halo rows are copied into the blocks that look back on them."""
+    """Cut an indexed series into blocks; the halo rows are copied into the blocks that look back on them.
+
+    Rows before ``origin`` serve as halo only; the rows just before it must be there as far as they exist.
+    """
     halo = pre + post
-    block = F.floor(F.col("i") / size)
+    block, after = (F.floor(F.expr(f"(i - {origin} + {k}) / {size}")) for k in (0, halo))
     # A long look-back spans several blocks; their length stays, since running values divide by a product over a block.
-    last = F.least(F.floor((F.col("i") + halo) / size), F.floor((F.col(length) - 1) / size))
-    homes = F.sequence(block, F.greatest(block, last))
-    return Blocks(indexed.withColumn("_block", F.explode(homes)), tuple(keys), pre, post, size)
+    last = F.least(after, F.floor(F.expr(f"({length} - 1 - {origin}) / {size}")))
+    homes = F.sequence(F.greatest(block, F.lit(0)), F.greatest(block, last, F.lit(0)))
+    placed = indexed.withColumn("_block", F.explode(homes))
+    if origin != "0":
+        placed = placed.where((F.col("_block") > 0) | F.expr(f"i >= {origin} - {halo}"))
+    return Blocks(placed, tuple(keys), pre, post, size, origin, carried)
 
 
 def running_total(indexed: DataFrame, totals: Mapping[str, str], keys: Sequence[str] = SERIES, size: int = BLOCK) -> DataFrame:

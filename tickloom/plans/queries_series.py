@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -11,9 +12,10 @@ from tickloom.operators.indicators.registry import CATALOGUE, add_indicators, bu
 from tickloom.operators.series import index_bars
 from tickloom.plans import batch
 from tickloom.plans.catalog import (
-    TAPE, bars_sql, flat, indexed_levels_sql, levels_sql, profile_sql, register, rounded, smooth_sql,
+    ORACLES, TAPE, bars_sql, flat, indexed_levels_sql, levels_sql, profile_sql, register, rounded, smooth_sql,
 )
-from tickloom.plans.stage import staged
+from tickloom.plans.indicators import extend_indicator_table, read_indicator_table
+from tickloom.plans.stage import shared_folder, staged
 from tickloom.plans.tape import EVENT_TICKS, event_bars, event_levels, tape_events
 from tickloom.operators.bars import ohlcv
 
@@ -196,19 +198,25 @@ def _rows(n: int) -> str:
     return f"(PARTITION BY symbol ORDER BY i ROWS {n - 1} PRECEDING)"
 
 
+def _compared(table: DataFrame, outputs: dict[str, str], places: int = 6) -> DataFrame:
+    return flat(table).select("symbol", "bar_ms", *[F.round(F.col(f"`{c}`"), places).alias(alias) for c, alias in outputs.items()])
+
+
+OUTPUTS: dict[str, dict[str, str]] = {}
+
+
 def _indicator(name: str, outputs: dict[str, str], make, sql: str | None, places: int = 6) -> None:
     """Register an indicator over the 1h bars; ``outputs`` maps its columns to oracle columns."""
 
     def query(spark: SparkSession, d: str) -> DataFrame:
-        table = flat(add_indicators(event_bars(spark, d, "1h"), [make()]))
-        columns = [F.round(F.col(f"`{c}`"), places).alias(alias) for c, alias in outputs.items()]
-        return table.select("symbol", "bar_ms", *columns)
+        return _compared(add_indicators(event_bars(spark, d, "1h"), [make()]), outputs, places)
 
     if sql is not None:
         head, body = ("", sql) if "§" not in sql else sql.split("§", 1)
         chosen = ", ".join(f"round({alias}, {places}) AS {alias}" for alias in outputs.values())
         recursive = "RECURSIVE " if "UNION ALL" in head else ""
         sql = f"WITH {recursive}{SERIES}{', ' + head if head else ''} SELECT symbol, bar_ms, {chosen} FROM ({body})"
+    OUTPUTS[name] = outputs
     register(name, query, sql)
 
 
@@ -399,13 +407,15 @@ _indicator(
     {_fold_sql('e', '14', 'x', 'k.f * k.x + (1 - k.f) * r.y')}
     §SELECT symbol, bar_ms, y AS vidya_14 FROM s LEFT JOIN e USING (symbol, i)""",
 )
-_indicator(
-    "kama_10", {"KAMA_10_2_30": "kama_10"}, lambda: build("kama", {"length": 10}),
-    f"""k AS (SELECT symbol, i, x, avg(x) OVER {_rows(10)} AS m, pow(coalesce(abs(x - lag(x, 10) OVER (PARTITION BY symbol ORDER BY i))
-      / nullif(sum(abs(c - c1)) OVER {_rows(10)}, 0), 0) * (2 / 3.0 - 2 / 31.0) + 2 / 31.0, 2) AS f FROM s),
-    {_fold_sql('e', '9', 'm', 'r.y + k.f * (k.x - r.y)')}
-    §SELECT symbol, bar_ms, y AS kama_10 FROM s LEFT JOIN e USING (symbol, i)""",
-)
+for _name, _fast, _quick in (("kama_10", 2, "2 / 3.0"), ("kama_fast_1", 1, "1.0")):
+    _indicator(
+        _name, {f"KAMA_10_{_fast}_30": _name}, lambda fast=_fast: build("kama", {"length": 10, "fast": fast}),
+        f"""k AS (SELECT symbol, i, x, avg(x) OVER {_rows(10)} AS m, pow(coalesce(abs(x - lag(x, 10) OVER (PARTITION BY symbol ORDER BY i))
+          / nullif(sum(abs(c - c1)) OVER {_rows(10)}, 0), 0) * ({_quick} - 2 / 31.0) + 2 / 31.0, 2) AS f FROM s),
+        {_fold_sql('e', '9', 'm', 'r.y + k.f * (k.x - r.y)')}
+        §SELECT symbol, bar_ms, y AS {_name} FROM s LEFT JOIN e USING (symbol, i)""",
+    )
+_indicator("ema_1", {"EMA_1": "ema_1"}, lambda: build("ema", {"length": 1}), "SELECT symbol, bar_ms, x AS ema_1 FROM s")
 _indicator(
     "hwma", {"HWMA_0.2_0.1_0.1": "hwma"}, lambda: build("hwma"),
     """e AS (SELECT symbol, CAST(-1 AS BIGINT) AS i, x AS f, 0.0::DOUBLE AS v, 0.0::DOUBLE AS a FROM s WHERE i = 0
@@ -470,30 +480,38 @@ register(
 )
 
 
+# The queries that check the catalogue's entries one by one; together they have all its columns.
+ENTRIES = [
+    "ema_20", "macd", "rsi_14", "rsi_21", "sma_50", "wma_30", "stoch", "adx_14", "atr_14", "cci_20", "roc_12", "bbands_20", "mfi_14",
+    "trix_15", "obv", "psar", "willr_14",
+]
+CATALOGUE_OUTPUTS = {column: alias for name in ENTRIES for column, alias in OUTPUTS[name].items()}
+CATALOGUE_SQL = "SELECT * FROM " + " JOIN ".join(f"({ORACLES[name]}) AS t{k}{' USING (symbol, bar_ms)' if k else ''}" for k, name in enumerate(ENTRIES))
+
+
 def _catalogue(spark: SparkSession, d: str) -> DataFrame:
-    config = [*CATALOGUE, {"name": "unheard_of"}, {"name": "rsi", "params": {"length": 1}}]
+    config = [*CATALOGUE, {"name": "unheard_of"}, {"name": "rsi", "params": {"length": 0}}]
     indexed = staged(index_bars(event_bars(spark, d, "1h")))  # read by every pass
     table, failed = indicator_table(indexed, config)
     if sorted(failed) != ["rsi", "unheard_of"]:
         raise AssertionError(f"unexpected failures: {failed}")
-    picked = {"SMA_50": "sma_50", "EMA_20": "ema_20", "RSI_21": "rsi_21", "OBV": "obv", "WILLR_14": "willr_14", "ROC_12": "roc_12"}
-    return flat(table).select("symbol", "bar_ms", *[F.round(c, 6).alias(a) for c, a in picked.items()])
+    return _compared(table, CATALOGUE_OUTPUTS)
 
 
-register(
-    "indicator_catalogue",
-    _catalogue,
-    f"""WITH RECURSIVE {SERIES}, {smooth_sql('e', 's', 'x', 20, _ratio(20))},
-    d AS (SELECT symbol, i, greatest(c - c1, 0) AS up, greatest(c1 - c, 0) AS down FROM s),
-    {smooth_sql('u', 'd', 'up', 21, '(1.0 / 21)', 1)}, {smooth_sql('w', 'd', 'down', 21, '(1.0 / 21)', 1)},
-    f AS (SELECT symbol, bar_ms, i, CASE WHEN i >= 49 THEN avg(x) OVER {_rows(50)} END AS sma_50,
-      sum(CASE WHEN i = 0 THEN v ELSE sign(c - c1) * v END) OVER (PARTITION BY symbol ORDER BY i) AS obv,
-      CASE WHEN i >= 13 THEN -100 * (max(h) OVER {_rows(14)} - c) / nullif(max(h) OVER {_rows(14)} - min(l) OVER {_rows(14)}, 0) END AS willr_14,
-      100 * (x / lag(x, 12) OVER (PARTITION BY symbol ORDER BY i) - 1) AS roc_12 FROM s)
-    SELECT symbol, bar_ms, round(sma_50, 6) AS sma_50, round(e.y, 6) AS ema_20, round(100 * u.y / nullif(u.y + w.y, 0), 6) AS rsi_21,
-    round(obv, 6) AS obv, round(willr_14, 6) AS willr_14, round(roc_12, 6) AS roc_12
-    FROM f LEFT JOIN e USING (symbol, i) LEFT JOIN u USING (symbol, i) LEFT JOIN w USING (symbol, i)""",
-)
+register("indicator_catalogue", _catalogue, CATALOGUE_SQL)
+
+
+def _extended(spark: SparkSession, d: str) -> DataFrame:
+    """The catalogue's table brought up to date three times: a first part, the bars of one hour, and the rest."""
+    bars, base = event_bars(spark, d, "1h"), f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    for ms in (EXTEND_MS, EXTEND_MS + 3_600_000, None):
+        known = bars if ms is None else bars.where(F.col("time_rounded") < F.timestamp_millis(F.lit(ms)))
+        extend_indicator_table(spark, known, base)
+    return _compared(read_indicator_table(spark, base), CATALOGUE_OUTPUTS)
+
+
+EXTEND_MS = 1_705_287_600_000  # 15 January 2024, 03:00
+register("extended_indicators", _extended, CATALOGUE_SQL)
 
 
 def _many_series(spark: SparkSession, d: str) -> DataFrame:
