@@ -1,13 +1,14 @@
 """Streams give the batch result on the same tape."""
 
 import json
+import os
 
 import pytest
 
 from tests.helpers import random_rows, tape
 from tickloom.operators import bars, footprint, stats
 from tickloom.sources.messages import decode_messages
-from tickloom.streaming import live
+from tickloom.streaming import corrections, live
 
 MINUTE = 60_000
 LAST = 10**9
@@ -21,7 +22,9 @@ def write_messages(folder, rows, parts=3):
             json.dumps({"e": "aggTrade", "E": t + 3, "T": t, "s": s, "a": i, "p": str(p), "q": str(q), "m": m})
             for s, i, p, q, t, m in rows[k * size : (k + 1) * size]
         ]
-        (folder / f"{k:03d}.json").write_text("\n".join(lines) + "\n")
+        file = folder / f"{k:03d}.json"
+        file.write_text("\n".join(lines) + "\n")
+        os.utime(file, (10**9 + 10 * k, 10**9 + 10 * k))  # a stream takes files by their times
 
 
 @pytest.fixture
@@ -127,3 +130,75 @@ def test_parquet_writer_and_binary_messages(spark, source, tmp_path):
     got = spark.read.parquet(f"{tmp_path}/o").where("time_rounded < timestamp'1970-04-01'")
     assert rows_of(got, want.columns) == rows_of(want, want.columns)
     assert stats.symbols(decode_messages(spark.read.text(folder))).count() == 2
+
+
+def cells(df):
+    return sorted((*r[:-1], sorted((k, tuple(v)) for k, v in r[-1].items())) for r in df.select("symbol", "time_rounded", *footprint.FINAL).collect())
+
+
+def test_final_bars_of_a_stream_equal_the_batch(spark, source, tmp_path):
+    """Three batches; levels and bars are two steps of one query, and a restart goes on from both states."""
+    rows, folder = source
+    want = footprint.bars_with_footprint(tape(spark, rows), "15m", {"BTCUSDT": 0})
+    stream = live.dedupe_stream(live.read_messages(spark, folder, files_per_batch=1))
+    df = live.stream_final_bars(stream, "15m", ticks={"BTCUSDT": 0})
+    for _ in range(2):
+        query = live.write_stream(df, f"{tmp_path}/o", f"{tmp_path}/c", every=None).start()
+        query.awaitTermination()
+    got = spark.read.parquet(f"{tmp_path}/o").where("time_rounded < timestamp'1970-04-01'")
+    assert cells(got) == cells(want)
+
+
+def started(spark, folder, base, timeframe="1h", **options):
+    stream = live.read_messages(spark, str(folder), files_per_batch=1)
+    places = [f"{base}/{x}" for x in ("minutes", "bars", "progress")]
+    writer = corrections.write_corrected_bars(stream, *places, timeframe, f"{base}/checkpoint", parts=("symbol", "day"), **options)
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{base}/bars")
+
+
+def written(base):
+    return {str(f.relative_to(base)): f.stat().st_mtime_ns for f in (base / "bars").rglob("*.parquet")}
+
+
+def test_late_rows_correct_the_bars_they_belong_to(spark, tmp_path):
+    """Rows days behind the watermark, one of them for a bar that had none: only their days are rewritten."""
+    day = 24 * 60 * MINUTE
+    rows = [("A", k, 100.0 + k % 7, 1.0 + k % 3, k * 50 * MINUTE, k % 2 == 0) for k in range(120) if k % 29]
+    write_messages(tmp_path / "in", rows, 2)
+    started(spark, tmp_path / "in", tmp_path)
+    before = written(tmp_path)
+    late = [("A", 1000, 7.0, 2.0, day + 5 * MINUTE, True), ("A", 1001, 900.0, 2.0, day + 6 * MINUTE, False), ("B", 5, 1.0, 1.0, day + MINUTE, True), rows[40]]
+    lines = [json.dumps({"e": "aggTrade", "T": t, "s": s, "a": i, "p": str(p), "q": str(q), "m": m}) for s, i, p, q, t, m in late]
+    (tmp_path / "in" / "late.json").write_text("\n".join(lines) + "\n")
+    got = started(spark, tmp_path / "in", tmp_path)
+    newest = max(r[4] for r in rows)
+    full = footprint.bars_with_footprint(tape(spark, [*rows, *late[:3]]), "1h")
+    want = full.where(f"unix_millis(time_rounded) + 3600000 <= {newest - MINUTE}")
+    assert cells(got) == cells(want)
+    after = written(tmp_path)
+    kept = {f for f in before if "date=1970-01-02" not in f and "1970-01-02" not in f}
+    assert kept and all(after.get(f) == before[f] for f in kept if f"date={_date(rows[40][4])}" not in f)
+    assert any(f not in after or after[f] != before[f] for f in before if "date=1970-01-02" in f)
+
+
+def _date(ms):
+    from datetime import datetime, timezone
+
+    return datetime.fromtimestamp(ms / 1000, timezone.utc).date().isoformat()
+
+
+def test_a_replayed_batch_changes_no_bar(spark, tmp_path):
+    rows = [("A", k, 100.0 + k % 7, 1.0, k * 17 * MINUTE, k % 2 == 0) for k in range(200)]
+    places = [f"{tmp_path}/{x}" for x in ("minutes", "bars", "progress")]
+    halves = [tape(spark, rows[:120]), tape(spark, [*rows[120:], ("A", 900, 50.0, 1.0, 3 * MINUTE, True)])]
+
+    def merge(k):
+        corrections.correct_bars(halves[k], k, *places, "1h", MINUTE, parts=("symbol", "day"))
+        return cells(spark.read.parquet(places[1]))
+
+    merge(0)
+    first = merge(1)
+    assert merge(1) == first
+    want = footprint.bars_with_footprint(tape(spark, [*rows, ("A", 900, 50.0, 1.0, 3 * MINUTE, True)]), "1h")
+    assert first == cells(want.where(f"unix_millis(time_rounded) + 3600000 <= {rows[-1][4] - MINUTE}"))

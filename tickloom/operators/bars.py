@@ -10,6 +10,19 @@ from tickloom.functions.expressions import floor_ms, trade_order
 from tickloom.schema import timeframe_ms
 
 
+def bar_aggregates(timeframe: str, wide_ids: bool = False) -> list[Column]:
+    """Open, close, high, low and quantity of the trades of a bar, as partial aggregates; the same for tables and streams."""
+    # The key of a row without a price is null, so min_by and max_by skip that row.
+    priced = F.when(F.col("price").isNotNull(), trade_order("transact_time", "agg_trade_id", timeframe, wide_ids))
+    return [
+        F.min_by("price", priced).alias("open"),
+        F.max_by("price", priced).alias("close"),
+        F.max("price").alias("high"),
+        F.min("price").alias("low"),
+        F.sum("quantity").alias("qty"),
+    ]
+
+
 def ohlcv(trades: DataFrame, timeframe: str, wide_ids: bool = False) -> DataFrame:
     """One row per ``(symbol, time_rounded)`` with open, close, high, low and quantity.
 
@@ -17,17 +30,8 @@ def ohlcv(trades: DataFrame, timeframe: str, wide_ids: bool = False) -> DataFram
     partial aggregates, so a symbol holding most of the tape is reduced before the shuffle. Trades
     without a time belong to no bar.
     """
-    order = trade_order("transact_time", "agg_trade_id", timeframe, wide_ids)
-    # The key of a row without a price is null, so min_by and max_by skip that row.
-    priced = F.when(F.col("price").isNotNull(), order)
     timed = trades.where(F.col("transact_time").isNotNull())
-    bars = timed.groupBy("symbol", floor_ms("transact_time", timeframe).alias("bar_ms")).agg(
-        F.min_by("price", priced).alias("open"),
-        F.max_by("price", priced).alias("close"),
-        F.max("price").alias("high"),
-        F.min("price").alias("low"),
-        F.sum("quantity").alias("qty"),
-    )
+    bars = timed.groupBy("symbol", floor_ms("transact_time", timeframe).alias("bar_ms")).agg(*bar_aggregates(timeframe, wide_ids))
     return bars.select(
         "symbol",
         F.lit(timeframe).alias("timeframe"),

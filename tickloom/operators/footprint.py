@@ -161,51 +161,49 @@ def bars_with_footprint(
     spread over its levels. Rows without a price sit on a null level: they count for the bar's
     quantity but not for its footprint.
     """
-    order = trade_order("transact_time", "agg_trade_id", timeframe, wide_ids)
-    priced = F.when(F.col("price").isNotNull(), order)
-    usable = _complete() & F.col("is_buyer_maker").isNotNull()
     levels = (
         with_price_level(trades.where(F.col("transact_time").isNotNull()), ticks, decimals)
         .groupBy("symbol", floor_ms("transact_time", timeframe).alias("bar_ms"), "price_level")
-        .agg(
-            *side_sums(_complete()),
-            F.count_if(usable).alias("usable"),
-            F.min_by("price", priced).alias("first_price"),
-            F.min(priced).alias("first_key"),
-            F.max_by("price", priced).alias("last_price"),
-            F.max(priced).alias("last_key"),
-            F.max("price").alias("high"),
-            F.min("price").alias("low"),
-            F.sum("quantity").alias("qty"),
-        )
+        .agg(*level_partials(timeframe, wide_ids))
     )
+    bars = levels.groupBy("symbol", "bar_ms").agg(*bars_of_partials())
+    return bars.select("symbol", F.lit(timeframe).alias("timeframe"), F.timestamp_millis("bar_ms").alias("time_rounded"), *FINAL)
+
+
+FINAL = ("open", "close", "high", "low", "qty", "sum_total_bid_qty", "sum_total_ask_qty", "footprint")
+
+
+def level_partials(timeframe: str, wide_ids: bool = False) -> list[Column]:
+    """What a price level of a bar hands on to the final bar."""
+    order = trade_order("transact_time", "agg_trade_id", timeframe, wide_ids)
+    priced = F.when(F.col("price").isNotNull(), order)
+    usable = _complete() & F.col("is_buyer_maker").isNotNull()
+    return [
+        *side_sums(_complete()),
+        F.count_if(usable).alias("usable"),
+        F.min_by("price", priced).alias("first_price"),
+        F.min(priced).alias("first_key"),
+        F.max_by("price", priced).alias("last_price"),
+        F.max(priced).alias("last_key"),
+        F.max("price").alias("high"),
+        F.min("price").alias("low"),
+        F.sum("quantity").alias("qty"),
+    ]
+
+
+def bars_of_partials() -> list[Column]:
+    """The final bar from the partials of its levels."""
     entry = F.when(F.col("usable") > 0, F.struct(F.col("price_level"), _cell().alias("cell")))
-    return (
-        levels.groupBy("symbol", "bar_ms")
-        .agg(
-            F.min_by("first_price", "first_key").alias("open"),
-            F.max_by("last_price", "last_key").alias("close"),
-            F.max("high").alias("high"),
-            F.min("low").alias("low"),
-            F.sum("qty").alias("qty"),
-            F.sum("total_bid_qty").alias("sum_total_bid_qty"),
-            F.sum("total_ask_qty").alias("sum_total_ask_qty"),
-            _as_map(F.array_sort(F.collect_list(entry))).alias("footprint"),
-        )
-        .select(
-            "symbol",
-            F.lit(timeframe).alias("timeframe"),
-            F.timestamp_millis("bar_ms").alias("time_rounded"),
-            "open",
-            "close",
-            "high",
-            "low",
-            "qty",
-            "sum_total_bid_qty",
-            "sum_total_ask_qty",
-            "footprint",
-        )
-    )
+    return [
+        F.min_by("first_price", "first_key").alias("open"),
+        F.max_by("last_price", "last_key").alias("close"),
+        F.max("high").alias("high"),
+        F.min("low").alias("low"),
+        F.sum("qty").alias("qty"),
+        F.sum("total_bid_qty").alias("sum_total_bid_qty"),
+        F.sum("total_ask_qty").alias("sum_total_ask_qty"),
+        _as_map(F.array_sort(F.collect_list(entry))).alias("footprint"),
+    ]
 
 
 def join_side_frames(bars: DataFrame, levels: DataFrame) -> DataFrame:

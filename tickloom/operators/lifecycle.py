@@ -40,6 +40,23 @@ def append_and_dedupe(
     return merged.unionByName(both.where(~known).drop("_new").distinct())
 
 
+def replace_keys(stored: DataFrame, new: DataFrame, keys: Sequence[str] = TRADE_KEY, order: Sequence[str] = ()) -> DataFrame:
+    """Stored rows whose keys ``new`` does not have, and one new row per key: the last by ``order``.
+
+    ``stored`` must hold each key once, as every table does that only this has written. Its rows
+    then need no grouping: an anti join with the new keys filters them, and only the new side is
+    aggregated. Rows with a null key are taken out of ``stored`` only where a new one agrees in every column.
+    """
+    unknown = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    fresh = new.where(~unknown)
+    fresh = newest_per_key(fresh, keys, [*order] or [F.lit(0)])
+    kept = stored.where(~unknown).join(new.where(~unknown).select(*keys).distinct(), list(keys), "left_anti")
+    merged = kept.unionByName(fresh, allowMissingColumns=True)
+    loose = stored.where(unknown).unionByName(new.where(unknown), allowMissingColumns=True)
+    once = loose.groupBy(*loose.columns).agg(F.count("*").alias("_times")).drop("_times")  # distinct() takes no maps
+    return merged.unionByName(once)
+
+
 def merge_day_into_month(month: DataFrame, day: DataFrame, keys: Sequence[str] = TRADE_KEY) -> DataFrame:
     return append_and_dedupe(month, day, keys)
 

@@ -72,7 +72,7 @@ def historical_bars(
     day = F.col("time_rounded").cast("date")
     inside = (F.col("timeframe") == "1w") | day.between(F.lit(start).cast("date"), F.lit(end).cast("date"))
     bars = final_bars(folded, finest, wanted).where(inside).join(now.select("symbol", "timeframe"), ["symbol", "timeframe"], "left_semi")
-    write_bars(bars, out)
+    write_bars(bars, out, whole_days=True)
     now.write.mode("append").parquet(record)
     return now
 

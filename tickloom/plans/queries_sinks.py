@@ -33,6 +33,17 @@ def _two_ranges(spark: SparkSession, d: str) -> DataFrame:
 register("bars_two_ranges", _two_ranges, f"WITH {bars_sql('4h')} SELECT symbol, bar_ms, open, close, high, low, qty FROM bars")
 
 
+def _cut_at_noon(spark: SparkSession, d: str) -> DataFrame:
+    """Bars written as a whole, and again from noon of a day on: the bars of that morning stay."""
+    bars, out = ohlcv(tape_events(spark, d), "1h"), _folder(spark)
+    writers.write_bars(bars.where(f"time_rounded < timestamp_millis({CUT_MS + 2 * 86400000})"), out)
+    writers.write_bars(bars.where(f"time_rounded >= timestamp_millis({CUT_MS + 43200000})"), out)
+    return flat(spark.read.parquet(out)).drop("date")
+
+
+register("bars_cut_at_noon", _cut_at_noon, f"WITH {bars_sql('1h')} SELECT symbol, bar_ms, open, close, high, low, qty FROM bars")
+
+
 def _without_ids(spark: SparkSession, d: str) -> DataFrame:
     """Trades of which a third has no id, delivered twice in overlapping parts."""
     tape, out = tape_events(spark, d), _folder(spark)

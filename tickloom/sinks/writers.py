@@ -10,7 +10,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.operators.lifecycle import TRADE_KEY, absent_documents, append_and_dedupe, split_archive
+from tickloom.operators.lifecycle import TRADE_KEY, absent_documents, replace_keys, split_archive
 from tickloom.operators.prepare import with_minute_parts
 from tickloom.sinks import files
 from tickloom.sources.readers import FORMATS, MINUTE_PARTS, read_partitioned
@@ -32,13 +32,20 @@ def write_partitions(df: DataFrame, path: str, parts: Sequence[str], order: Sequ
 BAR_PARTS = ("symbol", "timeframe", "date")
 
 
-def write_bars(bars: DataFrame, path: str) -> None:
-    """Overwrite the days that ``bars`` has bars of; other ranges of a series stay.
+BAR_KEY = ("symbol", "timeframe", "time_rounded")
 
-    A bar belongs to the day it starts on, so the input must hold whole days of bars.
+
+def write_bars(bars: DataFrame, path: str, whole_days: bool = False) -> None:
+    """Replace the bars that ``bars`` has, by symbol, timeframe and start; all others stay, those of the same day too.
+
+    A bar belongs to the day it starts on; only the days of the new bars are read and rewritten. With ``whole_days``
+    the input holds all bars of its days, which are then overwritten unread (a bar that is no longer there goes).
     """
     dated = bars.withColumn("date", F.col("time_rounded").cast("date"))
-    write_partitions(dated, path, BAR_PARTS, ["time_rounded"])
+    if whole_days:
+        write_partitions(dated, path, BAR_PARTS, ["time_rounded"])
+    else:
+        upsert_partitions(dated, path, BAR_PARTS, "date", BAR_KEY)
 
 
 def stored_partitions(new: DataFrame, path: str, parts: Sequence[str], dates: str) -> DataFrame | None:
@@ -74,15 +81,16 @@ def upsert_partitions(
     new = new.persist()
     try:
         stored = stored_partitions(new, path, parts, dates)
-        merged = append_and_dedupe(new.limit(0) if stored is None else stored, new, keys, order)
-        write_partitions(merged, path, parts, [c for c in ("transact_time",) if c in new.columns])
+        merged = replace_keys(new.limit(0) if stored is None else stored, new, keys, order)
+        write_partitions(merged, path, parts, [c for c in ("transact_time", "time_rounded") if c in new.columns])
     finally:
         new.unpersist()
 
 
-def upsert_minutes(trades: DataFrame, path: str, keys: Sequence[str] = TRADE_KEY) -> None:
-    """Merge landed trades into their minute partitions."""
-    upsert_partitions(with_minute_parts(trades), path, MINUTE_PARTS, "day", keys)
+def upsert_minutes(trades: DataFrame, path: str, keys: Sequence[str] = TRADE_KEY, parts: Sequence[str] = MINUTE_PARTS) -> None:
+    """Merge landed trades into their minute partitions, or with fewer ``parts`` into those of hours or days."""
+    cut = [c for c in MINUTE_PARTS if c not in parts]
+    upsert_partitions(with_minute_parts(trades).drop(*cut), path, parts, "day", keys)
 
 
 def append_minutes(trades: DataFrame, path: str) -> None:

@@ -12,8 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from tickloom.functions.expressions import trade_order
-from tickloom.operators.footprint import side_sums, with_price_level
+from tickloom.operators.bars import bar_aggregates
+from tickloom.operators.footprint import FINAL, bars_of_partials, level_partials, side_sums, with_price_level
 from tickloom.operators.lifecycle import TRADE_KEY
 from tickloom.operators.stats import trade_summary
 from tickloom.schema import timeframe_seconds
@@ -22,7 +22,11 @@ from tickloom.sources.messages import decode_messages
 
 
 def read_messages(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """Trades from a folder of JSON-lines files, as they arrive."""
+    """Trades from a folder of JSON-lines files, in the order of the files' modification times.
+
+    Files of equal times may come in any order, and one that is read behind newer ones may be behind the
+    watermark, so a producer gives its files rising times.
+    """
     reader = spark.readStream.format("text")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
@@ -58,15 +62,7 @@ def _windowed(trades: DataFrame, timeframe: str, delay: str) -> tuple[DataFrame,
 def stream_bars(trades: DataFrame, timeframe: str, delay: str = "1 minute", wide_ids: bool = False) -> DataFrame:
     """Tumbling bars with the aggregates of the batch bars."""
     marked, window = _windowed(trades, timeframe, delay)
-    order = trade_order("transact_time", "agg_trade_id", timeframe, wide_ids)
-    priced = F.when(F.col("price").isNotNull(), order)
-    bars = marked.groupBy("symbol", window.alias("w")).agg(
-        F.min_by("price", priced).alias("open"),
-        F.max_by("price", priced).alias("close"),
-        F.max("price").alias("high"),
-        F.min("price").alias("low"),
-        F.sum("quantity").alias("qty"),
-    )
+    bars = marked.groupBy("symbol", window.alias("w")).agg(*bar_aggregates(timeframe, wide_ids))
     return bars.select(
         "symbol", F.lit(timeframe).alias("timeframe"), F.col("w.start").alias("time_rounded"),
         "open", "close", "high", "low", "qty",
@@ -91,6 +87,27 @@ def stream_levels(
     )
 
 
+def stream_final_bars(
+    trades: DataFrame,
+    timeframe: str,
+    delay: str = "1 minute",
+    ticks: Mapping[str, int] | None = None,
+    decimals: int | None = None,
+    wide_ids: bool = False,
+) -> DataFrame:
+    """Final bars with side totals and footprint map in one query: levels per window, then bars over the windows' times.
+
+    The batch aggregates in two chained stateful steps, for append mode. State holds open price levels,
+    never trades, and a hot symbol is spread over its levels; a bar comes once the watermark has
+    passed its end in both steps. Rows behind the watermark are not in it (see ``corrections``).
+    """
+    marked, window = _windowed(trades, timeframe, delay)
+    levels = with_price_level(marked, ticks, decimals).groupBy("symbol", window.alias("w"), "price_level").agg(*level_partials(timeframe, wide_ids))
+    again = F.window(F.window_time("w"), f"{timeframe_seconds(timeframe)} seconds")
+    bars = levels.groupBy("symbol", again.alias("w")).agg(*bars_of_partials())
+    return bars.select("symbol", F.lit(timeframe).alias("timeframe"), F.col("w.start").alias("time_rounded"), *FINAL)
+
+
 def stream_summary(trades: DataFrame, timeframe: str = "1m", delay: str = "1 minute") -> DataFrame:
     """Trade summary per symbol and window."""
     marked, window = _windowed(trades, timeframe, delay)
