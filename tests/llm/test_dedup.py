@@ -17,7 +17,7 @@ def squeezed(text):
 
 
 def test_exact_groups(spark):
-    rows = awkward()
+    rows = awkward() + [(-(2**63), "one two three four five six"), (-(2**63), "a"), (2**63 - 1, "a")]
     found = exact.exact_groups(documents(spark, rows)).collect()
     assert len(found) == len(rows)
     groups = {}

@@ -25,6 +25,8 @@ def test_units_give_the_tokenizer_s_ids(name, units):
     random.seed(name)
     letters = "ab .,'é\n\t\r1İΣ　́!\x0b\x1c ​﻿<|endoftext|>"
     texts = ["".join(random.choice(letters) for _ in range(random.randint(0, 40))) for _ in range(2000)] + [t or "" for _, t in awkward()]
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|EndOfText|>", "<|", "|>", "A", "b.C", " ", ". ", "Ünï", "\n"]
+    texts += ["".join(random.choices(parts, k=random.randint(1, 8))) for _ in range(1000)]
     for a in range(0, len(texts), 7):
         part = texts[a : a + 7]
         ids, counts = encoder.encode([x.encode() for x in part])

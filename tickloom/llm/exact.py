@@ -59,13 +59,13 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     may hold any share of the table. An empty table gives no rows.
     """
     digest = recipes(docs)
-    best = F.max(F.struct("n_points", (-F.col("doc_id")).alias("back"), (-F.col("row")).alias("row"))).alias("best")
+    best = F.max(F.struct("n_points", F.bitwise_not("doc_id").alias("back"), (-F.col("row")).alias("row"))).alias("best")
     sets = staged(digest.groupBy("recipe").agg(F.count("*").alias("n"), best).where("n > 1"))  # a side of its own, so that the join can split a hot recipe
     joined = digest.join(sets.withColumnRenamed("recipe", "set"), F.col("recipe") == F.col("set"), "left")
     alone = F.col("n").isNull()
     return joined.select(
         "doc_id",
-        F.when(alone, F.col("doc_id")).otherwise(-F.col("best.back")).alias("keep_id"),
+        F.when(alone, F.col("doc_id")).otherwise(F.bitwise_not("best.back")).alias("keep_id"),
         F.coalesce("n", F.lit(1)).cast("bigint").alias("group_size"),
         (alone | (-F.col("best.row") == digest["row"])).alias("kept"),
         "text_sha256",

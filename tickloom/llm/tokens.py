@@ -50,13 +50,22 @@ def space_units(texts: list[bytes]) -> tuple[np.ndarray, ...]:
 
 
 def word_units(texts: list[bytes]) -> tuple[np.ndarray, ...]:
-    """The same for vocabularies that drop white space and case: words between ASCII white space."""
-    buffer = LOWER[np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)]
+    """The same for vocabularies that drop white space and case: words between ASCII white space.
+
+    A unit that may hold a special token, which the tokenizer finds by its very bytes, keeps its case.
+    """
+    raw = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
+    buffer = LOWER[raw]
     dark = np.concatenate([[False], ~BLANK[buffer]])
     glued = np.zeros(len(buffer), bool)
     glued[1:] = _LETTER[buffer[:-1]] & _PUNCTUATION[buffer[1:]]
     starts = np.flatnonzero((dark[1:] & ~dark[:-1]) | glued)
     ends = np.flatnonzero((dark[:-1] & ~dark[1:]) | glued)
+    opening = np.flatnonzero((raw[:-1] == ord("<")) & (raw[1:] == ord("|")))
+    if len(opening):
+        special = np.unique(np.searchsorted(starts, opening, "right") - 1)
+        there = ragged(starts[special], ends[special] - starts[special])
+        buffer[there] = raw[there]
     firsts = bounds(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
     return buffer, starts, ends, np.zeros(len(starts), bool), np.searchsorted(starts, firsts)
 
