@@ -3,13 +3,14 @@
 import random
 import statistics
 from collections import defaultdict
+from decimal import Decimal
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tests.helpers import HOUR, tape
-from tickloom.functions.expressions import concatenated_json_array, round_to
+from tickloom.functions.expressions import concatenated_json_array, outermost_objects, round_to
 from tickloom.operators import bars, footprint, stats
 from tickloom.operators.indicators.recurrent import ema, kama
 from tickloom.operators.indicators.registry import add_indicators
@@ -64,9 +65,13 @@ def test_long_look_back_beside_a_short_average(spark):
     assert [v for n, v in last.items() if n.lower().startswith("ema")][0] == pytest.approx(y)
 
 
-def test_average_that_would_forget_everything_is_refused():
+def test_average_that_forgets_everything(spark):
+    """With a steady rise and fast=1 the factor is 0 at every step, so the average is the price."""
+    rows = [("A", k, 10.0 + k, 1.0, k * HOUR, True) for k in range(600)]
+    got = add_indicators(bars.ohlcv(tape(spark, rows), "1h"), [kama(fast=1)]).orderBy("time_rounded").collect()
+    assert [r.KAMA_10_1_30 for r in got[10:]] == pytest.approx([10.0 + k for k in range(10, 600)])
     with pytest.raises(ValueError):
-        kama(fast=1)
+        kama(fast=0)
 
 
 def test_long_and_nested_json(spark):
@@ -78,6 +83,45 @@ def test_long_and_nested_json(spark):
     assert got == [["1", "2"], [long], ['q"{', "\\"], [], [], []]
 
 
+def test_objects_of_any_depth(spark):
+    deep = '{"a":"1","x":' + '{"y":' * 60 + '"}"' + "}" * 60 + "}"
+    texts = [deep + "," + deep, "}" + deep + "} {", deep + '{"a":"never closed"' + deep, '{"a":"' + "\\\\" * 20_000 + '"}', "{}" * 3]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string")
+    got = [list(r.o) for r in df.orderBy("k").select(outermost_objects("t").alias("o")).collect()]
+    assert got == [[deep, deep], [deep], [deep], [texts[3]], ["{}"] * 3]
+
+
+def test_sums_of_quantities_do_not_depend_on_partitions(spark):
+    rows = [("A", k, 100.0 + k % 3, (k * 7919 % 100_003 + 1) / 1e8 + (k % 5) * 1e5, k, k % 2 == 0) for k in range(4000)]
+    exact = sum(Decimal(repr(r[3])).quantize(Decimal("1e-8")) for r in rows)
+    seen = set()
+    for n in (1, 200):
+        df = tape(spark, rows).repartition(n)
+        bar, final = bars.ohlcv(df, "1h").first(), footprint.bars_with_footprint(df, "1h").first()
+        levels = footprint.footprint_levels(df, "1h", spark.createDataFrame([("A", -1)], "symbol string, decimals int")).first()
+        assert bar.qty == final.qty == float(exact) and levels.total_bid_trades == 2000
+        seen.add((bar.qty, final.sum_total_bid_qty, final.sum_total_ask_qty, levels.total_bid_qty, levels.total_ask_qty))
+    assert len(seen) == 1
+    with pytest.raises(PySparkException):
+        bars.ohlcv(tape(spark, [("A", 1, 1.0, 1e25, 0, True)]), "1h").collect()
+
+
+def test_trades_are_folded_before_they_meet_the_tick_table(spark):
+    ticks = spark.createDataFrame([("BTCUSDT", 0)], "symbol string, decimals int")
+    df = tape(spark, [("BTCUSDT", k, 100.0 + k % 9 / 10, 1.0, k, True) for k in range(50)])
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for out in (footprint.footprint_levels(df, "1h", ticks), footprint.bars_with_footprint(df, "1h", ticks)):
+            text = out._jdf.queryExecution().executedPlan().toString()
+            exchanges = [line for line in text.splitlines() if "Exchange hashpartitioning(symbol" in line]
+            first = max(exchanges, key=lambda line: len(line) - len(line.lstrip(" :+-|")))
+            assert "price" in first, first  # the deepest one, of raw trades, is by symbol, bar and price
+            assert out.count() >= 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_csv_columns_are_matched_by_name(spark, tmp_path):
     names = AGG_TRADES.fieldNames()
     turned = names[::-1]

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tickloom.functions.expressions import floor_ms, trade_order
+from tickloom.functions.expressions import exact_sum, floor_ms, trade_order
 from tickloom.schema import timeframe_ms
 
 
@@ -19,7 +19,7 @@ def bar_aggregates(timeframe: str, wide_ids: bool = False) -> list[Column]:
         F.max_by("price", priced).alias("close"),
         F.max("price").alias("high"),
         F.min("price").alias("low"),
-        F.sum("quantity").alias("qty"),
+        exact_sum("quantity").alias("qty"),
     ]
 
 
@@ -63,7 +63,7 @@ def rollup_bars(bars: DataFrame, source: str, *targets: str) -> DataFrame:
             F.max_by("close", F.when(F.col("close").isNotNull(), F.col("time_rounded"))).alias("close"),
             F.max("high").alias("high"),
             F.min("low").alias("low"),
-            F.sum("qty").alias("qty"),
+            exact_sum("qty").alias("qty"),
         )
         .select(
             "symbol",

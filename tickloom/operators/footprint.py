@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tickloom.functions.expressions import concatenated_json_array, floor_ms, round_to, round_to_tick, trade_order
+from tickloom.functions.expressions import concatenated_json_array, exact_sum, floor_ms, round_to, round_to_tick, trade_order
 from tickloom.operators.bars import target_bars
 from tickloom.schema import TICK_DECIMALS
 
@@ -21,7 +21,7 @@ def with_price_level(
     """Add ``price_level``: the price rounded to the tick of its symbol.
 
     ``ticks`` is a symbol-to-decimals mapping or a ``(symbol, decimals)`` frame (joined without a
-    hint, so its measured size decides on a broadcast). ``decimals`` rounds every symbol alike.
+    hint, so its measured size decides on a broadcast; fold trades by price before). ``decimals`` rounds every symbol alike.
     """
     if decimals is not None:
         return trades.withColumn("price_level", F.round("price", decimals))
@@ -46,11 +46,16 @@ def side_sums(extra: Column | None = None) -> list[Column]:
     sums = []
     for side in SIDES:
         counted = _on(side) if extra is None else _on(side) & extra
-        sums.append(F.sum(F.when(counted, F.col("quantity")).otherwise(0.0)).alias(f"total_{side}_qty"))
+        sums.append(exact_sum(F.when(counted, F.col("quantity")).otherwise(0.0)).alias(f"total_{side}_qty"))
         sums.append(F.count_if(counted).alias(f"total_{side}_trades"))
     return sums
 
 
+def added(measures: Sequence[str]) -> list[Column]:
+    """Level measures summed: quantities exactly, counts as they are."""
+    return [(exact_sum(m) if m.endswith("_qty") else F.sum(m)).alias(m) for m in measures]
+
+
 def footprint_levels(
     trades: DataFrame,
     timeframe: str,
@@ -67,12 +72,15 @@ def footprint_levels(
     sums = side_sums()
     if trades_aggr:
         sums += [F.sum(F.when(_on(side), 1).otherwise(0)).alias(f"total_{side}_trades_aggr") for side in SIDES]
-    levels = (
-        with_price_level(known, ticks, decimals)
-        .groupBy("symbol", floor_ms("transact_time", timeframe).alias("bar_ms"), "price_level")
-        .agg(*sums)
-    )
-    measures = [c for c in levels.columns if c.startswith("total_")]
+    bar = floor_ms("transact_time", timeframe).alias("bar_ms")
+    if isinstance(ticks, DataFrame) and decimals is None:
+        # Folded by price first: what meets the tick table is as small as the raw levels, however hot a symbol is.
+        raw = known.groupBy("symbol", bar, "price").agg(*sums)
+        measures = [c for c in raw.columns if c.startswith("total_")]
+        levels = with_price_level(raw, ticks).groupBy("symbol", "bar_ms", "price_level").agg(*added(measures))
+    else:
+        levels = with_price_level(known, ticks, decimals).groupBy("symbol", bar, "price_level").agg(*sums)
+        measures = [c for c in levels.columns if c.startswith("total_")]
     return levels.select(
         "symbol",
         F.lit(timeframe).alias("timeframe"),
@@ -88,7 +96,7 @@ def rollup_levels(levels: DataFrame, source: str, *targets: str) -> DataFrame:
     return (
         levels.select("*", F.inline(target_bars(source, targets)))
         .groupBy("symbol", "target", "bar_ms", "price_level")
-        .agg(*[F.sum(m).alias(m) for m in measures])
+        .agg(*added(measures))
         .select(
             "symbol",
             F.col("target").alias("timeframe"),
@@ -102,7 +110,7 @@ def rollup_levels(levels: DataFrame, source: str, *targets: str) -> DataFrame:
 def side_totals(levels: DataFrame) -> DataFrame:
     """Quantity and trades per bar and side."""
     return levels.groupBy(*BAR).agg(
-        *[F.sum(f"total_{side}_qty").alias(f"sum_total_{side}_qty") for side in SIDES],
+        *[exact_sum(f"total_{side}_qty").alias(f"sum_total_{side}_qty") for side in SIDES],
         *[F.sum(f"total_{side}_trades").alias(f"sum_total_{side}_trades") for side in SIDES],
     )
 
@@ -161,11 +169,12 @@ def bars_with_footprint(
     spread over its levels. Rows without a price sit on a null level: they count for the bar's
     quantity but not for its footprint.
     """
-    levels = (
-        with_price_level(trades.where(F.col("transact_time").isNotNull()), ticks, decimals)
-        .groupBy("symbol", floor_ms("transact_time", timeframe).alias("bar_ms"), "price_level")
-        .agg(*level_partials(timeframe, wide_ids))
-    )
+    timed, bar = trades.where(F.col("transact_time").isNotNull()), floor_ms("transact_time", timeframe).alias("bar_ms")
+    if isinstance(ticks, DataFrame) and decimals is None:
+        raw = timed.groupBy("symbol", bar, "price").agg(*level_partials(timeframe, wide_ids))
+        levels = with_price_level(raw, ticks).groupBy("symbol", "bar_ms", "price_level").agg(*merged_partials())
+    else:
+        levels = with_price_level(timed, ticks, decimals).groupBy("symbol", bar, "price_level").agg(*level_partials(timeframe, wide_ids))
     bars = levels.groupBy("symbol", "bar_ms").agg(*bars_of_partials())
     return bars.select("symbol", F.lit(timeframe).alias("timeframe"), F.timestamp_millis("bar_ms").alias("time_rounded"), *FINAL)
 
@@ -187,7 +196,22 @@ def level_partials(timeframe: str, wide_ids: bool = False) -> list[Column]:
         F.max(priced).alias("last_key"),
         F.max("price").alias("high"),
         F.min("price").alias("low"),
-        F.sum("quantity").alias("qty"),
+        exact_sum("quantity").alias("qty"),
+    ]
+
+
+def merged_partials() -> list[Column]:
+    """Partials of several prices as those of the level they belong to."""
+    return [
+        *added(LEVEL_MEASURES),
+        F.sum("usable").alias("usable"),
+        F.min_by("first_price", "first_key").alias("first_price"),
+        F.min("first_key").alias("first_key"),
+        F.max_by("last_price", "last_key").alias("last_price"),
+        F.max("last_key").alias("last_key"),
+        F.max("high").alias("high"),
+        F.min("low").alias("low"),
+        exact_sum("qty").alias("qty"),
     ]
 
 
@@ -199,9 +223,9 @@ def bars_of_partials() -> list[Column]:
         F.max_by("last_price", "last_key").alias("close"),
         F.max("high").alias("high"),
         F.min("low").alias("low"),
-        F.sum("qty").alias("qty"),
-        F.sum("total_bid_qty").alias("sum_total_bid_qty"),
-        F.sum("total_ask_qty").alias("sum_total_ask_qty"),
+        exact_sum("qty").alias("qty"),
+        exact_sum("total_bid_qty").alias("sum_total_bid_qty"),
+        exact_sum("total_ask_qty").alias("sum_total_ask_qty"),
         _as_map(F.array_sort(F.collect_list(entry))).alias("footprint"),
     ]
 
@@ -214,7 +238,7 @@ def join_side_frames(bars: DataFrame, levels: DataFrame) -> DataFrame:
     totals = {
         side: levels.where(F.col(f"total_{side}_trades") > 0)
         .groupBy(*BAR)
-        .agg(F.sum(f"total_{side}_qty").alias(f"sum_total_{side}_qty"))
+        .agg(exact_sum(f"total_{side}_qty").alias(f"sum_total_{side}_qty"))
         for side in SIDES
     }
     out = bars
@@ -239,7 +263,7 @@ def retick_levels(levels: DataFrame, decimals: int = 0) -> DataFrame:
     return (
         levels.withColumn("price_level", F.round("price_level", decimals))
         .groupBy(*BAR, "price_level")
-        .agg(*[F.sum(m).alias(m) for m in LEVEL_MEASURES])
+        .agg(*added(LEVEL_MEASURES))
     )
 
 
@@ -256,13 +280,12 @@ def flatten_maps(maps: str | Column) -> Column:
     """One map out of an array of maps; a later map wins on equal keys."""
     maps = F.col(maps) if isinstance(maps, str) else maps
     entries = F.flatten(F.transform(maps, F.map_entries))
-    last = F.filter(
-        F.transform(entries, lambda e, i: F.struct(e.alias("e"), i.alias("i"))),
-        lambda x: ~F.exists(
-            F.slice(entries, x["i"] + 2, F.greatest(F.size(entries), F.lit(1))), lambda y: y["key"] == x["e"]["key"]
-        ),
-    )
-    return F.map_from_entries(F.transform(last, lambda x: x["e"]))
+    placed = F.transform(entries, lambda e, i: F.struct(e["key"].alias("key"), i.alias("i"), e["value"].alias("value")))
+    # Sorted by key and place, the last of a key is the one whose follower has another key.
+    ranked = F.array_sort(placed)
+    last = F.filter(ranked, lambda e, i: F.coalesce(F.get(ranked, i + 1)["key"] != e["key"], F.lit(True)))
+    ordered = F.array_sort(F.transform(last, lambda e: F.struct(e["i"].alias("i"), e["key"].alias("key"), e["value"].alias("value"))))
+    return F.map_from_entries(F.transform(ordered, lambda e: F.struct(e["key"], e["value"])))
 
 
 def explode_concatenated_json(df: DataFrame, column: str, schema: T.StructType) -> DataFrame:

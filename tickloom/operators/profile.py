@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tickloom.functions.expressions import col
+from tickloom.functions.expressions import col, exact_sum
 from tickloom.operators.footprint import BAR, SIDES
 from tickloom.operators.indicators.recurrent import ema_alpha, from_rank, row_rank, smooth
 from tickloom.operators.series import BLOCK, SERIES, Recurrence, in_blocks, index_bars, running_total
@@ -50,7 +50,7 @@ def level_means(levels: DataFrame) -> DataFrame:
 def bar_totals(levels: DataFrame) -> DataFrame:
     """Quantity and trades per bar: ``bid, ask, bid_trades, ask_trades``."""
     return levels.groupBy(*BAR).agg(
-        *[F.sum(f"total_{s}_qty").alias(s) for s in SIDES],
+        *[exact_sum(f"total_{s}_qty").alias(s) for s in SIDES],
         *[F.sum(f"total_{s}_trades").alias(f"{s}_trades") for s in SIDES],
     )
 

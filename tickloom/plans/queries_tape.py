@@ -223,6 +223,80 @@ register(
     f"WITH {TAPE} SELECT symbol, t // 60000 AS minute, id AS agg_trade_id, price, qty AS quantity FROM tape",
 )
 
+
+
+def _deep_json(spark: SparkSession, d: str) -> DataFrame:
+    """Objects with 50 levels of others in them, braces and quotes in values, and here and there a value of 100,000 characters."""
+    number = F.col("agg_trade_id").cast("string")
+    deep = '{"d":' * 50 + "1" + "}" * 50
+    text = F.concat(
+        F.lit('{"agg_trade_id":'), number, F.lit(',"in":' + deep + ',"note":"}{\\"{","pad":"'),
+        F.when(F.col("agg_trade_id") % 997 == 0, F.repeat(F.lit("y}"), 50_000)).otherwise(""), F.lit('","price":'), F.col("price").cast("string"), F.lit("}"),
+    )
+    packed = tape_events(spark, d).groupBy("symbol", F.floor(F.col("transact_time") / 3600000).alias("hour")).agg(F.concat_ws(",", F.collect_list(text)).alias("doc"))
+    fields = [f for f in AGG_TRADES.fields if f.name in ("agg_trade_id", "price")]
+    return footprint.explode_concatenated_json(packed, "doc", type(AGG_TRADES)(fields))
+
+
+register(
+    "explode_deep_json",
+    _deep_json,
+    f"WITH {TAPE} SELECT symbol, t // 3600000 AS hour, id AS agg_trade_id, price FROM tape",
+)
+
+
+def _fractional(spark: SparkSession, d: str) -> DataFrame:
+    """The tape with quantities of eight decimals."""
+    units = (F.col("agg_trade_id") * 7919) % 100_000_007 + 1
+    return tape_events(spark, d).withColumn("quantity", units.cast("double") / 1e8)
+
+
+FRACTIONAL = f"{TAPE}, fine AS (SELECT symbol, id, price, t, maker, CAST((id * 7919) % 100000007 + 1 AS DOUBLE) / 100000000.0 AS q FROM tape)"
+
+
+def _exactly(q: str) -> str:
+    return f"CAST(sum(CAST({q} AS DECIMAL(28,8))) AS DOUBLE)"
+
+
+register(
+    "fractional_bars",
+    lambda spark, d: flat(bars.rollup_bars(bars.ohlcv(_fractional(spark, d), "1h"), "1h", "1w")).drop("open", "close"),
+    f"WITH {FRACTIONAL} SELECT symbol, t - t % 604800000 AS bar_ms, max(price) AS high, min(price) AS low, {_exactly('q')} AS qty FROM fine GROUP BY ALL",
+)
+
+
+def _fractional_levels(spark: SparkSession, d: str) -> DataFrame:
+    """Levels by a tick table, rounded to tens, so that many prices meet on a level."""
+    ticks = spark.createDataFrame([(f"S{k}", -1) for k in range(4)], "symbol string, decimals int")
+    return flat(footprint.footprint_levels(_fractional(spark, d), "1w", ticks))
+
+
+register(
+    "fractional_levels",
+    _fractional_levels,
+    f"""WITH {FRACTIONAL} SELECT symbol, t - t % 604800000 AS bar_ms, CAST(round(CAST(price AS DECIMAL(18,4)), -1) AS DOUBLE) AS price_level,
+    {_exactly('CASE WHEN maker THEN q ELSE 0 END')} AS total_bid_qty, count(*) FILTER (WHERE maker) AS total_bid_trades,
+    {_exactly('CASE WHEN NOT maker THEN q ELSE 0 END')} AS total_ask_qty, count(*) FILTER (WHERE NOT maker) AS total_ask_trades
+    FROM fine GROUP BY ALL""",
+)
+
+
+def _flattened(spark: SparkSession, d: str) -> DataFrame:
+    """Per symbol and day one map of the last price of each minute, out of a map for every hour and another for its last trade."""
+    tape = tape_events(spark, d).withColumns({"hour": F.floor(F.col("transact_time") / 3600000), "minute": F.floor(F.col("transact_time") / 60000) % 60})
+    last = tape.groupBy("symbol", "hour", "minute").agg(F.max_by("price", F.struct("transact_time", "agg_trade_id")).alias("price"))
+    hours = last.groupBy("symbol", "hour").agg(F.map_from_entries(F.collect_list(F.struct("minute", "price"))).alias("m"))
+    days = hours.groupBy("symbol", F.floor(F.col("hour") / 24).alias("day")).agg(F.array_sort(F.collect_list(F.struct("hour", F.map_entries("m").alias("e")))).alias("ms"))
+    maps = F.transform("ms", lambda x: F.map_from_entries(x["e"]))
+    return days.select("symbol", "day", F.explode(footprint.flatten_maps(maps)).alias("minute", "price"))
+
+
+register(
+    "flattened_maps",
+    _flattened,
+    f"WITH {TAPE} SELECT symbol, t // 86400000 AS day, t // 60000 % 60 AS minute, last(price ORDER BY t, id) AS price FROM tape GROUP BY ALL",
+)
+
 # --- preparation ------------------------------------------------------------------------------
 
 
