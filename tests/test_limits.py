@@ -46,8 +46,10 @@ def test_median_of_values_on_two_scales(spark):
     df = spark.createDataFrame([(v,) for v in values], "v double")
     assert stats.exact_median(df, "v").first()[0] == statistics.median(values)
     assert stats.exact_median(df.limit(0), "v").first()[0] is None
-    kept = stats._keep_middle_bins(df.groupBy("v").agg(F.count("*").alias("n")).withColumns({c: F.lit(x).cast("bigint") for c, x in (("lo", 2552), ("hi", 2552), ("before", 0))}), 256)
-    assert kept.count() < 100
+    facts = df.agg(stats._bracket(F.col("v")).alias("q")).first().q
+    assert df.where(F.col("v").between(*facts)).select("v").distinct().count() < 100
+    with pytest.raises(PySparkException, match="misses the middle"):
+        stats._median_in_bracket(df, F.lit(0.9), F.lit(1.0), F.lit(df.count())).collect()
 
 
 def test_long_look_back_beside_a_short_average(spark):

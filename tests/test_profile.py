@@ -1,6 +1,7 @@
 """Volume profile against a plain loop over bars that keeps the order rules literally."""
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -127,3 +128,29 @@ def test_deltas(spark, levels):
         assert (r.delta_bid is None) == (i < 8)
         assert i < 8 or math.isclose(r.delta_bid, bid, rel_tol=1e-9)
         assert i < 8 or math.isclose(r.delta_ema, r.delta_ask - r.delta_bid, rel_tol=1e-9, abs_tol=1e-9)
+
+
+def test_runs_of_a_price_grow_with_its_changes(spark):
+    """Runs against a plain loop; a price has two at most for each of its levels and block, and one shuffle by block serves all that follows."""
+    rng = random.Random(4)
+    rows = [("A", k, float(rng.choice([5, 5, 5, rng.randint(1, 40)])), float(rng.randint(1, 9)), (k // 3) * HOUR + k % 3, k % 2 == 0) for k in range(700)]
+    levels = footprint.footprint_levels(tape(spark, rows), "1h")
+    indexed = profile.with_bar_index(levels)
+    runs = profile.profile_runs(indexed, bars=10, size=16)
+    volume, first = {}, {}
+    for _, k, price, quantity, _, _ in rows:
+        bar = k // 3
+        for i in range(max(bar, 11), min(bar + 10, 700 // 3 + 1)):
+            volume[i, price] = volume.get((i, price), 0.0) + quantity
+            first[i, price] = min(first.get((i, price), bar), bar)
+    got = {}
+    for r in runs.collect():
+        for i in range(r.from_bar, r.to_bar + 1):
+            assert (i, r.price_level) not in got
+            got[i, r.price_level] = (r.volume, r.first_bar)
+    assert got == {k: (volume[k], first[k]) for k in volume}
+    assert profile.profile_runs(indexed).count() < 2 * levels.count() * 2
+    text = profile.poc_value_area(levels)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("RepartitionByExpression") == 1
+    plan = profile.value_area(profile._by_bar(profile.profile_runs(indexed)))._jdf.queryExecution().executedPlan().toString()
+    assert sum("Exchange hashpartitioning" in line and "_block" in line for line in plan.splitlines()) == 1

@@ -120,7 +120,7 @@ def test_median_of_a_hot_value(spark, hot):
     rows, df = hot
     import statistics
 
-    assert stats.exact_median(df, "price", bins=16).first()[0] == statistics.median(r[2] for r in rows)
+    assert stats.exact_median(df, "price").first()[0] == statistics.median(r[2] for r in rows)
 
 
 def test_indicator_specs_bound_their_look_back():

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from tickloom.functions.expressions import col, exact_sum
 from tickloom.operators.footprint import BAR, SIDES
@@ -11,6 +11,7 @@ from tickloom.operators.series import BLOCK, SERIES, Recurrence, in_blocks, inde
 
 # Defaults of the analysis.
 PROFILE_BARS = 40
+PROFILE_BLOCK = 64
 VALUE_AREA_SHARE = 0.4
 CLUSTER_BARS = 50
 CLUSTER_FACTOR = 0.005
@@ -100,59 +101,88 @@ def with_bar_index(levels: DataFrame, bars: DataFrame | None = None) -> DataFram
     return levels.join(bar_index(levels, bars), BAR)
 
 
-def rolling_profile(indexed: DataFrame, bars: int = PROFILE_BARS) -> DataFrame:
-    """Volume per price over the last ``bars`` bars, for every bar with index above ``bars``.
+def profile_runs(indexed: DataFrame, bars: int = PROFILE_BARS, size: int = PROFILE_BLOCK) -> DataFrame:
+    """Runs of bars over which a price has the same volume of the last ``bars`` bars, by block of bars.
 
-    A level row counts towards its own bar and the following ``bars - 1``. The rows are partitioned
-    by price before they are fanned out, so the copies of one price are summed where they arise and
-    only distinct (bar, price) pairs leave the stage. A price has at most one row per bar.
+    A level row changes the volume of its price twice: at its own bar and ``bars`` later. Between two changes
+    nothing moves, so a price has at most two runs per level row, whatever ``bars`` is. Level rows go to
+    the block of their bar, and the few before a block to that one too; from there on everything stays in
+    the block's task. Columns: series, _block, price_level, volume, first_bar (oldest bar with the price), from_bar, to_bar.
     """
     volume = F.col("total_bid_qty") + F.col("total_ask_qty")
-    first = F.greatest(F.col("i"), F.lit(bars + 1).cast("bigint"))
-    last = F.least(F.col("i") + bars - 1, F.col("n_bars") - 1)
-    placed = (
-        indexed.where(first <= last)
-        .select(*SERIES, "i", "n_bars", "price_level", volume.alias("volume"))
-        .repartition(*SERIES, "price_level")
-    )
-    fanned = placed.select(
-        *SERIES, "price_level", "volume", F.col("i").alias("bar"), F.explode(F.sequence(first, last)).alias("i")
-    )
-    return fanned.groupBy(*SERIES, "i", "price_level").agg(
-        F.sum("volume").alias("volume"), F.min("bar").alias("first_bar")
+    narrow = indexed.select(*SERIES, "i", "n_bars", "price_level", volume.alias("volume"))
+    placed = in_blocks(narrow, pre=bars - 1, size=size).df.repartition(*SERIES, "_block")
+    both = F.expr(f"inline(array(struct(i AS at, volume AS added, i AS bar), struct(i + {bars} AS at, double(null) AS added, bigint(null) AS bar)))")
+    changes = placed.select(*SERIES, "_block", "n_bars", "price_level", both)
+    price = Window.partitionBy(*SERIES, "_block", "price_level").orderBy("at")
+    recent = price.rangeBetween(1 - bars, 0)
+    runs = changes.select(
+        *SERIES, "_block", "price_level",
+        F.sum("added").over(recent).alias("volume"),
+        F.min("bar").over(recent).alias("first_bar"),
+        # Bars of the block itself that have a full history.
+        F.greatest("at", F.col("_block") * size, F.lit(bars + 1)).alias("from_bar"),
+        F.least(F.coalesce(F.lead("at").over(price) - 1, F.col("at")), (F.col("_block") + 1) * size - 1, F.col("n_bars") - 1).alias("to_bar"),
     )
+    return runs.where(F.col("volume").isNotNull() & (F.col("from_bar") <= F.col("to_bar")))
+
+
+def rolling_profile(indexed: DataFrame, bars: int = PROFILE_BARS, size: int = PROFILE_BLOCK) -> DataFrame:
+    """Volume per price over the last ``bars`` bars, for every bar with index above ``bars``: the runs, bar by bar."""
+    return _by_bar(profile_runs(indexed, bars, size)).drop("_block")
+
+
+def _by_bar(runs: DataFrame) -> DataFrame:
+    """A row for each bar and price; rows of a bar stay in the task of its block."""
+    bar = F.explode(F.sequence("from_bar", "to_bar")).alias("i")
+    return runs.select(*SERIES, "_block", bar, "price_level", "volume", "first_bar")
 
 
 def with_poc(profile: DataFrame) -> DataFrame:
     """Add ``poc``: the price of most volume; ties go to the older bar, then the higher price."""
-    best = Window.partitionBy(*SERIES, "i").orderBy(
-        F.col("volume").desc(), F.col("first_bar").asc(), F.col("price_level").desc()
-    )
-    return profile.withColumn("poc", F.first("price_level").over(best))
+    best = F.max(F.struct("volume", (-F.col("first_bar")).alias("age"), "price_level")).over(_ladder(profile)[1])
+    return profile.withColumn("poc", best["price_level"])
+
+
+def _ladder(profile: DataFrame) -> tuple[WindowSpec, WindowSpec]:
+    """The prices of a bar from below up to each, and all of them: two frames of one order."""
+    prices = Window.partitionBy(*_bar_keys(profile)).orderBy("price_level")
+    whole = (Window.unboundedPreceding, Window.unboundedFollowing)
+    return prices.rowsBetween(Window.unboundedPreceding, 0), prices.rowsBetween(*whole)
+
+
+def _bar_keys(profile: DataFrame) -> list[str]:
+    """A profile that is partitioned by block is not shuffled again."""
+    return [*SERIES, *[c for c in ("_block",) if c in profile.columns], "i"]
 
 
 def value_area(profile: DataFrame, share: float = VALUE_AREA_SHARE) -> DataFrame:
     """POC, VAL, VAH and the rank of the POC in the price ladder, per bar.
 
     Going down (up) from the POC, VAL (VAH) is the first price at which the running volume exceeds
-    ``share`` of all volume on that side; else the side's last price; else the POC. One shuffle by
-    bar serves the POC, both running sums and the final aggregate.
+    ``share`` of all volume on that side; else the side's last price; else the POC. All sums run along
+    one order of the prices: what lies between a price and the POC is what lies below the POC without what
+    lies below the price.
     """
-    side = F.signum(F.col("price_level") - F.col("poc")).cast("int")
-    sided = with_poc(profile).withColumns({"side": side, "away": F.abs(F.col("price_level") - F.col("poc"))})
-    per_side = Window.partitionBy(*SERIES, "i", "side")
-    reached = F.try_divide(F.sum("volume").over(per_side.orderBy("away")), F.sum("volume").over(per_side)) > share
-    below, above, hit = F.col("side") == -1, F.col("side") == 1, F.col("reached")
+    upto, whole = _ladder(profile)
+    below, above = F.col("price_level") < F.col("poc"), F.col("price_level") > F.col("poc")
+    under, over = F.when(below, F.col("volume")), F.when(above, F.col("volume"))
+    down = F.sum(under).over(whole) - F.sum(under).over(upto) + under
+    hit = F.col("reached")
+    reached = F.when(below, F.try_divide(down, F.sum(under).over(whole)) > share).otherwise(F.try_divide(F.sum(over).over(upto), F.sum(over).over(whole)) > share)
+    sided = with_poc(profile)
+    keys = _bar_keys(profile)
     price = F.col("price_level")
     return (
         sided.withColumn("reached", reached)
-        .groupBy(*SERIES, "i")
+        .groupBy(*keys)
         .agg(
             F.max("poc").alias("poc"),
             F.coalesce(F.max(F.when(below & hit, price)), F.min(F.when(below, price)), F.max("poc")).alias("val"),
             F.coalesce(F.min(F.when(above & hit, price)), F.max(F.when(above, price)), F.max("poc")).alias("vah"),
             F.count_if(below).alias("poc_rank"),
         )
+        .drop("_block")
     )
 
 
@@ -163,7 +193,7 @@ def poc_value_area(
 
     ``of`` holds all bars of the series; a bar without levels counts as one with an empty profile.
     """
-    return value_area(rolling_profile(with_bar_index(levels, of), bars), share)
+    return value_area(_by_bar(profile_runs(with_bar_index(levels, of), bars)), share)
 
 
 def volume_clusters(
