@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tests.helpers import HOUR, random_rows, tape
 from tickloom.operators import footprint, profile
+from tickloom.plans.stage import staged
 
 
 def books(levels):
@@ -134,7 +135,7 @@ def test_runs_of_a_price_grow_with_its_changes(spark):
     """Runs against a plain loop; a price has two at most for each of its levels and block, and one shuffle by block serves all that follows."""
     rng = random.Random(4)
     rows = [("A", k, float(rng.choice([5, 5, 5, rng.randint(1, 40)])), float(rng.randint(1, 9)), (k // 3) * HOUR + k % 3, k % 2 == 0) for k in range(700)]
-    levels = footprint.footprint_levels(tape(spark, rows), "1h")
+    levels = staged(footprint.footprint_levels(tape(spark, rows), "1h"))
     indexed = profile.with_bar_index(levels)
     runs = profile.profile_runs(indexed, bars=10, size=16)
     volume, first = {}, {}
