@@ -48,6 +48,15 @@ def test_token_files_round_trip(spark, tmp_path, shards):
         start += row.n_tokens
     one = token_files.fetch_documents(spark, folder, [8]).collect()
     assert [bytes(r.ids) for r in one] == [np.array([*ids_of(path, rows[7][1]), 0], "<u4").tobytes()]
+    assert token_files.fetch_documents(spark, folder, []).count() == 0 and token_files.fetch_documents(spark, folder, [10**9]).count() == 0
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = token_files.fetch_documents(spark, folder, [8])._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(low,8)" in plan and "GreaterThanOrEqual(high,8)" in plan
+
+
+def test_token_files_refuse_ids_that_do_not_fit(spark, tmp_path):
+    with pytest.raises(Exception, match="does not fit"):
+        token_files.write_token_files(documents(spark, awkward()), str(tmp_path / "f"), public_vocabulary("byte_bpe_50k.json"), width="u1")
 
 
 def test_token_files_empty(spark, tmp_path):
