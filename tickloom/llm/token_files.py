@@ -181,8 +181,8 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     outer = sizes.groupBy("thousand").agg(F.sum("n").alias("all"))
     outer = outer.select("thousand", F.coalesce(F.sum("all").over(Window.orderBy("thousand").rowsBetween(*earlier)), F.lit(0)).alias("base"))
     first = inner.join(outer, "thousand").select("shard", (F.col("first") + F.col("base")).alias("first"))
-    # Joined to the blocks, of which there are few, before their documents are opened.
-    placed = blocks.join(first, "shard").withColumn("before", F.col("before") + F.col("first")).drop("first")
+    # A table of its own, so that its size decides how it is joined; blobs then stay where they are.
+    placed = blocks.join(staged(first), "shard").withColumn("before", F.col("before") + F.col("first")).drop("first")
     return placed.mapInArrow(_documents(raw, name, width), READ).select("doc_id", F.col("before").alias("start"), "n_tokens", "ids")
 
 
