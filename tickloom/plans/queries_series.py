@@ -132,7 +132,29 @@ def _cluster_maps(spark: SparkSession, d: str) -> DataFrame:
     return profile.cluster_maps(levels, profile.volume_clusters(levels, factor=CLUSTER_SHARE))
 
 
-register("cluster_labels", lambda spark, d: flat(_cluster_maps(spark, d)))
+LABEL_SQL = "CAST(round(c.side_qty, 4) AS VARCHAR) || '|x' || CAST(round(c.side_qty * 1000 / c.recent / 50, 1) AS VARCHAR)"
+
+
+def _cluster_entries(spark: SparkSession, d: str) -> DataFrame:
+    """The entries of both maps of every bar, and the size of the maps."""
+    maps = flat(_cluster_maps(spark, d)).withColumns({f"{s}_size": F.size(f"cluster_{s}").cast("bigint") for s in ("bid", "ask")})
+    sides = [
+        maps.select("symbol", "bar_ms", "bid_size", "ask_size", F.lit(side).alias("side"), F.explode_outer(f"cluster_{side}").alias("price", "label"))
+        for side in ("bid", "ask")
+    ]
+    return sides[0].unionByName(sides[1]).withColumn("price", F.col("price").cast("double"))
+
+
+register(
+    "cluster_labels",
+    _cluster_entries,
+    f"""WITH {_clusters_sql('4h', 'bar_index')}, n AS (SELECT symbol, bar_ms, side, count(*) AS size FROM c GROUP BY ALL),
+    e AS (SELECT DISTINCT symbol, bar_ms FROM levels)
+    SELECT symbol, bar_ms, coalesce(b.size, 0) AS bid_size, coalesce(a.size, 0) AS ask_size, s.side, c.price_level AS price,
+      {LABEL_SQL} AS label
+    FROM e CROSS JOIN (VALUES ('bid'), ('ask')) s(side) LEFT JOIN c USING (symbol, bar_ms, side)
+    LEFT JOIN (SELECT * FROM n WHERE side = 'bid') b USING (symbol, bar_ms) LEFT JOIN (SELECT * FROM n WHERE side = 'ask') a USING (symbol, bar_ms)""",
+)
 register(
     "bars_with_clusters",
     lambda spark, d: flat(profile.bars_with_clusters(_cluster_maps(spark, d))).select(
