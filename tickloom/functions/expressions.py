@@ -122,8 +122,10 @@ def concatenated_json_array(text: str | Column, schema: T.StructType) -> Column:
 def exact_sum(c: str | Column) -> Column:
     """Sum of quantities that does not depend on the order of the rows or on their partitions.
 
-    Quantities count in units of 1e-8, as exchanges do: they are added as decimals, which a hash
-    aggregate does in place, and given back as the nearest double. One of 1e20 or more, a sum of 1e30 or
-    more, and what is not a number fail the job; decimals behind the eighth are rounded.
+    Quantities count in units of 1e-8, as exchanges do: whole numbers and the units behind them are added apart
+    as bigints, which a hash aggregate does in place, and put together as the nearest double. A quantity or a
+    sum of 9.2e18 or more, and what is not a number, fail the job; decimals behind the eighth are rounded.
     """
-    return F.sum(col(c).cast("decimal(28,8)")).cast("double")
+    whole = col(c).cast("bigint")
+    units = F.rint((col(c) - whole) * F.lit(1e8)).cast("bigint")
+    return (F.sum(whole).cast("decimal(28,8)") + F.sum(units).cast("decimal(28,8)") / F.lit(100_000_000)).cast("double")
