@@ -40,6 +40,12 @@ def test_summary_of_tiny_and_huge_trades(spark):
     assert r.total_value == pytest.approx(4 + 4e4) and r.average_price == pytest.approx(4e-9) and r.average_quantity == pytest.approx((1e9 + 1e13) / 2)
 
 
+def test_summary_counts_notionals_of_any_smallness(spark):
+    rows = [("A", 1, 4e-9, 1e-5, 0, True), ("A", 2, 4e-9, 2e-5, 0, False), ("B", 3, 4e-9, 1e-5, 0, True), ("B", 4, 2.0, 3.0, 0, True), ("C", 5, None, 1.0, 0, True)]
+    got = {r.symbol: r.total_value for r in stats.trade_summary(tape(spark, rows)).collect()}
+    assert got["A"] == pytest.approx(12e-14) and got["B"] == pytest.approx(6.0) and got["C"] is None
+
+
 def test_median_of_values_on_two_scales(spark):
     random.seed(2)
     values = [random.random() for _ in range(5000)] + [1e6, 1e15, -1e300] + [0.5] * 100

@@ -14,15 +14,17 @@ def trade_summary(trades: DataFrame, keys: Sequence[str] = ("symbol",)) -> DataF
     """Counts, volume, notional, means and extremes of the trades per key.
 
     Notional and means go through wide decimals, so they do not depend on the order of rows: prices
-    below 1e20 with 18 places, quantities below 1e26 and notionals below 1e26 with 12 places. A single
-    notional under 1e-12 counts as zero.
+    below 1e20 with 18 places, quantities below 1e26 and notionals below 1e26 with 12 places; larger ones fail
+    the job. Notionals under 1e-12 are added apart, as doubles.
     """
     price, quantity = F.col("price").cast("decimal(38,18)"), F.col("quantity").cast("decimal(38,12)")
-    notional = (F.col("price") * F.col("quantity")).cast("decimal(38,12)")
+    product = F.col("price") * F.col("quantity")
+    tiny = F.abs(product) < 1e-12
+    notional, rest = F.when(~tiny, product.cast("decimal(38,12)")), F.when(tiny, product)
     return trades.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("total_trades"),
         F.sum("quantity").alias("total_volume"),
-        F.sum(notional).cast("double").alias("total_value"),
+        F.coalesce(F.sum(notional).cast("double") + F.coalesce(F.sum(rest), F.lit(0.0)), F.sum(rest)).alias("total_value"),
         (F.sum(price).cast("double") / F.count(price)).alias("average_price"),
         (F.sum(quantity).cast("double") / F.count(quantity)).alias("average_quantity"),
         F.max("price").alias("max_price"),

@@ -345,6 +345,10 @@ _indicator(
     "price_sources", {"SMA_1": "hl2"}, lambda: build("sma", {"length": 1, "column": "hl2"}),
     "SELECT symbol, bar_ms, (h + l) / 2 AS hl2 FROM s",
 )
+_indicator(
+    "price_source_hlc3", {"SMA_1": "hlc3"}, lambda: build("sma", {"length": 1, "column": "hlc3"}),
+    "SELECT symbol, bar_ms, (h + l + x) / 3 AS hlc3 FROM s",
+)
 
 
 def _ratio(n: int) -> str:

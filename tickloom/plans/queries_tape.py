@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tickloom.operators import bars, footprint, lifecycle, prepare, stats, wide
 from tickloom.plans import batch
 from tickloom.plans.catalog import LEVEL, TAPE, WIDTH, bars_sql, flat, levels_sql, register, rounded
+from tickloom.operators.series import index_bars
 from tickloom.plans.stage import staged
 from tickloom.plans.tape import EVENT_TICKS, event_bars, event_levels, tape_events, tape_lineitem
 from tickloom.schema import AGG_TRADES, TIMEFRAMES, TRADE_COLUMNS
@@ -179,23 +180,25 @@ register(
 )
 
 
-def _side_cells(spark: SparkSession, d: str) -> DataFrame:
+def _side_cells(spark: SparkSession, d: str, which: str) -> DataFrame:
     levels = footprint.footprint_levels(tape_events(spark, d), "4h", EVENT_TICKS)
-    side = footprint.side_footprint(levels, "bid").select("symbol", "time_rounded", F.explode("aggregated_foot_bid").alias("m"))
+    side = footprint.side_footprint(levels, which).select("symbol", "time_rounded", F.explode(f"aggregated_foot_{which}").alias("m"))
     cells = side.select("symbol", "time_rounded", F.explode("m").alias("price", "cell"))
     return flat(
         cells.select(
             "symbol", "time_rounded", F.col("price").cast("double").alias("price_level"),
-            F.col("cell.bid_qty").alias("bid_qty"), F.col("cell.bid_trades").cast("bigint").alias("bid_trades"),
+            F.col(f"cell.{which}_qty").alias(f"{which}_qty"), F.col(f"cell.{which}_trades").cast("bigint").alias(f"{which}_trades"),
         )
     )
 
 
-register(
-    "side_footprint_bid",
-    _side_cells,
-    f"WITH {levels_sql('4h')} SELECT symbol, bar_ms, price_level, bq AS bid_qty, bn AS bid_trades FROM levels WHERE bn > 0",
-)
+for _side in ("bid", "ask"):
+    register(
+        f"side_footprint_{_side}",
+        lambda spark, d, side=_side: _side_cells(spark, d, side),
+        f"""WITH {levels_sql('4h')} SELECT symbol, bar_ms, price_level, {_side[0]}q AS {_side}_qty, {_side[0]}n AS {_side}_trades
+        FROM levels WHERE {_side[0]}n > 0""",
+    )
 register(
     "retick_footprint",
     lambda spark, d: _map_cells(
@@ -756,3 +759,20 @@ register(
     lambda spark, d: flat(_mismatches(spark, d)),
     "SELECT CAST(NULL AS VARCHAR) AS symbol, CAST(NULL AS BIGINT) AS bar_ms, CAST(NULL AS VARCHAR) AS problem WHERE false",
 )
+
+
+def _injected(spark: SparkSession, d: str) -> DataFrame:
+    """Bars against a copy that lacks every seventh, has every eleventh twice and every thirteenth a second time a year later."""
+    bars = staged(index_bars(event_bars(spark, d, "4h")).select("symbol", "time_rounded", "i"))
+    later = bars.where("i % 13 = 0").withColumn("time_rounded", F.col("time_rounded") + F.expr("interval 366 days"))
+    copy = bars.where("i % 7 > 0").unionByName(bars.where("i % 7 > 0 AND i % 11 = 0")).unionByName(later)
+    return flat(lifecycle.key_mismatches(bars, copy, ["symbol", "time_rounded"]))
+
+
+register(
+    "key_mismatches",
+    _injected,
+    f"""WITH {bars_sql('4h')} SELECT symbol, bar_ms, 'absent' AS problem FROM bars WHERE i % 7 = 0
+    UNION ALL SELECT symbol, bar_ms + CAST(366 AS BIGINT) * 86400000, 'extra' FROM bars WHERE i % 13 = 0
+    UNION ALL SELECT symbol, bar_ms, 'repeated' FROM bars WHERE i % 7 > 0 AND i % 11 = 0""",
+)
