@@ -238,6 +238,61 @@ def test_purge_rewrites_mixed_partitions(spark, tmp_path):
     assert ids(writers.read_partitioned(spark, table, ["symbol", "month"])) == [2, 3, 4, 5]
 
 
+@pytest.mark.parametrize("parted", [True, False])
+def test_purge_takes_up_what_was_cut_short(spark, tmp_path, parted):
+    table, archive, as_of = f"{tmp_path}/tape", f"{tmp_path}/archive", datetime(1970, 1, 15, tzinfo=timezone.utc)
+
+    def land(rows):
+        if parted:
+            writers.merge_day(tape(spark, rows), table)
+        else:
+            tape(spark, rows).write.mode("append").parquet(table)
+
+    land([("A", k, 0.1 * k, 1.0, k * 5 * DAY, True) for k in range(6)])
+    (first,) = writers.archive_old(spark, table, archive, as_of)  # and the job ends here
+    land([("A", 7, 1.0, 1.0, DAY, True)])
+    files.touch(spark, f"{writers._pending(archive, table)}archive_19700101_000000")  # an archive that was never finished
+    tape(spark, [("X", 1, 1.0, 1.0, 0, True)]).write.csv(f"{archive}/archive_19700101_000000")
+    files.delete(spark, f"{archive}/archive_19700101_000000/_SUCCESS")
+    assert writers.archive_and_purge(spark, table, archive, as_of) == (4, 3)
+    assert writers.archive_and_purge(spark, table, archive, as_of) == (0, 3)
+    assert sorted(files.children(spark, archive)) == [first.rsplit("/", 1)[1], f"{first.rsplit('/', 1)[1]}_2"]
+    stored = spark.read.option("header", True).csv([f"{archive}/{c}" for c in files.children(spark, archive)])
+    assert sorted(r.agg_trade_id for r in stored.collect()) == ["0", "1", "2", "7"]
+    assert ids(writers._stored_rows(spark, table)[0]) == [3, 4, 5]
+
+
+def test_cut_short_swap_is_finished(spark, tmp_path):
+    table, as_of = f"{tmp_path}/table", datetime(1970, 1, 3, tzinfo=timezone.utc)
+    tape(spark, [("A", k, 1.0, 1.0, DAY * k, True) for k in range(4)]).write.parquet(f"{table}_previous")
+    tape(spark, [("A", k, 1.0, 1.0, DAY * k, True) for k in (2, 3)]).write.parquet(f"{table}_next")
+    assert writers.archive_and_purge(spark, table, f"{tmp_path}/archive", as_of) == (0, 2)
+    assert ids(spark.read.parquet(table)) == [2, 3] and not files.exists(spark, f"{table}_previous")
+
+
+def test_purge_reads_old_partitions_only(spark, tmp_path):
+    table, as_of = f"{tmp_path}/minutes", datetime(1970, 1, 3, 15, tzinfo=timezone.utc)
+    writers.upsert_minutes(tape(spark, [("A", k, 1.0, 1.0, DAY * k, True) for k in range(6)]), table)
+    rows, parts = writers._stored_rows(spark, table)
+    plan = rows.where(writers.may_be_old(parts, as_of))
+    assert {f.split("day=")[1][:10] for f in plan.inputFiles()} >= {"1970-01-01", "1970-01-02"}
+    assert "PartitionFilters: [isnotnull(day" in plan._jdf.queryExecution().executedPlan().toString() and plan.count() == 2
+
+
+def test_purge_cut_short_behind_a_rewritten_partition(spark, tmp_path):
+    """The archive then holds more rows of the month than the table has; the others of that month stay."""
+    table, archive, as_of = f"{tmp_path}/tape", f"{tmp_path}/archive", datetime(1970, 1, 15, tzinfo=timezone.utc)
+    writers.merge_day(tape(spark, [("A", k, 1.0, 1.0, k * 4 * DAY, True) for k in range(6)]), table)
+    (stored,) = writers.archive_old(spark, table, archive, as_of)
+    writers.purge_archived(spark, table, archive, [stored], as_of)
+    files.touch(spark, f"{writers._pending(archive, table)}{stored.rsplit('/', 1)[1]}")  # as if the job had ended before this went
+    assert writers.archive_and_purge(spark, table, archive, as_of) == (4, 2)
+    assert ids(writers._stored_rows(spark, table)[0]) == [4, 5]
+    writers.merge_day(tape(spark, [("A", 9, 1.0, 1.0, 0, True)]), table)
+    with pytest.raises(RuntimeError, match="1 old rows, of which 0 are archived"):
+        writers.purge_archived(spark, table, archive, [], as_of)
+
+
 def test_nested_documents_are_compared_whole(spark, tmp_path):
     out = f"{tmp_path}/docs"
     texts = ['{"a":{"x":1,"y":[{"p":1,"q":2}]},"b":2}', '{"b":2, "a":{"y":[{"q":2,"p":1}],"x":1}}', "not json", '{"a":{"x":2}}']

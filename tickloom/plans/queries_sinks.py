@@ -112,3 +112,25 @@ register(
     f"""WITH {TAPE} SELECT symbol, id AS agg_trade_id, CASE WHEN id % 5 = 0 THEN -price ELSE price END AS price, qty AS quantity
     FROM tape WHERE t >= {CUT_MS}""",
 )
+
+
+def _purge_resumed(spark: SparkSession, d: str) -> DataFrame:
+    """A purge that ended between archive and removal, old trades that land late, and the purge again: each old trade is archived once."""
+    tape, out, archive = tape_events(spark, d), _folder(spark), _folder(spark)
+    writers.merge_day(tape.where("agg_trade_id % 3 > 0"), out)
+    writers.archive_old(spark, out, archive, CUT)
+    writers.merge_day(tape.where("agg_trade_id % 3 = 0"), out)
+    for _ in range(2):
+        writers.archive_and_purge(spark, out, archive, CUT)
+    kept = writers.read_partitioned(spark, out, MONTHS)
+    stored = spark.read.schema(kept.schema).option("header", True).csv([f"{archive}/{c}" for c in files.children(spark, archive) if c.startswith("archive_")])
+    shown = ("symbol", "agg_trade_id", "price", "quantity", "transact_time")
+    return stored.select(F.lit("archive").alias("place"), *shown).union(kept.select(F.lit("table").alias("place"), *shown))
+
+
+register(
+    "purge_resumed",
+    _purge_resumed,
+    f"""WITH {TAPE} SELECT CASE WHEN t < {CUT_MS} THEN 'archive' ELSE 'table' END AS place, symbol, id AS agg_trade_id, price, qty AS quantity,
+    t AS transact_time FROM tape""",
+)

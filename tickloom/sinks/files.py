@@ -28,6 +28,12 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot rename {source} to {target}")
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty file."""
+    fs, target = _path(spark, path)
+    fs.create(target, True).close()
+
+
 def children(spark: SparkSession, path: str) -> list[str]:
     fs, target = _path(spark, path)
     return [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []

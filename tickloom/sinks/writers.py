@@ -4,19 +4,20 @@ from __future__ import annotations
 
 import re
 import uuid
+import zlib
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timezone
+from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from tickloom.operators.lifecycle import TRADE_KEY, absent_documents, replace_keys, split_archive
-from tickloom.operators.prepare import with_minute_parts
+from tickloom.operators.prepare import before_midnight, with_minute_parts
 from tickloom.sinks import files
 from tickloom.sources.readers import FORMATS, MINUTE_PARTS, read_partitioned
 
 
-
 def write_partitions(df: DataFrame, path: str, parts: Sequence[str], order: Sequence[str] = ()) -> None:
     """Overwrite exactly the partitions present in ``df``.
 
@@ -157,46 +158,138 @@ def write_data(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "over
     df.write.format(fmt).mode(mode).options(**options).save(path)
 
 
-def archive_and_purge(spark: SparkSession, table: str, archive: str, as_of: datetime) -> tuple[int, int]:
-    """Move rows older than midnight UTC of ``as_of`` to a CSV archive; returns (archived, kept).
+#: Partition columns that name the day or month (UTC) of their rows, and the length of their values.
+DATED_PARTS = {"day": 10, "date": 10, "month": 7}
 
-    The archive is read back and counted before anything is removed. A partitioned table keeps its
-    layout: partitions without old rows are not touched, those without other rows are dropped, and
-    the few that hold both are rewritten. A table without partitions is written next to itself and swapped.
-    """
+
+def may_be_old(parts: Sequence[str], as_of: datetime) -> Column:
+    """Partitions that can hold rows older than midnight UTC of ``as_of``, by the day or month they are named after."""
+    midnight = as_of.astimezone(timezone.utc).date().isoformat()
+    out = F.lit(True)
+    for part in parts:
+        if part in DATED_PARTS:
+            last = F.lit(midnight[: DATED_PARTS[part]])
+            out &= F.col(part) <= last if part == "month" else F.col(part) < last
+    return out
+
+
+def _pending(archive: str, table: str) -> str:
+    return f"{archive}/_pending_{zlib.crc32(table.encode()):08x}_"
+
+
+def _unpurged(spark: SparkSession, table: str, archive: str) -> list[str]:
+    """Whole archives whose rows were not purged from ``table`` yet; unfinished ones are dropped."""
+    mark = _pending(archive, table)
+    out = []
+    for name in files.children(spark, archive):
+        if f"{archive}/{name}".startswith(mark):
+            stored = f"{archive}/{f'{archive}/{name}'[len(mark) :]}"
+            if files.exists(spark, f"{stored}/_SUCCESS"):
+                out.append(stored)
+            else:
+                files.delete(spark, stored)
+                files.delete(spark, f"{archive}/{name}")
+    return out
+
+
+def _stored_rows(spark: SparkSession, table: str) -> tuple[DataFrame, list[str]]:
     parts = files.partition_names(spark, table)
-    rows = read_partitioned(spark, table, parts) if parts else spark.read.parquet(table)
-    old, keep = split_archive(rows, F.timestamp_seconds(F.lit(int(as_of.timestamp()))))
-    total, expected = rows.count(), old.count()
-    stored = write_csv_archive(old, archive, as_of)
-    archived = spark.read.schema(rows.schema).option("header", True).csv(stored).count()
+    return (read_partitioned(spark, table, parts) if parts else spark.read.parquet(table)), parts
+
+
+def _archived_rows(spark: SparkSession, rows: DataFrame, archives: Sequence[str]) -> DataFrame:
+    return spark.read.schema(rows.schema).option("header", True).csv(list(archives)) if archives else rows.limit(0)
+
+
+def archive_old(spark: SparkSession, table: str, archive: str, as_of: datetime) -> list[str]:
+    """Archive the rows older than midnight UTC of ``as_of`` as CSV; returns the archives that wait for their purge.
+
+    Only partitions that may hold such rows are read, once, and the rows are counted on their way. The archive is read
+    back and counted. A mark beside it stays until ``purge_archived``: if the job ends in between, the next
+    run archives only rows (compared in all columns, with their number) that the waiting archives lack.
+    """
+    waiting = _unpurged(spark, table, archive)
+    rows, parts = _stored_rows(spark, table)
+    old, _ = split_archive(rows.where(may_be_old(parts, as_of)), F.timestamp_seconds(F.lit(int(as_of.timestamp()))))
+    if waiting:
+        old = old.exceptAll(_archived_rows(spark, rows, waiting))
+    taken = {c for c in files.children(spark, archive)}
+    name = first = f"archive_{as_of:%Y%m%d_%H%M%S}"
+    again = 1
+    while name in taken:
+        again += 1
+        name = f"{first}_{again}"
+    mark, stored, seen = f"{_pending(archive, table)}{name}", f"{archive}/{name}", Observation()
+    files.touch(spark, mark)
+    old.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").option("header", True).csv(stored)
+    archived, expected = _archived_rows(spark, rows, [stored]).count(), seen.get["n"]
     if archived != expected:
         raise RuntimeError(f"archived {archived} of {expected} old rows; table unchanged")
+    if not archived:  # nothing to keep an empty folder for
+        files.delete(spark, stored)
+        files.delete(spark, mark)
+        return waiting
+    return [*waiting, stored]
+
+
+def purge_archived(spark: SparkSession, table: str, archive: str, archives: Sequence[str], as_of: datetime) -> tuple[int, int]:
+    """Remove from ``table`` the rows older than midnight UTC of ``as_of``, all of which ``archives`` hold; returns (archived, kept).
+
+    A partitioned table keeps its layout: of partitions that may hold old rows the times alone are read; those without old
+    rows are not touched, those with nothing else are dropped, and the few that hold both are rewritten. A table without
+    partitions is written next to itself and swapped.
+    """
+    rows, parts = _stored_rows(spark, table)
+    _, keep = split_archive(rows, F.timestamp_seconds(F.lit(int(as_of.timestamp()))))
+    archived, total = _archived_rows(spark, rows, archives).count(), rows.count()
     if parts:
-        _purge_partitions(spark, table, parts, old, keep)
-        return archived, total - archived
-    following, previous = f"{table}_next", f"{table}_previous"
-    keep.write.mode("overwrite").parquet(following)
-    kept = spark.read.parquet(following).count()
-    if archived + kept != total:
-        raise RuntimeError(f"archived {archived} + kept {kept} rows, expected {total}; table unchanged")
-    files.rename(spark, table, previous)
-    files.rename(spark, following, table)
-    files.delete(spark, previous)
+        _purge_partitions(spark, table, rows.where(may_be_old(parts, as_of)), keep, parts, as_of, archived)
+        kept = _stored_rows(spark, table)[0].count() if files.partition_names(spark, table) else 0
+    else:
+        following, previous = f"{table}_next", f"{table}_previous"
+        keep.write.mode("overwrite").parquet(following)
+        kept = spark.read.parquet(following).count()
+        if total - kept > archived:
+            raise RuntimeError(f"archived {archived} + kept {kept} rows, expected {total}; table unchanged")
+        files.rename(spark, table, previous)
+        files.rename(spark, following, table)
+        files.delete(spark, previous)
+    for path in archives:
+        files.delete(spark, f"{_pending(archive, table)}{path.rsplit('/', 1)[1]}")
     return archived, kept
 
 
-def _purge_partitions(spark: SparkSession, table: str, parts: Sequence[str], old: DataFrame, keep: DataFrame) -> None:
-    touched = old.select(*parts).distinct()
-    rest = keep.join(touched, list(parts), "left_semi")
-    staging = f"{table}_next_{uuid.uuid4().hex}"
-    rest.write.parquet(staging)
-    rest = spark.read.schema(rest.schema).parquet(staging)
-    gone = touched.join(rest.select(*parts).distinct(), list(parts), "left_anti").persist()
-    folders = [files.partition_folder(spark, table, row.asDict()) for row in gone.toLocalIterator()]
-    if not rest.isEmpty():
-        write_partitions(rest, table, parts)
+def archive_and_purge(spark: SparkSession, table: str, archive: str, as_of: datetime) -> tuple[int, int]:
+    """Move rows older than midnight UTC of ``as_of`` to a CSV archive; returns (archived, kept).
+
+    Nothing is removed before the archive was read back and counted. A run that ended in between is taken up: its
+    archive is completed, not repeated, and counts as archived. The table must not be written to meanwhile.
+    """
+    previous, following = f"{table}_previous", f"{table}_next"
+    if files.exists(spark, previous):  # a swap that was cut short: the next table was whole before it began
+        if not files.exists(spark, table):
+            files.rename(spark, following, table)
+        files.delete(spark, previous)
+    return purge_archived(spark, table, archive, archive_old(spark, table, archive, as_of), as_of)
+
+
+def _purge_partitions(spark: SparkSession, table: str, rows: DataFrame, keep: DataFrame, parts: Sequence[str], as_of: datetime, archived: int) -> None:
+    old = F.coalesce(before_midnight("transact_time", F.timestamp_seconds(F.lit(int(as_of.timestamp())))), F.lit(False))
+    counts = rows.groupBy(*parts).agg(F.count_if(old).alias("old"), F.count_if(~old).alias("others"))
+    touched = counts.where("old > 0").select(*parts, "old", (F.col("others") == 0).alias("whole")).persist()
+    found = touched.agg(F.coalesce(F.sum("old"), F.lit(0))).first()[0]
+    if found > archived:
+        raise RuntimeError(f"{found} old rows, of which {archived} are archived; table unchanged")
+    mixed = touched.where("NOT whole")
+    folders = [files.partition_folder(spark, table, {p: row[p] for p in parts}) for row in touched.where("whole").toLocalIterator()]
+    if not mixed.isEmpty():
+        staging = f"{table}_next_{uuid.uuid4().hex}"
+        named = mixed.select(*[F.col(p).alias(f"_{p}") for p in parts])
+        same = reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.col(f"_{p}")) for p in parts])
+        rest = keep.join(named, same, "left_semi")
+        rest.write.parquet(staging)
+        write_partitions(spark.read.schema(rest.schema).parquet(staging), table, parts)
+        files.delete(spark, staging)
     for folder in folders:
         files.delete(spark, folder)
-    gone.unpersist()
-    files.delete(spark, staging)
+    touched.unpersist()
