@@ -159,18 +159,49 @@ def test_nearest_small_is_exact(spark):
     assert neighbours.nearest(frame.where("false"), F.col("vec_id") % 100 == 0).count() == 0
 
 
-def test_nearest_recall(spark):
-    vectors = np.random.default_rng(1).normal(size=(8000, 32)).astype(np.float32)
-    frame = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(vectors)], "vec_id bigint, embedding array<float>")
+def directions(rows, dims, seed=1):
+    x = np.random.default_rng(seed).normal(size=(rows, dims))
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+SPREAD = np.random.default_rng(2).normal(size=(20000, 1))
+TABLES = {
+    "gaussian": (np.random.default_rng(1).normal(size=(8000, 32)), 100),
+    "few rows": (directions(500, 64), 10),
+    "norms of lognormal spread 1": (directions(20000, 64) * np.exp(SPREAD), 200),
+    "norms of lognormal spread 2": (directions(8000, 64) * np.exp(2 * SPREAD[:8000]), 100),
+    "norms as far apart as floats go": (directions(2000, 16) * 10.0 ** np.array([[-40], [0], [35]])[np.arange(2000) % 3], 50),
+}
+
+
+@pytest.mark.parametrize("name", TABLES)
+def test_nearest_recall(spark, name):
+    vectors, step = TABLES[name]
+    frame = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(vectors)], "vec_id bigint, embedding array<double>")
     found = defaultdict(set)
-    for r in neighbours.nearest(frame, F.col("vec_id") % 100 == 0).collect():
+    for r in neighbours.nearest(frame, F.col("vec_id") % step == 0).collect():
         found[r.query_id].add(r.vec_id)
-    hits = 0
-    for q in range(0, 8000, 100):
-        gaps = ((vectors.astype(float) - vectors[q]) ** 2).sum(1)
+    hits, asked = 0, range(0, len(vectors), step)
+    for q in asked:
+        gaps = np.linalg.norm(vectors - vectors[q], axis=1)
         gaps[q] = np.inf
-        hits += len(found[q] & set(np.argsort(gaps)[:10].tolist()))
-    assert hits / 800 >= 0.9
+        best = np.sort(gaps)[9]
+        hits += min(10, sum(gaps[list(found[q])] <= best * (1 + 1e-12)))
+    assert hits / (10 * len(asked)) >= 0.9
+
+
+def test_small_tables_are_hashed():
+    index = neighbours.Bands(64, {0: 500}, 16, 0.6, 0.45)
+    keys = index.probes(directions(20, 64), 10)
+    assert math.prod(2 * a for a in index.indexes[0].axes) > 50 and max(map(len, keys)) < 16 * 50
+
+
+def test_bands_are_searched_where_neighbours_are():
+    """All rows of small norm may be near a long vector, long ones only in its direction."""
+    index = neighbours.Bands(64, {-40: 1000, 0: 1000, 40: 1000}, 16, 0.6, 0.45)
+    small, same, large = index.shares(np.zeros(1), 10)[0]
+    assert small > 1e-3 and large == 0 and same < small
+    assert math.isclose(neighbours.Bands(64, {0: 1000}, 16, 0.6, 0.45).shares(np.zeros(1), 10)[0, 0], 0.01, rel_tol=0.6)
 
 
 @pytest.mark.parametrize("spread", [0.01, 0.001])

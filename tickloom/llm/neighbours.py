@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,13 +24,17 @@ def hadamard(x: np.ndarray) -> np.ndarray:
     return x
 
 
+#: Rows of a bucket, roughly.
+PER_BUCKET = 5.0
+
+
 class CrossPolytope:
     """Hash tables of unit vectors. A hash turns the vector by three rounds of random signs and a Hadamard
     transform and takes the nearest signed axis; a table joins several, the last over fewer axes, so that
     the number of buckets follows the number of vectors.
     """
 
-    def __init__(self, dims: int, rows: int, tables: int, per_bucket: float = 5.0, seed: int = 5):
+    def __init__(self, dims: int, rows: int, tables: int, per_bucket: float = PER_BUCKET, seed: int = 5):
         self.dims, self.tables = dims, tables
         self.width = max(2, 1 << (dims - 1).bit_length())
         self.axes: list[int] = []
@@ -49,7 +54,8 @@ class CrossPolytope:
 
     def _unit(self, vectors: np.ndarray) -> np.ndarray:
         x = np.zeros((len(vectors), self.width), np.float32)
-        x[:, : self.dims] = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+        x[:, : self.dims] = vectors / np.abs(vectors).max(1, keepdims=True)  # first, so that no square is lost
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
         return x
 
     def buckets(self, vectors: np.ndarray) -> np.ndarray:
@@ -111,6 +117,96 @@ def decoded(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[:, 16:].view(np.int8) * head[:, :1], head[:, 1]
 
 
+#: Norms of a band differ by a tenth at most.
+BAND = math.log(1.1)
+
+
+def log_norms(vectors: np.ndarray) -> np.ndarray:
+    largest = np.abs(vectors).max(1, initial=0)
+    return np.log(largest) + np.log(np.linalg.norm(vectors / largest[:, None], axis=1))
+
+
+def bands(vectors: np.ndarray) -> np.ndarray:
+    """Band of norms of each vector; the norm 1 lies in the middle of one."""
+    return np.floor(log_norms(vectors) / BAND + 0.5).astype(np.int64)
+
+
+class Bands:
+    """A cross-polytope index for each band of norms, in which nearness is a matter of direction alone.
+
+    ``sizes`` holds the rows of each band. Doubles have fewer than 15,000 bands, whatever the table.
+    """
+
+    #: Tail of the normal distribution at -12, ..., 12.
+    STEPS = np.linspace(-12, 12, 4801)
+    TAIL = np.array([math.erfc(x / math.sqrt(2)) / 2 for x in STEPS])
+
+    def __init__(self, dims: int, sizes: dict[int, int], tables: int, rate: float, power: float):
+        self.names = np.array(sorted(sizes), np.int64)
+        self.sizes = np.array([sizes[b] for b in self.names.tolist()], np.float64)
+        self.dims, self.rate, self.power = dims, rate, power
+        self.indexes = [CrossPolytope(dims, int(n), tables) for n in self.sizes]
+
+    def _keys(self, buckets: np.ndarray, band: int) -> np.ndarray:
+        return (buckets * np.int64(1 << 15)) + np.int64(band + (1 << 14))
+
+    def buckets(self, vectors: np.ndarray) -> list[np.ndarray]:
+        out: list = [None] * len(vectors)
+        own = bands(vectors)
+        for name, index in zip(self.names.tolist(), self.indexes):
+            at = np.flatnonzero(own == name)
+            if len(at):
+                for k, keys in zip(at, self._keys(index.buckets(vectors[at]), name)):
+                    out[k] = keys
+        return out
+
+    def shares(self, logs: np.ndarray, k: int) -> np.ndarray:
+        """For each query (the logarithm of its norm) and band the share of the band that ``k`` neighbours would take if directions were spread evenly.
+
+        The cosines of even directions are nearly normal; the distance within which ``k`` rows are expected is
+        found by halving, and a band's share is the tail of cosines that come within it.
+        """
+        q, deviation = np.ones((len(logs), 1)), 1 / math.sqrt(self.dims)
+        places = (self.names + np.array([[-0.5], [-0.25], [0], [0.25], [0.5]])) * BAND
+        edges = np.exp(np.clip(places[:, None, :] - logs[:, None], -300, 300))  # in units of the query's norm
+
+        def tails(limit: np.ndarray) -> np.ndarray:
+            """Share by query and band within the distance, over the norms of the band."""
+            with np.errstate(over="ignore", divide="ignore", invalid="ignore"):
+                cosine = (q / edges + edges / q - limit**2 / (q * edges)) / 2
+                share = np.interp(np.clip(np.nan_to_num(cosine, nan=12, posinf=12, neginf=-12) / deviation, -12, 12), self.STEPS, self.TAIL)
+            return np.where(cosine > 1, 0, share)
+
+        low, high = np.zeros_like(q), q + edges[-1].max(1, keepdims=True)
+        for _ in range(50):
+            middle = (low + high) / 2
+            enough = (tails(middle).mean(0) * self.sizes).sum(1, keepdims=True) >= k
+            low, high = np.where(enough, low, middle), np.where(enough, middle, high)
+        return tails(high).max(0)
+
+    def probes(self, vectors: np.ndarray, k: int) -> list[np.ndarray]:
+        """Keys that each query looks up.
+
+        Where a band's share is k of n rows, it is searched as hard as an evenly spread table of n rows: in each
+        table ``rate`` * n ** ``power`` of its n / PER_BUCKET buckets, and never less hard than the whole table is.
+        """
+        total, logs, some = self.sizes.sum(), log_norms(vectors), max(1, 100_000 // len(self.names))
+        shares = np.concatenate([self.shares(logs[a : a + some], k) for a in range(0, len(logs), some)])
+        alike = np.clip(k / np.maximum(shares, 1e-300), 1, max(total, 1))
+        parts = np.minimum(self.rate * alike**self.power / (alike / PER_BUCKET), 1)
+        out: list[list[np.ndarray]] = [[] for _ in vectors]
+        for b, (name, index) in enumerate(zip(self.names.tolist(), self.indexes)):
+            buckets = math.prod(2 * a for a in index.axes)
+            wanted = np.clip(np.ceil(parts[:, b] * buckets), 1, buckets).astype(np.int64)
+            order = np.argsort(wanted, kind="stable")
+            for at in np.array_split(order, max(1, min(8, len(order)))):
+                if len(at):
+                    most = int(wanted[at].max())
+                    for q, keys in zip(at, self._keys(index.probes(vectors[at], most), name)):
+                        out[q].append(keys)
+        return [np.concatenate(x) for x in out]
+
+
 def nearest(
     vectors: DataFrame,
     queries: Column,
@@ -118,16 +214,15 @@ def nearest(
     tables: int = 16,
     probe_rate: float = 0.6,
     probe_power: float = 0.45,
-    exact_rows: int = 5000,
     id_column: str = "vec_id",
     vector: str = "embedding",
 ) -> DataFrame:
     """query_id, rank, vec_id and score (Euclidean distance in double precision) of the ``k`` nearest found.
 
-    ``queries`` marks the query rows; candidates are all other rows. Every row is indexed in ``tables``
-    tables of some five rows a bucket, of which a query probes ``probe_rate`` * rows ** ``probe_power`` each, so
-    its candidates grow more slowly than the rows; up to ``exact_rows`` rows share one bucket, which
-    makes the search exact. Index and probes carry a byte for each
+    ``queries`` marks the query rows; candidates are all other rows. Rows are parted into bands of norms, and every row is
+    indexed in ``tables`` tables of its band of some five rows a bucket. A query probes all bands, each as hard as
+    its norm makes neighbours likely there (``Bands.probes``): where all norms agree ``probe_rate`` * rows ** ``probe_power``
+    buckets a table, so its candidates grow more slowly than the rows. Index and probes carry a byte for each
     component and the distance between vector and code, which bounds the true distance of a pair from both
     sides; all pairs that may be among the ``k`` nearest by these bounds are compared on the original vectors. Of equal
     vectors only the k + 1 smallest ids can be among the nearest, so the others are left out before
@@ -141,9 +236,14 @@ def nearest(
         return vectors.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     rows = rows.where(F.size("v") == lengths.d)
     rows = staged(rows.withColumn("n", F.row_number().over(Window.partitionBy("vec_id").orderBy("v"))).where("n = 1").drop("n"))
-    exact = lengths.n <= exact_rows
-    index = CrossPolytope(lengths.d, 1 if exact else lengths.n, 1 if exact else tables)
-    probes = max(1, round(probe_rate * lengths.n**probe_power))
+
+    def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([pa.array(bands(_matrix(batch.column("v"))))], names=["band"])
+
+    sizes = rows.select("v").mapInArrow(banded, "band bigint").groupBy("band").agg(F.count("*").alias("n")).collect()
+    index = Bands(lengths.d, {r.band: r.n for r in sizes}, tables, probe_rate, probe_power)
 
     def hashed(name: str, keys_of) -> object:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,7 +251,7 @@ def nearest(
                 for a in range(0, batch.num_rows, 1000):
                     part = batch.slice(a, 1000)
                     x = _matrix(part.column("v"))
-                    keys = pa.array(list(keys_of(x)), pa.list_(pa.int64()))
+                    keys = pa.array(keys_of(x), pa.list_(pa.int64()))
                     yield pa.RecordBatch.from_arrays([part.column("vec_id"), keys, pa.array(coded(x), pa.binary())], names=[name, "keys", f"{name}_code"])
 
         return run
@@ -159,7 +259,7 @@ def nearest(
     rank = Window.partitionBy("v").orderBy("vec_id")
     indexed = rows.withColumn("n", F.row_number().over(rank)).where(F.col("n") <= k + 1).select("vec_id", "v")
     table = indexed.mapInArrow(hashed("vec_id", index.buckets), "vec_id bigint, keys array<bigint>, vec_id_code binary")
-    asked = rows.where("q").select("vec_id", "v").mapInArrow(hashed("query_id", lambda x: index.probes(x, probes)), "query_id bigint, keys array<bigint>, query_id_code binary")
+    asked = rows.where("q").select("vec_id", "v").mapInArrow(hashed("query_id", lambda x: index.probes(x, k)), "query_id bigint, keys array<bigint>, query_id_code binary")
     met = asked.withColumn("key", F.explode("keys")).drop("keys").join(table.withColumn("key", F.explode("keys")).drop("keys"), "key").where("query_id <> vec_id")
 
     def roughly(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
