@@ -475,7 +475,39 @@ _indicator(
                   FROM e r JOIN k ON k.symbol = r.symbol AND k.i = r.i + 1)))
     §SELECT symbol, bar_ms, sar AS psar FROM s LEFT JOIN e USING (symbol, i)""",
 )
-_indicator("mama", {"MAMA_1.75": "mama", "FAMA_1.75": "fama"}, lambda: build("mama", {"length": 14}), None)
+
+
+def _hilbert(v: str) -> str:
+    """Published Hilbert taps over a list, newest first, scaled by the period."""
+    return f"((0.0962::DOUBLE * {v}[1] + 0.5769::DOUBLE * {v}[3] - 0.5769::DOUBLE * {v}[5] - 0.0962::DOUBLE * {v}[7]) * scale)"
+
+
+_ZEROS = "list_resize([0.0::DOUBLE], 7, 0.0::DOUBLE)"
+_indicator(
+    "mama",
+    {"MAMA_1.75": "mama", "FAMA_1.75": "fama"},
+    lambda: build("mama", {"length": 14}),
+    f"""k AS (SELECT symbol, i, c AS x, lag(c, 1) OVER q AS x1, lag(c, 2) OVER q AS x2, lag(c, 3) OVER q AS x3
+      FROM s WINDOW q AS (PARTITION BY symbol ORDER BY i)),
+    e AS (SELECT symbol, i, {_ZEROS} AS smooth, {_ZEROS} AS trend, {_ZEROS} AS quad, {_ZEROS} AS inph, 0.0::DOUBLE AS period,
+        0.0::DOUBLE AS i2, 0.0::DOUBLE AS q2, 0.0::DOUBLE AS re, 0.0::DOUBLE AS im, 0.0::DOUBLE AS phase, x AS mama, x AS fama
+      FROM k WHERE i = 4
+      UNION ALL SELECT symbol, i, smooth, trend, quad, inph, period, i2, q2, re, im, phase, mama, 0.5 * alpha * mama + (1 - 0.5 * alpha) * fama
+      FROM (SELECT *, alpha * x + (1 - alpha) * mama0 AS mama
+      FROM (SELECT *, least(greatest((0.5::DOUBLE / 1.75) / greatest(phase0 - phase, 1.0), 0.05::DOUBLE / 1.75), 0.5::DOUBLE / 1.75) AS alpha,
+          0.2 * greatest(least(greatest(least(cycle, 1.5 * period0), 0.67 * period0), 50.0), 6.0) + 0.8 * period0 AS period
+      FROM (SELECT *, CASE WHEN re <> 0 AND im <> 0 THEN 2 * pi() / atan(im / re) ELSE period0 END AS cycle,
+          CASE WHEN inph[1] <> 0 THEN degrees(atan(quad[1] / inph[1])) ELSE phase0 END AS phase
+      FROM (SELECT *, 0.2 * (i2 * i20 + q2 * q20) + 0.8 * re0 AS re, 0.2 * (i2 * q20 - q2 * i20) + 0.8 * im0 AS im
+      FROM (SELECT *, 0.2 * (inph[1] - {_hilbert('quad')}) + 0.8 * i20 AS i2, 0.2 * (quad[1] + {_hilbert('inph')}) + 0.8 * q20 AS q2
+      FROM (SELECT *, list_prepend({_hilbert('trend')}, quad0[1:6]) AS quad, list_prepend(trend[4], inph0[1:6]) AS inph
+      FROM (SELECT *, list_prepend({_hilbert('smooth')}, trend0[1:6]) AS trend
+      FROM (SELECT k.*, list_prepend((4 * x + 3 * x1 + 2 * x2 + x3) / 10, r.smooth[1:6]) AS smooth, 0.075::DOUBLE * r.period + 0.54::DOUBLE AS scale,
+          r.trend AS trend0, r.quad AS quad0, r.inph AS inph0, r.period AS period0, r.i2 AS i20, r.q2 AS q20, r.re AS re0, r.im AS im0,
+          r.phase AS phase0, r.mama AS mama0, r.fama
+        FROM e r JOIN k ON k.symbol = r.symbol AND k.i = r.i + 1)))))))))
+    §SELECT symbol, bar_ms, coalesce(mama, c) AS mama, coalesce(fama, c) AS fama FROM s LEFT JOIN e USING (symbol, i)""",
+)
 
 
 def _mean_price_bars(spark: SparkSession, d: str) -> DataFrame:
