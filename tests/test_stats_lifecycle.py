@@ -67,6 +67,15 @@ def test_latest_minutes(spark):
     assert sorted(r.agg_trade_id for r in stats.latest_minutes_for(t, "5m").collect()) == [4, 5, 6, 7, 8]
     with pytest.raises(ValueError):
         stats.latest_minutes_for(t, "2h")
+    gaps = tape(spark, [("A", 1, 1.0, 1.0, 0, True), ("B", 2, 1.0, 1.0, 59999, True), ("A", 3, 1.0, 1.0, 3600000, True), ("A", 4, 1.0, 1.0, None, True)])
+    assert [sorted(r.agg_trade_id for r in stats.latest_minutes(gaps, n).collect()) for n in (0, 1, 2, 9)] == [[], [3], [1, 2, 3], [1, 2, 3]]
+    assert stats.latest_minutes(gaps.where("false"), 5).count() == 0
+
+
+def test_latest_minutes_bound_the_scan(spark, tmp_path):
+    tape(spark, [("A", k, 1.0, 1.0, k * 60000, True) for k in range(9)]).write.parquet(f"{tmp_path}/t")
+    text = stats.latest_minutes(spark.read.parquet(f"{tmp_path}/t"), 2)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in text and "GreaterThanOrEqual(transact_time,ScalarSubquery" in text
 
 
 def test_last_seen(spark):

@@ -150,10 +150,15 @@ def _as_map(entries: Column) -> Column:
     return F.map_from_entries(keyed)
 
 
-def footprint_map(levels: DataFrame) -> DataFrame:
-    """Per bar, ``map<price, struct<bid_qty, bid_trades, ask_qty, ask_trades>>`` in price order."""
+def map_of_levels() -> Column:
+    """Aggregate of levels to ``map<price, struct<bid_qty, bid_trades, ask_qty, ask_trades>>`` in price order."""
     entry = F.struct(F.col("price_level"), _cell().alias("cell"))
-    return levels.groupBy(*BAR).agg(_as_map(F.array_sort(F.collect_list(entry))).alias("footprint"))
+    return _as_map(F.array_sort(F.collect_list(entry))).alias("footprint")
+
+
+def footprint_map(levels: DataFrame) -> DataFrame:
+    """The footprint map of each bar."""
+    return levels.groupBy(*BAR).agg(map_of_levels())
 
 
 def bars_with_footprint(

@@ -39,21 +39,31 @@ def top_level_imbalance(levels: DataFrame, top: int = TOP_LEVELS) -> DataFrame:
     return ranked.groupBy(*BAR).agg(F.coalesce(F.sum(signed), F.lit(0.0)).alias("delta_x"))
 
 
-def level_means(levels: DataFrame) -> DataFrame:
-    """Mean quantity per level of a bar: bid, ask and both."""
-    return levels.groupBy(*BAR).agg(
+def means_of_levels() -> list[Column]:
+    """Aggregates of levels to the mean quantity per level: bid, ask and both."""
+    return [
         F.avg("total_bid_qty").alias("bid_average"),
         F.avg("total_ask_qty").alias("ask_average"),
         F.avg(F.col("total_bid_qty") + F.col("total_ask_qty")).alias("bid_ask_average"),
-    )
+    ]
 
 
-def bar_totals(levels: DataFrame) -> DataFrame:
-    """Quantity and trades per bar: ``bid, ask, bid_trades, ask_trades``."""
-    return levels.groupBy(*BAR).agg(
+def level_means(levels: DataFrame) -> DataFrame:
+    """Mean quantity per level of a bar."""
+    return levels.groupBy(*BAR).agg(*means_of_levels())
+
+
+def totals_of_levels() -> list[Column]:
+    """Aggregates of levels to quantity and trades: ``bid, ask, bid_trades, ask_trades``."""
+    return [
         *[exact_sum(f"total_{s}_qty").alias(s) for s in SIDES],
         *[F.sum(f"total_{s}_trades").alias(f"{s}_trades") for s in SIDES],
-    )
+    ]
+
+
+def bar_totals(levels: DataFrame) -> DataFrame:
+    """Quantity and trades per bar."""
+    return levels.groupBy(*BAR).agg(*totals_of_levels())
 
 
 def delta_columns(totals: DataFrame, ema_length: int = 9, size: int = BLOCK) -> DataFrame:

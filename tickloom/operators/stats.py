@@ -152,19 +152,18 @@ def universe_top_n(tickers: DataFrame, metrics: Sequence[str], n: int = 50, only
     return kept.orderBy(*[F.col(m).desc() for m in metrics], "symbol").limit(n)
 
 
-#: Minutes (8 bytes each) up to which they are sent to every executor.
-BROADCAST_MINUTES = 100_000
-
-
 def latest_minutes(trades: DataFrame, n: int) -> DataFrame:
     """Trades of the n newest minutes that have any, over all symbols.
 
-    ``orderBy`` with ``limit`` keeps n rows per task; the join side is those n minutes, broadcast up to
-    ``BROADCAST_MINUTES``. For a landed table ``read_latest_minutes`` finds them without reading the rest.
+    These are all trades from the start of the nth newest minute on, so there is no join: distinct minutes are reduced
+    in the map tasks, n of them are kept per task, and their first bounds the time as a scalar subquery, which a Parquet scan
+    takes as a pushed filter. A minute without trades does not count. For a landed table ``read_latest_minutes`` names the
+    folders instead.
     """
     minute = floor_ms("transact_time", "1m")
     newest = trades.select(minute.alias("minute_ms")).distinct().orderBy(F.col("minute_ms").desc()).limit(n)
-    return trades.withColumn("minute_ms", minute).join(F.broadcast(newest) if n <= BROADCAST_MINUTES else newest, "minute_ms", "left_semi")
+    first = newest.agg(F.min("minute_ms")).scalar()
+    return trades.where(F.col("transact_time") >= first).withColumn("minute_ms", minute)
 
 
 def latest_minutes_for(trades: DataFrame, timeframe: str) -> DataFrame:

@@ -7,6 +7,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tickloom.functions.expressions import exact_sum
 from tickloom.operators import footprint, profile
 from tickloom.operators.bars import rollup_bars
 from tickloom.operators.lifecycle import pending
@@ -31,8 +32,8 @@ def whole_weeks(start: str, end: str) -> tuple[str, str]:
 def final_bars(base: DataFrame, finest: str, timeframes: Sequence[str]) -> DataFrame:
     """Final bars of several timeframes out of those of the finest; ``base`` should be a table, as it is read twice."""
     levels = footprint.rollup_levels(footprint.explode_footprint(base), finest, *timeframes)
-    totals = [F.sum(f"total_{side}_qty").alias(f"sum_total_{side}_qty") for side in footprint.SIDES]
-    measured = levels.groupBy(*footprint.BAR).agg(*totals).join(footprint.footprint_map(levels), footprint.BAR)
+    totals = [exact_sum(f"total_{side}_qty").alias(f"sum_total_{side}_qty") for side in footprint.SIDES]
+    measured = levels.groupBy(*footprint.BAR).agg(*totals, footprint.map_of_levels())
     joined = rollup_bars(base, finest, *timeframes).join(measured, footprint.BAR, "left")
     none = F.create_map().cast(base.schema["footprint"].dataType)
     return joined.fillna(0.0, [f"sum_total_{side}_qty" for side in footprint.SIDES]).withColumn("footprint", F.coalesce("footprint", none)).select(*base.columns)
@@ -83,9 +84,9 @@ def analysis_table(bars: DataFrame, levels: DataFrame) -> DataFrame:
     ``bars`` and ``levels`` should be tables (or staged), since each is read by several measures. One
     index over all bars, also those without levels, serves the bars, the profile and the clusters.
     """
-    totals = profile.delta_columns(profile.bar_totals(levels)).drop("i")
+    totals = profile.delta_columns(levels.groupBy(*footprint.BAR).agg(*profile.totals_of_levels(), *profile.means_of_levels())).drop("i")
     clusters = profile.cluster_maps(levels, profile.volume_clusters(levels, of=bars))
-    measures = [totals, profile.top_level_imbalance(levels), profile.level_means(levels), clusters]
+    measures = [totals, profile.top_level_imbalance(levels), clusters]
     out = index_bars(bars).drop("n_bars")
     for frame in measures:
         out = out.join(frame, footprint.BAR, "left")
