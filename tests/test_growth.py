@@ -5,6 +5,7 @@ import time
 from pyspark.sql import functions as F
 
 from tickloom.functions.expressions import outermost_objects
+from tickloom.operators.footprint import flatten_maps
 
 
 def test_many_objects_in_one_text_are_split_in_one_pass(spark):
@@ -14,3 +15,11 @@ def test_many_objects_in_one_text_are_split_in_one_pass(spark):
     got = df.select(outermost_objects("t").alias("o")).select(F.size("o").alias("n"), F.size(F.array_distinct("o")).alias("d")).first()
     assert tuple(got) == (6000, 1)
     assert time.monotonic() - began < 30
+
+
+def test_maps_of_many_entries_are_sorted_once(spark):
+    maps = F.transform(F.sequence(F.lit(0), F.lit(23)), lambda h: F.map_from_arrays(F.sequence(h, h + 399), F.transform(F.sequence(h, h + 399), lambda k: h * 1000 + k)))
+    began = time.monotonic()
+    got = spark.range(1).select(flatten_maps(maps).alias("m")).first().m
+    assert got == {k: min(k, 23) * 1000 + k for k in range(423)}
+    assert time.monotonic() - began < 15
