@@ -121,6 +121,14 @@ def test_toxicity_without_features_rejects_nothing(spark):
     assert toxicity.clean_documents(docs, labels).count() == 40
 
 
+def test_words_known_to_a_worker_are_bounded():
+    """A table of all words of a task's texts would be most of the worker's memory; the score is the same."""
+    features = toxicity.Features({toxicity.word_features(b"bad")[0]: 0})
+    for k in range(0, 300_000, 1000):
+        assert features.of(b" ".join(b"w%d" % x for x in range(k, k + 1000)) + b" bad") == {0: 1.0}
+    assert len(features) <= 100_000
+
+
 def test_risk_finds_the_hidden_positives():
     """Unlabelled rows with their prior's share of positives; many more features than rows tell apart, so an unclipped risk would overfit."""
     rng = np.random.default_rng(0)

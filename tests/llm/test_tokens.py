@@ -1,6 +1,7 @@
 """Tokenizers' ids, token files, packing and token counts."""
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -10,6 +11,7 @@ from tokenizers import Tokenizer, models
 from tests.llm.frames import awkward, documents
 from tickloom.llm import packing, token_counts, token_files
 from tickloom.llm.tokens import Encoder, public_vocabulary, space_units, word_units
+from tickloom.llm.words import span_hashes
 
 VOCABULARIES = [("byte_bpe_50k.json", space_units), ("word_bpe_49k.json", word_units)]
 
@@ -136,3 +138,32 @@ def test_token_counts(spark, monkeypatch, small):
         want = sorted((str(i), *unigram_pieces(model, t)) for i, t in awkward())
         assert sorted((str(r.doc_id), r.n_words, r.n_pieces) for r in found) == want
         assert token_counts.token_counts(documents(spark, []), path).count() == 0
+
+
+def test_packing_moves_no_ids_through_python(spark, capsys):
+    """Only the lengths go to the worker that places the pieces; the ids would fill it and the JVM's transfer buffers."""
+    pieces = spark.createDataFrame([(k, 0, 0, 1 + k % 9, bytes(4 + k % 9 * 4)) for k in range(40)], packing.PIECES)
+    df = packing.pack(pieces, 2, capacity=16)
+    df.explain()
+    plan = capsys.readouterr().out
+    assert "MapInArrow" not in plan and plan.count("ArrowEvalPython") == 1
+    rows = df.collect()
+    assert sorted(r.doc_id for r in rows) == list(range(40)) and all(len(r.ids) == 4 * r.length for r in rows)
+    # Longest first in each task: what a sequence starts with is never shorter than what follows.
+    for number in {r.sequence_id for r in rows}:
+        here = sorted((r.offset, r.length) for r in rows if r.sequence_id == number)
+        assert [n for _, n in here] == sorted((n for _, n in here), reverse=True)
+        assert [a for a, _ in here] == [sum(n for _, n in here[:k]) for k in range(len(here))]
+
+
+def test_hashes_need_little_memory_beside_the_text():
+    """One array of eight bytes for each byte of text, and no copies of it."""
+    buffer = np.frombuffer(b"some words " * 50_000, np.uint8)
+    starts = np.arange(0, len(buffer) - 11, 11)
+    want = span_hashes(buffer, starts, starts + 4)  # also makes the powers
+    assert len(set(want.tolist())) == 1
+    tracemalloc.start()
+    span_hashes(buffer, starts, starts + 4)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 14 * len(buffer)

@@ -29,7 +29,7 @@ def word_features(word: bytes) -> list[int]:
 class Features(dict):
     """Columns of the model that a word switches on; words seen before are looked up."""
 
-    def __init__(self, columns: dict[int, int], most: int = 500_000):
+    def __init__(self, columns: dict[int, int], most: int = 100_000):
         self.columns, self.most = columns, most
 
     def __missing__(self, word: bytes) -> tuple[int, ...]:
@@ -185,7 +185,8 @@ def with_score(docs: DataFrame, model: Model, name: str) -> DataFrame:
     @F.arrow_udf("double")
     def score(text: pa.Array) -> pa.Array:
         features = state.setdefault("features", Features(model.columns))
-        return pa.array(model.scores(binary(text), features))
+        parts = slices(pa.RecordBatch.from_arrays([text], names=["text"]))
+        return pa.array(np.concatenate([np.zeros(0), *(model.scores(binary(x.column("text")), features) for x in parts)]))
 
     return docs.withColumn(name, score("text"))
 
